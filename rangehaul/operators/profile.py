@@ -237,16 +237,33 @@ def count_steps(df: DataFrame, column: str, edges: Sequence) -> DataFrame:
     )
 
 
+def even_histogram(df: DataFrame, column: str, steps: int = 200) -> DataFrame:
+    """Histogram of a whole-number key whose edges are the largest keys of equal slices.
+
+    Same result on every run and engine; a sketch is not needed. Both scans shuffle at most
+    one row per slice and task.
+    """
+    low, high = key_bounds(df, column)
+    if low is None:
+        return column_histogram(df, column, 1)
+    slices = df.filter(_c(column).isNotNull()).groupBy(_slice(_c(column), low, high, steps).alias("_slice"))
+    edges = [r["edge"] for r in slices.agg(F.max(_c(column)).alias("edge")).select("edge").collect()]
+    return count_steps(df, column, sorted({low, *edges}))
+
+
+def _slice(key: Column, low: int, high: int, steps: int) -> Column:
+    width = max(1, -(-(high - low + 1) // steps))
+    return F.call_function("div", key - F.lit(low).cast("bigint"), F.lit(width).cast("bigint"))
+
+
 def grouped_histogram(df: DataFrame, by: Sequence[str], column: str, low: int, high: int, steps: int = 64) -> DataFrame:
     """Histogram steps of a whole-number key for many tables in one job.
 
     Keys fall into `steps` equal slices of [low, high], so a group never has more steps than
     that, however many rows it holds. Repeated keys are counted before the slices meet.
     """
-    width = max(1, -(-(high - low + 1) // steps))
-    slice_id = F.when(_c(column).isNotNull(), F.call_function("div", _c(column) - F.lit(low), F.lit(width)))
-    values = df.groupBy(*by, _c(column).alias("high")).agg(
-        F.count("*").alias("_rows"), F.first(slice_id).alias("_slice")
+    values = df.groupBy(*by, _slice(_c(column), low, high, steps).alias("_slice"), _c(column).alias("high")).agg(
+        F.count("*").alias("_rows")
     )
     return values.groupBy(*by, "_slice").agg(
         F.max("high").alias("high"),
@@ -273,13 +290,16 @@ def row_width(df: DataFrame, table: str = "") -> DataFrame:
     )
 
 
-def data_profile(tables: Mapping[str, DataFrame], indexed: Mapping[str, Sequence[str]]) -> DataFrame:
+def data_profile(
+    tables: Mapping[str, DataFrame], indexed: Mapping[str, Sequence[str]], clustered: Mapping[str, str] | None = None
+) -> DataFrame:
     """Column profile for tables that have no catalog, such as files.
 
-    `indexed` names the columns the data is addressed by, best first. NULLs come from one scan of the
-    table; uniqueness is checked for the indexed columns only, with repeated keys counted
-    before the shuffle, so that a hot key is one small row per task.
+    `indexed` names the columns a table is addressed by, `clustered` the one it is sorted by.
+    NULLs come from one scan of the table; uniqueness is checked for the indexed columns only,
+    with repeated keys counted before the shuffle, so that a hot key is one small row per task.
     """
+    clustered = clustered or {}
     frames = []
     for name, df in tables.items():
         nulls = df.agg(*[F.count_if(_c(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
@@ -314,7 +334,7 @@ def data_profile(tables: Mapping[str, DataFrame], indexed: Mapping[str, Sequence
                 "sql_type",
                 "nullable",
                 "index_id",
-                F.coalesce(F.col("index_id") == 1, F.lit(False)).alias("clustered"),
+                (F.col("column") == F.lit(clustered.get(name, ""))).alias("clustered"),
                 F.coalesce("is_unique", F.lit(False)).alias("is_unique"),
                 (F.coalesce("is_unique", F.lit(False)) & ~F.col("nullable")).alias("primary_key"),
             )

@@ -98,7 +98,9 @@ def rate_per_minute(
     hot series spreads over as many tasks as it has minutes; only minute summaries (one row
     each) are then compared across minutes.
     """
-    minute = F.date_trunc("minute", F.col(ts)).cast("timestamp_ntz")
+    # Zone-free truncation: take the seconds off.
+    seconds = F.date_part(F.lit("SECOND"), F.col(ts))
+    minute = F.col(ts) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     within = W.partitionBy(*series, "_minute").orderBy(F.col(ts), *([F.col(tie)] if tie else []))
     step = lambda now, before: F.when(now >= before, now - before).otherwise(now)
     stepped = samples.withColumn("_minute", minute).withColumn("_before", F.lag(value).over(within))

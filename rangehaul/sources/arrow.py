@@ -31,9 +31,9 @@ def scan_row_groups(controls: DataFrame, schema: T.StructType, columns: Sequence
     """
     wanted = T.StructType([schema[name] for name in (columns or schema.names)])
     read = row_group_reader(to_arrow_schema(wanted), batch_rows)
-    placed = controls.select("path", "row_group")
-    placed = placed.repartition(tasks) if tasks else placed.repartition("path", "row_group")
-    return placed.mapInArrow(read, wanted)
+    # A fixed number of tasks: control rows are tiny, adaptive merging would put them in one task.
+    count = tasks or 4 * controls.sparkSession.sparkContext.defaultParallelism
+    return controls.select("path", "row_group").repartition(count, "path", "row_group").mapInArrow(read, wanted)
 
 
 class RangePartition(InputPartition):

@@ -35,9 +35,9 @@ def as_objects(inventory: DataFrame) -> DataFrame:
 
 
 def _spread(inventory: DataFrame, tasks: int | None) -> DataFrame:
-    """Paths over tasks: a listing sits in few partitions, the footers should be read by many."""
-    paths = inventory.select("path")
-    return paths.repartition(tasks) if tasks else paths.repartition("path")
+    """Paths over a fixed number of tasks; adaptive merging would put these tiny rows in one."""
+    count = tasks or 4 * inventory.sparkSession.sparkContext.defaultParallelism
+    return inventory.select("path").repartition(count, "path")
 
 
 def file_schemas(inventory: DataFrame, tasks: int | None = None) -> DataFrame:

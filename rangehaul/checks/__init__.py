@@ -3,7 +3,7 @@
 from importlib import import_module
 
 # Modules that register queries.
-MODULES = ("source_checks", "profile_checks", "range_checks")
+MODULES = ("source_checks", "profile_checks", "range_checks", "conform_checks", "manifest_checks", "run_checks")
 
 
 def all_checks():

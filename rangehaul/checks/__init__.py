@@ -3,7 +3,16 @@
 from importlib import import_module
 
 # Modules that register queries.
-MODULES = ("source_checks", "profile_checks", "range_checks", "conform_checks", "manifest_checks", "run_checks")
+MODULES = (
+    "source_checks",
+    "profile_checks",
+    "range_checks",
+    "conform_checks",
+    "manifest_checks",
+    "run_checks",
+    "sink_checks",
+    "stream_checks",
+)
 
 
 def all_checks():

@@ -233,17 +233,20 @@ def run_summary(spark, sf):
     return run.select("run_id", "status", "column", "rows", "source_rows", "success")
 
 
+def load_and_reconcile(spark, sf) -> DataFrame:
+    """Load orders by ranges; source and copy compared range by range."""
+    root = scratch_path(spark, "load")
+    orders = table(spark, sf, "orders")
+    ingest(orders, root, "orders-1", "orders", "o_orderkey", OPTIONS)
+    return reconcile(orders, root, "orders-1", "o_orderkey", OPTIONS)
+
+
 @check(
     "ingest_reconciled",
     "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS equal FROM orders",
 )
 def ingest_reconciled(spark, sf):
-    """Load orders by ranges and prove the copy range by range."""
-    root = scratch_path(spark, "load")
-    orders = table(spark, sf, "orders")
-    ingest(orders, root, "orders-1", "orders", "o_orderkey", OPTIONS)
-    ranges = reconcile(orders, root, "orders-1", "o_orderkey", OPTIONS)
-    return ranges.agg(
+    return load_and_reconcile(spark, sf).agg(
         F.sum("source_rows").alias("source_rows"),
         F.sum("target_rows").alias("target_rows"),
         F.bool_and(F.col("status") == "equal").alias("equal"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -52,3 +55,15 @@ def literal(value: Column, dtype: T.DataType, dialect: str = "spark") -> Column:
         # rounding here cannot lose or repeat a row.
         return value.cast("decimal(38,12)").cast("string")
     return value.cast("string")
+
+
+def constant_array(values: Sequence, dtype: T.DataType) -> Column:
+    """Key values as one constant array. A cast text keeps the expression small; it is folded once."""
+
+    def text(value) -> str:
+        if isinstance(value, Decimal):
+            return format(value, "f")
+        return value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
+
+    joined = ",".join(text(v) for v in values)
+    return F.split(F.lit(joined), ",").cast(T.ArrayType(dtype))

@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from rangehaul.operators.ranges import range_index
+from rangehaul.functions.literals import constant_array
+from rangehaul.operators.ranges import with_range_index
 
 PAGE_BYTES = 8192
 UNBOUNDED_WIDTH = 1024
@@ -201,11 +202,11 @@ def column_histogram(df: DataFrame, column: str, steps: int = 200, accuracy: int
     key = _c(column)
     floating = isinstance(dtype, (T.FloatType, T.DoubleType))
     ordered = F.when(~F.isnan(key), key) if floating else key
-    shares = [i / steps for i in range(1, steps)]
+    shares = constant_array([i / steps for i in range(1, steps)], T.DoubleType())
     found = df.agg(
         F.min(ordered).alias("low"),
         F.max(ordered).alias("high"),
-        F.percentile_approx(ordered, shares, accuracy).alias("edges") if shares else F.array().alias("edges"),
+        (F.percentile_approx(ordered, shares, accuracy) if steps > 1 else F.lit(None)).alias("edges"),
     ).first()
     edges = sorted({v for v in [found["low"], found["high"], *(found["edges"] or [])] if v is not None})
     if not edges:
@@ -219,11 +220,10 @@ def count_steps(df: DataFrame, column: str, edges: Sequence) -> DataFrame:
     """Exact counts for given step edges: rows below the edge and rows equal to it."""
     dtype = df.schema[column].dataType
     key = _c(column)
-    constant = F.array(*[F.lit(v).cast(dtype) for v in edges])
-    step = F.when(
-        key.isNotNull(), F.least(range_index(key, edges, dtype, above_equal=False), F.lit(len(edges) - 1))
-    ).cast("int")
-    placed = df.select(key.alias("_key"), step.alias("_step"))
+    constant = constant_array(edges, dtype)
+    above = with_range_index(df.select(key.alias("_key")), F.col("_key"), edges, "_above", dtype, above_equal=False)
+    last = F.lit(len(edges) - 1)
+    placed = above.select("_key", F.when(F.col("_key").isNotNull(), F.least("_above", last)).alias("_step"))
     high = F.element_at(constant, F.col("_step") + 1)
     counted = placed.groupBy("_step").agg(
         F.count("*").alias("_all"), F.count_if(F.col("_key") == high).alias("_equal")

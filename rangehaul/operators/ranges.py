@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from rangehaul.functions.interpolation import interpolate
-from rangehaul.functions.literals import literal, quoted
+from rangehaul.functions.literals import constant_array, literal, quoted
 from rangehaul.functions.types import INTEGER_TYPES, NUMERIC_TYPES, TEMPORAL_TYPES
 
 
@@ -158,38 +158,49 @@ def boundary_values(boundaries: DataFrame) -> list:
     return sorted(row["boundary"] for row in boundaries.select("boundary").collect())
 
 
-# Above this many boundaries the comparison tree gives way to a search in a constant array.
-_TREE_LIMIT = 1024
+# Up to this many boundaries a comparison tree is small enough for the JIT compiler.
+_TREE_LIMIT = 32
 
 
-def range_index(key: Column, boundaries: Sequence, dtype: T.DataType | None = None, above_equal: bool = True) -> Column:
-    """Number of boundaries at or below the key (`above_equal`), or strictly below it.
+def with_range_index(
+    df: DataFrame, key: Column, boundaries: Sequence, name: str, dtype: T.DataType, above_equal: bool = True
+) -> DataFrame:
+    """Add the number of boundaries at or below the key (`above_equal`), or strictly below it.
 
-    A balanced tree of comparisons: log2(n) steps per row, inside whole-stage codegen. NULL
-    belongs to range 0, NaN to the last range (Spark orders NaN above all numbers).
+    log2(n) comparisons per row, all in whole-stage codegen: a tree of conditions for few
+    boundaries, else a binary search in a constant array, one projection per step (a tree of
+    hundreds of conditions would be too large a method to be compiled). NULL belongs to range
+    0, NaN to the last range (Spark orders NaN above all numbers).
     """
     points = sorted(set(boundaries))
-    as_literal = lambda v: F.lit(v) if dtype is None else F.lit(v).cast(dtype)
-    if not points:
-        return F.lit(0)
+    typed = lambda v: F.lit(v).cast(dtype)
     reached = (lambda p: key >= p) if above_equal else (lambda p: key > p)
-    if len(points) > _TREE_LIMIT:
-        constant = F.array(*[as_literal(p) for p in points])
-        return F.when(key.isNull(), F.lit(0)).otherwise(F.size(F.filter(constant, reached)))
-
-    def tree(first: int, last: int) -> Column:
-        if first == last:
-            return F.lit(first)
-        middle = (first + last) // 2
-        return F.when(reached(as_literal(points[middle])), tree(middle + 1, last)).otherwise(tree(first, middle))
-
-    return F.when(key.isNull(), F.lit(0)).otherwise(tree(0, len(points)))
+    if not points:
+        return df.withColumn(name, F.lit(0))
+    if len(points) <= _TREE_LIMIT:
+
+        def tree(first: int, last: int) -> Column:
+            if first == last:
+                return F.lit(first)
+            middle = (first + last) // 2
+            return F.when(reached(typed(points[middle])), tree(middle + 1, last)).otherwise(tree(first, middle))
+
+        return df.withColumn(name, F.when(key.isNull(), F.lit(0)).otherwise(tree(0, len(points))))
+    constant = constant_array(points, dtype)
+    half = 1 << (len(points).bit_length() - 1)
+    found = df.withColumn(name, F.when(reached(typed(points[half - 1])), half).otherwise(0))
+    while half > 1:
+        half //= 2
+        # Beyond the end of the array the lookup is NULL, and the position stays.
+        further = F.col(name) + half
+        found = found.withColumn(name, F.when(reached(F.get(constant, further - 1)), further).otherwise(F.col(name)))
+    return found
 
 
 def assign_ranges(df: DataFrame, column: str, boundaries: Sequence, chunk: str = "chunk") -> DataFrame:
-    """Give each row the number of its range; a projection only."""
+    """Give each row the number of its range; projections only."""
     key = F.col("`" + column.replace("`", "``") + "`")
-    return df.withColumn(chunk, range_index(key, boundaries, df.schema[column].dataType))
+    return with_range_index(df, key, boundaries, chunk, df.schema[column].dataType)
 
 
 def range_coverage(df: DataFrame, predicates: Sequence[str]) -> DataFrame:

@@ -7,13 +7,13 @@ import uuid
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from rangehaul.functions.hashing import row_hash, wide_sum
 from rangehaul.functions.sizing import PartitionLimits, partition_count
-from rangehaul.operators.manifests import missing_chunks, select_manifests
+from rangehaul.operators.manifests import select_manifests
 from rangehaul.operators.profile import _FIXED_WIDTHS, column_histogram, key_bounds
-from rangehaul.operators.ranges import assign_ranges, boundary_values, histogram_boundaries, linear_boundaries, range_predicates
+from rangehaul.operators.ranges import assign_ranges, histogram_boundaries, linear_boundaries, range_predicates
 from rangehaul.operators.reconcile import reconcile_ranges, table_checksum
 from rangehaul.sinks.ledger import Ledger
 from rangehaul.sinks import snapshots as sink
@@ -83,29 +83,49 @@ def plan_ranges(df: DataFrame, key: str | None, options: IngestOptions = IngestO
         return RangePlan("single_scan", None if requested == 1 else key, (), ("1=1",), requested, rows)
     found = column_histogram(df, key, options.histogram_steps, options.accuracy)
     # At most one row per step; kept so that the scan does not run twice.
-    steps = spark.createDataFrame(found.collect(), found.schema)
-    steps = steps.withColumns({"table": F.lit(""), "column": F.lit(key)})
-    total = steps.agg(F.sum(F.col("range_rows") + F.col("equal_rows")).alias("n")).first()["n"]
-    rows = int(total or 0)
-    points, strategy = histogram_boundaries(steps, requested), "histogram_ranges"
-    values = boundary_values(points)
-    if not values:
+    rows_of_steps = found.collect()
+    rows = int(sum(r["range_rows"] + r["equal_rows"] for r in rows_of_steps))
+    steps = spark.createDataFrame(rows_of_steps, found.schema).coalesce(1)
+    named = lambda df: df.withColumns({"table": F.lit(""), "column": F.lit(key)})
+    cut = lambda points: range_predicates(points, True).orderBy("chunk").collect()
+    ranges, strategy = cut(histogram_boundaries(named(steps), requested)), "histogram_ranges"
+    if not ranges:
         low, high = key_bounds(df, key)
         if low is not None and low < high:
             dtype = df.schema[key].dataType
-            bounds = spark.createDataFrame(
-                [("", key, low, high)],
-                T.StructType(
-                    [T.StructField("table", T.StringType()), T.StructField("column", T.StringType()),
-                     T.StructField("low", dtype), T.StructField("high", dtype)]
-                ),
-            )
-            points, strategy = linear_boundaries(bounds, requested), "indexed_ranges"
-            values = boundary_values(points)
-    if not values:
+            schema = T.StructType([T.StructField("low", dtype), T.StructField("high", dtype)])
+            bounds = spark.createDataFrame([(low, high)], schema)
+            ranges, strategy = cut(linear_boundaries(named(bounds), requested)), "indexed_ranges"
+    if not ranges:
         return RangePlan("single_scan", key, (), ("1=1",), requested, rows)
-    predicates = [r["predicate"] for r in range_predicates(points, True).orderBy("chunk").collect()]
-    return RangePlan(strategy, key, tuple(values), tuple(predicates), requested, rows)
+    boundaries = tuple(r["low"] for r in ranges[1:])
+    return RangePlan(strategy, key, boundaries, tuple(r["predicate"] for r in ranges), requested, rows)
+
+
+def run_plan(ledger: Ledger, run_id: str, df: DataFrame, key: str | None, options: IngestOptions) -> RangePlan:
+    """The plan of a run: made once and stored, so that a resumed run keeps its ranges even when
+    the source has changed meanwhile."""
+    stored = ledger.read("plans").filter(F.col("run_id") == run_id)
+    dtype = df.schema[key].dataType if key is not None else T.StringType()
+    known = stored.select("*", F.col("low").cast(dtype).alias("boundary")).orderBy("chunk").collect()
+    if known:
+        first = known[0]
+        return RangePlan(
+            first["strategy"], first["column"], tuple(r["boundary"] for r in known[1:]),
+            tuple(r["predicate"] for r in known), first["requested"], first["source_rows"],
+        )
+    plan = plan_ranges(df, key, options)
+    schema = T.StructType(
+        [T.StructField("chunk", T.IntegerType()), T.StructField("low", dtype), T.StructField("high", dtype),
+         T.StructField("predicate", T.StringType())]
+    )
+    edges = [None, *plan.boundaries, None]
+    rows = [(i, edges[i], edges[i + 1], predicate) for i, predicate in enumerate(plan.predicates)]
+    constants = {"run_id": run_id, "strategy": plan.strategy, "column": plan.column, "requested": plan.requested,
+                 "source_rows": plan.source_rows}
+    frame = ledger.spark.createDataFrame(rows, schema).withColumns({k: F.lit(v) for k, v in constants.items()})
+    ledger.append("plans", frame.coalesce(1))
+    return plan
 
 
 def _now() -> str:
@@ -141,7 +161,9 @@ def ingest(
     try:
         mark = time.perf_counter()
         plan = (
-            RangePlan("given_ranges", key, (), ("1=1",), 1, None) if already_split else plan_ranges(source, key, options)
+            RangePlan("given_ranges", key, (), ("1=1",), 1, None)
+            if already_split
+            else run_plan(ledger, run_id, source, key, options)
         )
         mark = lap("planning", mark)
         attempt = _stage(ledger, source, root, run_id, plan, options, already_split)
@@ -149,7 +171,7 @@ def ingest(
         selected = _selected(ledger, run_id, None if already_split else plan.ranges)
         mode = _publish(ledger, source.schema, root, run_id, table, selected, options)
         mark = lap("publication", mark)
-        totals = _validate(ledger, run_id, source.schema, plan, attempt, options)
+        totals = _validate(ledger, run_id, source.schema, plan, selected, attempt, options)
         lap("validation", mark)
         durations["engine_total"] = time.perf_counter() - clock
         snapshot = sink.snapshot_rows(ledger, run_id).agg(F.sum("bytes").alias("b"), F.sum("files").alias("f")).first()
@@ -202,54 +224,54 @@ def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: Rang
     sink.stage_chunks(observed, path, CHUNK, options.compression, options.rows_per_file, already_split=True)
     counted = seen.get
     schema = T.StructType([*source.schema.fields, T.StructField(CHUNK, T.IntegerType())])
-    manifests = sink.chunk_manifests(sink.chunk_files(spark, path, CHUNK, schema), run_id, attempt_id, path, _now())
-    if pending is not None:
-        # A range without rows leaves no file, yet it is done.
-        planned = spark.createDataFrame([(i,) for i in pending], "index int")
-        empty = planned.join(manifests, "index", "left_anti").select(
-            F.lit(run_id).alias("run_id"), "index", F.lit(attempt_id).alias("attempt_id"), F.lit(None).cast("string").alias("path"),
-            F.lit(0).alias("rows"), F.lit(0).alias("bytes"), F.lit(0).alias("files"), F.lit(_now()).alias("completed_at"),
-        )
-        manifests = manifests.unionByName(empty)
-    ledger.append("manifests", manifests.coalesce(1))
+    found = sink.chunk_manifests(sink.chunk_files(spark, path, CHUNK, schema), run_id, attempt_id, path, _now())
+    # One small row per range. A range without rows leaves no file, yet it is done.
+    rows = found.collect()
+    empty = set(pending or ()) - {r["index"] for r in rows}
+    rows += [Row(run_id, i, attempt_id, None, 0, 0, 0, _now()) for i in sorted(empty)]
+    ledger.append("manifests", spark.createDataFrame(rows, found.schema).coalesce(1))
     return {"rows": counted["rows"], "checksum": counted["checksum"], "whole": not done}
 
 
-def _selected(ledger: Ledger, run_id: str, ranges: int | None) -> DataFrame:
+def _selected(ledger: Ledger, run_id: str, ranges: int | None) -> list[Row]:
+    """The manifest of each chunk, one small row per range of the plan; none may be missing."""
     valid = ledger.read("manifests").filter(F.col("run_id") == run_id)
+    selected = select_manifests(valid).collect()
     if ranges is not None:
-        plans = ledger.spark.createDataFrame([(run_id, ranges)], "run_id string, chunk_count int")
-        missing = [r["index"] for r in missing_chunks(plans, valid).select("index").collect()]
+        missing = sorted(set(range(ranges)) - {r["index"] for r in selected})
         if missing:
-            raise RuntimeError(f"no manifest for chunks {sorted(missing)}")
-    return select_manifests(valid)
+            raise RuntimeError(f"no manifest for chunks {missing}")
+    return selected
 
 
-def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table: str, selected: DataFrame, options: IngestOptions) -> str:
+def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table: str, selected: list[Row], options: IngestOptions) -> str:
     spark = ledger.spark
-    present = sink.snapshot_rows(ledger, run_id).select("mode").limit(1).collect()
-    if present:
-        return present[0]["mode"]
-    version = (ledger.read("snapshots").filter(F.col("table") == table).agg(F.max("version").alias("v")).first()["v"] or 0) + 1
-    filled = selected.filter("files > 0")
+    snapshots = ledger.read("snapshots")
+    known = snapshots.filter(F.col("table") == table).agg(
+        F.max("version").alias("version"), F.max(F.when(F.col("run_id") == run_id, F.col("mode"))).alias("mode")
+    ).first()
+    if known["mode"] is not None:
+        return known["mode"]
+    version = (known["version"] or 0) + 1
+    filled = [r for r in selected if r["files"]]
     final = f"{root.rstrip('/')}/{table}/{run_id}"
-    paths = [r["path"] for r in filled.select("path").collect()]
-    if not paths:
+    if not filled:
         # An empty table is published as an empty file with its schema.
         sink.write_snapshot(spark.createDataFrame([], schema), final, compression=options.compression)
         sink.publish_rewrite(ledger, run_id, table, final, version)
         return "rewrite"
     if options.publication == "rewrite":
-        sink.rewrite(spark, [spark.read.schema(schema).parquet(*sorted(paths))], final, options.files, options.compression)
+        staged = spark.read.schema(schema).parquet(*sorted(r["path"] for r in filled))
+        sink.rewrite(spark, [staged], final, options.files, options.compression)
         sink.publish_rewrite(ledger, run_id, table, final, version)
         return "rewrite"
-    sink.publish_by_reference(ledger, run_id, table, filled, version)
+    sink.publish_by_reference(ledger, run_id, table, spark.createDataFrame(filled), version)
     return "zero_copy"
 
 
-def _validate(ledger: Ledger, run_id: str, schema: T.StructType, plan: RangePlan, staged, options: IngestOptions) -> int:
+def _validate(ledger: Ledger, run_id: str, schema: T.StructType, plan: RangePlan, selected: list[Row], staged, options: IngestOptions) -> int:
     """Counts of manifests, snapshot and source agree; strictly, so do the fingerprints."""
-    promised = select_manifests(ledger.read("manifests").filter(F.col("run_id") == run_id)).agg(F.sum("rows").alias("n")).first()["n"] or 0
+    promised = sum(r["rows"] for r in selected)
     snapshot = sink.read_snapshot(ledger, run_id, schema)
     if options.validation == "strict":
         found = table_checksum(snapshot).first()
@@ -268,7 +290,7 @@ def _validate(ledger: Ledger, run_id: str, schema: T.StructType, plan: RangePlan
 def reconcile(source: DataFrame, root: str, run_id: str, key: str, options: IngestOptions = IngestOptions()) -> DataFrame:
     """Source against published snapshot, range by range."""
     ledger = Ledger(source.sparkSession, f"{root.rstrip('/')}/ledger")
-    plan = plan_ranges(source, key, options)
+    plan = run_plan(ledger, run_id, source, key, options)
     copy = sink.read_snapshot(ledger, run_id, source.schema)
     place = lambda df: assign_ranges(df, key, plan.boundaries, CHUNK)
     return reconcile_ranges(place(source), place(copy), CHUNK)

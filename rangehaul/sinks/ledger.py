@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 # Tables of the ledger.
 SCHEMAS = {
     "requests": "run_id string, request string, request_hash string, requested_at timestamp",
+    "plans": "run_id string, chunk int, low string, high string, predicate string, strategy string, `column` string, "
+    "requested int, source_rows bigint",
     "manifests": "run_id string, index int, attempt_id string, path string, rows bigint, bytes bigint, "
     "files bigint, completed_at string",
     "snapshots": "run_id string, `table` string, version bigint, mode string, index int, path string, rows bigint, "

@@ -43,14 +43,17 @@ class Ledger:
         self.root = root.rstrip("/")
         self._present: set[str] = set()
 
+    def _exists(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def read(self, name: str) -> DataFrame:
+        """A ledger table; one that nothing was appended to yet is empty."""
         schema = T.StructType.fromDDL(SCHEMAS[name])
-        path = f"{self.root}/{name}"
-        if name not in self._present:
-            # Leaves an existing table alone.
-            self.spark.createDataFrame([], schema).coalesce(1).write.mode("ignore").parquet(path)
-            self._present.add(name)
-        return self.spark.read.schema(schema).parquet(path)
+        if name not in self._present and not self._exists(name):
+            return self.spark.createDataFrame([], schema)
+        self._present.add(name)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def append(self, name: str, rows: DataFrame) -> None:
         schema = T.StructType.fromDDL(SCHEMAS[name])

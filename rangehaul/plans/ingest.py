@@ -171,7 +171,7 @@ def ingest(
         selected = _selected(ledger, run_id, None if already_split else plan.ranges)
         mode = _publish(ledger, source.schema, root, run_id, table, selected, options)
         mark = lap("publication", mark)
-        totals = _validate(ledger, run_id, source.schema, plan, selected, attempt, options)
+        totals = _validate(ledger, run_id, source, plan, selected, attempt, options)
         lap("validation", mark)
         durations["engine_total"] = time.perf_counter() - clock
         snapshot = sink.snapshot_rows(ledger, run_id).agg(F.sum("bytes").alias("b"), F.sum("files").alias("f")).first()
@@ -269,15 +269,23 @@ def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table
     return "zero_copy"
 
 
-def _validate(ledger: Ledger, run_id: str, schema: T.StructType, plan: RangePlan, selected: list[Row], staged, options: IngestOptions) -> int:
+def _validate(ledger: Ledger, run_id: str, source: DataFrame, plan: RangePlan, selected: list[Row], staged, options: IngestOptions) -> int:
     """Counts of manifests, snapshot and source agree; strictly, so do the fingerprints."""
     promised = sum(r["rows"] for r in selected)
-    snapshot = sink.read_snapshot(ledger, run_id, schema)
+    snapshot = sink.read_snapshot(ledger, run_id, source.schema)
     if options.validation == "strict":
         found = table_checksum(snapshot).first()
         rows = found["rows"]
-        if staged and staged["whole"] and (rows, found["checksum"]) != (staged["rows"], staged["checksum"]):
-            raise RuntimeError("snapshot differs from the rows that were written")
+        if staged and staged["whole"]:
+            proof = (staged["rows"], staged["checksum"])
+        elif options.require_source_match:
+            # Written over several attempts: the source itself is the proof.
+            again = table_checksum(source).first()
+            proof = (again["rows"], again["checksum"])
+        else:
+            proof = (rows, found["checksum"])
+        if (rows, found["checksum"]) != proof:
+            raise RuntimeError("snapshot differs from the rows that were read")
     else:
         rows = snapshot.count()
     if rows != promised:

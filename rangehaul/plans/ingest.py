@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
@@ -34,6 +35,8 @@ class IngestOptions:
     accuracy: int = 10_000
     compression: str = "zstd"
     rows_per_file: int = 5_000_000
+    # The source is sorted by the key: rows of a task belong to few ranges and need not move.
+    sorted_by_key: bool = False
     # "auto" publishes staged files by reference, "rewrite" writes sized files.
     publication: str = "auto"
     files: int | None = None
@@ -102,11 +105,14 @@ def plan_ranges(df: DataFrame, key: str | None, options: IngestOptions = IngestO
     return RangePlan(strategy, key, boundaries, tuple(r["predicate"] for r in ranges), requested, rows)
 
 
-def run_plan(ledger: Ledger, run_id: str, df: DataFrame, key: str | None, options: IngestOptions) -> RangePlan:
+def run_plan(
+    ledger: Ledger, run_id: str, df: DataFrame, key: str | None, options: IngestOptions, given: RangePlan | None = None
+) -> RangePlan:
     """The plan of a run: made once and stored, so that a resumed run keeps its ranges even when
     the source has changed meanwhile."""
     stored = ledger.read("plans").filter(F.col("run_id") == run_id)
-    dtype = df.schema[key].dataType if key is not None else T.StringType()
+    column = given.column if given is not None else key
+    dtype = df.schema[column].dataType if column is not None else T.StringType()
     known = stored.select("*", F.col("low").cast(dtype).alias("boundary")).orderBy("chunk").collect()
     if known:
         first = known[0]
@@ -114,7 +120,7 @@ def run_plan(ledger: Ledger, run_id: str, df: DataFrame, key: str | None, option
             first["strategy"], first["column"], tuple(r["boundary"] for r in known[1:]),
             tuple(r["predicate"] for r in known), first["requested"], first["source_rows"],
         )
-    plan = plan_ranges(df, key, options)
+    plan = given if given is not None else plan_ranges(df, key, options)
     schema = T.StructType(
         [T.StructField("chunk", T.IntegerType()), T.StructField("low", dtype), T.StructField("high", dtype),
          T.StructField("predicate", T.StringType())]
@@ -133,14 +139,23 @@ def _now() -> str:
 
 
 def ingest(
-    source: DataFrame, root: str, run_id: str, table: str, key: str | None = None, options: IngestOptions = IngestOptions(),
-    already_split: bool = False,
+    source: DataFrame,
+    root: str,
+    run_id: str,
+    table: str,
+    key: str | None = None,
+    options: IngestOptions = IngestOptions(),
+    plan: RangePlan | None = None,
+    read: Callable[[list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Load a whole table and return its run row.
 
     A finished run returns its stored result. An unfinished run continues: chunks with a
-    manifest are not read again. `already_split` takes the partitions of the source as the
-    ranges (a JDBC range read), so that rows are written where they were read.
+    manifest are not read again.
+
+    A database table brings its own `plan` (from its catalog) and `read`, which turns predicates
+    into a frame with one partition per predicate; its rows are written where they were read.
+    `source` then only gives the schema and, for a strict check over several attempts, the rows.
     """
     spark = source.sparkSession
     ledger = Ledger(spark, f"{root.rstrip('/')}/ledger")
@@ -160,15 +175,11 @@ def ingest(
 
     try:
         mark = time.perf_counter()
-        plan = (
-            RangePlan("given_ranges", key, (), ("1=1",), 1, None)
-            if already_split
-            else run_plan(ledger, run_id, source, key, options)
-        )
+        plan = run_plan(ledger, run_id, source, key, options, plan)
         mark = lap("planning", mark)
-        attempt = _stage(ledger, source, root, run_id, plan, options, already_split)
+        attempt = _stage(ledger, source, root, run_id, plan, options, read)
         mark = lap("extraction", mark)
-        selected = _selected(ledger, run_id, None if already_split else plan.ranges)
+        selected = _selected(ledger, run_id, plan.ranges)
         mode = _publish(ledger, source.schema, root, run_id, table, selected, options)
         mark = lap("publication", mark)
         totals = _validate(ledger, run_id, source, plan, selected, attempt, options)
@@ -196,27 +207,33 @@ def _done(ledger: Ledger, run_id: str) -> set[int]:
     return {r["index"] for r in rows}
 
 
-def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: RangePlan, options: IngestOptions, already_split: bool):
+def _pending_rows(source: DataFrame, plan: RangePlan, pending: list[int], options: IngestOptions, read) -> DataFrame:
+    """The rows of the pending ranges with their range number, placed for writing."""
+    # The predicates of the pending ranges reach the scan.
+    if read is not None:
+        kept = read([plan.predicates[i] for i in pending])
+    elif len(pending) < plan.ranges:
+        kept = source.filter(F.expr(" OR ".join(f"({plan.predicates[i]})" for i in pending)))
+    else:
+        kept = source
+    if not plan.boundaries:
+        return kept.withColumn(CHUNK, F.lit(0))
+    assigned = assign_ranges(kept, plan.column, plan.boundaries, CHUNK)
+    # Partitions that already are ranges stay where they were read.
+    return assigned if options.sorted_by_key or read is not None else assigned.hint("rebalance", CHUNK)
+
+
+def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: RangePlan, options: IngestOptions, read):
     """Write the pending chunks and their manifests; returns what was observed while writing."""
     spark = ledger.spark
     done = _done(ledger, run_id)
-    if already_split:
-        if done:
-            return None
-        assigned, pending = source.withColumn(CHUNK, F.spark_partition_id()), None
-    else:
-        pending = [i for i in range(plan.ranges) if i not in done]
-        if not pending:
-            return None
-        kept = source
-        if done:
-            # Only the pending ranges are read: their predicates reach the scan.
-            kept = source.filter(F.expr(" OR ".join(f"({plan.predicates[i]})" for i in pending)))
-        assigned = assign_ranges(kept, plan.column, plan.boundaries, CHUNK) if plan.boundaries else kept.withColumn(CHUNK, F.lit(0))
+    pending = [i for i in range(plan.ranges) if i not in done]
+    if not pending:
+        return None
+    placed = _pending_rows(source, plan, pending, options, read)
     attempt_id = uuid.uuid4().hex
     path = f"{root.rstrip('/')}/staging/{run_id}/{attempt_id}"
     seen = Observation(f"staged-{attempt_id}")
-    placed = assigned if already_split or not plan.boundaries else assigned.hint("rebalance", CHUNK)
     # Observed behind the shuffle, in the tasks that write: each is counted once, even when
     # lost map output is computed again.
     values = [c for c in source.columns]
@@ -227,20 +244,19 @@ def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: Rang
     found = sink.chunk_manifests(sink.chunk_files(spark, path, CHUNK, schema), run_id, attempt_id, path, _now())
     # One small row per range. A range without rows leaves no file, yet it is done.
     rows = found.collect()
-    empty = set(pending or ()) - {r["index"] for r in rows}
+    empty = set(pending) - {r["index"] for r in rows}
     rows += [Row(run_id, i, attempt_id, None, 0, 0, 0, _now()) for i in sorted(empty)]
     ledger.append("manifests", spark.createDataFrame(rows, found.schema).coalesce(1))
     return {"rows": counted["rows"], "checksum": counted["checksum"], "whole": not done}
 
 
-def _selected(ledger: Ledger, run_id: str, ranges: int | None) -> list[Row]:
+def _selected(ledger: Ledger, run_id: str, ranges: int) -> list[Row]:
     """The manifest of each chunk, one small row per range of the plan; none may be missing."""
     valid = ledger.read("manifests").filter(F.col("run_id") == run_id)
     selected = select_manifests(valid).collect()
-    if ranges is not None:
-        missing = sorted(set(range(ranges)) - {r["index"] for r in selected})
-        if missing:
-            raise RuntimeError(f"no manifest for chunks {missing}")
+    missing = sorted(set(range(ranges)) - {r["index"] for r in selected})
+    if missing:
+        raise RuntimeError(f"no manifest for chunks {missing}")
     return selected
 
 

@@ -172,10 +172,13 @@ def publish_by_reference(ledger, run_id: str, table: str, selected: DataFrame, v
 
 
 def rewrite(spark: SparkSession, frames: Sequence[DataFrame], path: str, files: int | None = None, compression: str = "zstd", schema: T.StructType | None = None) -> None:
-    """Publish by writing again: types unified over all inputs (or a given schema), right-sized files."""
+    """Publish by writing again: types unified over all inputs (or a given schema).
+
+    Without a file count nothing is shuffled: a scan packs small files and cuts large ones to
+    `spark.sql.files.maxPartitionBytes`, so each task already writes one file of that order.
+    """
     whole = unify_union([conform(f, schema) for f in frames] if schema else frames)
-    output, _ = sized(whole, files) if files else (whole.hint("rebalance"), "rebalance")
-    write_snapshot(output, path, compression=compression)
+    write_snapshot(sized(whole, files)[0], path, compression=compression)
 
 
 def publish_rewrite(ledger, run_id: str, table: str, path: str, version: int) -> None:

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from rangehaul.plans import ingest as I
+from rangehaul.operators.profile import column_histogram
 from rangehaul.plans.ingest import IngestOptions, ingest, plan_ranges, reconcile
+from rangehaul.plans.jdbc_load import plan_from_catalog, planned_fetch_rows
 from rangehaul.sinks import snapshots as S
 from rangehaul.sinks.ledger import Ledger, RunConflict, canonical
 
@@ -113,11 +115,73 @@ def test_range_without_rows_is_done(spark, scratch, monkeypatch):
     assert rows[2] == (0, 0) and rows[0][0] == rows[1][0] == 50
 
 
-def test_given_ranges_are_not_shuffled(spark, data, scratch):
-    source = orders(spark, data).repartition(3)
-    root = scratch()
-    run = ingest(source, root, "r", "orders", options=IngestOptions(), already_split=True).first()
-    assert run["rows"] == source.count() and run["files"] == 3 and run["strategy"] == "given_ranges"
+def partition_per_predicate(source):
+    """Stands in for a database: a frame with one partition per predicate, in their order."""
+
+    def read(predicates):
+        read.calls.append(list(predicates))
+        frames = [source.filter(p).coalesce(1) for p in predicates]
+        whole = frames[0]
+        for frame in frames[1:]:
+            whole = whole.union(frame)
+        return whole
+
+    read.calls = []
+    return read
+
+
+def catalog_plan(spark, source, rows):
+    kinds = "table string, column string, position int, sql_type string, nullable boolean, index_id int, clustered boolean, is_unique boolean, primary_key boolean"
+    profile = spark.createDataFrame([("t", "o_orderkey", 1, "bigint", True, 1, True, True, True), ("t", "o_custkey", 2, "bigint", True, None, False, False, False)], kinds)
+    sizes = spark.createDataFrame([("t", rows, 1 << 30)], "table string, rows bigint, bytes bigint")
+    steps = column_histogram(source, "o_orderkey", 20)
+    return profile, sizes, steps
+
+
+def test_database_ranges_resume(spark, data, scratch, monkeypatch):
+    source, root = orders(spark, data), scratch()
+    profile, sizes, steps = catalog_plan(spark, source, source.count())
+    limits = I.PartitionLimits(task_slots=4)
+    plan = plan_from_catalog(profile, sizes, steps, limits=limits, dialect="spark")
+    assert plan.strategy == "histogram_ranges" and plan.ranges == 4 and plan.column == "o_orderkey"
+    assert plan.predicates[0].endswith("IS NULL)")
+    read = partition_per_predicate(source)
+    schema_only = source.limit(0)
+    monkeypatch.setattr(I, "_publish", lambda *_: 1 / 0)
+    options = IngestOptions(require_source_match=False)
+    with pytest.raises(ZeroDivisionError):
+        ingest(schema_only, root, "r", "orders", "o_orderkey", options, plan, read)
+    monkeypatch.undo()
+    assert read.calls == [list(plan.predicates)]
+    # Keep two of four manifests: only the other ranges are read again.
+    other = scratch()
+    before, after = Ledger(spark, load(root)), Ledger(spark, load(other))
+    for name in ("requests", "plans"):
+        after.append(name, before.read(name))
+    after.append("manifests", before.read("manifests").filter(F.col("index").isin(0, 2)))
+    run = ingest(schema_only, other, "r", "orders", "o_orderkey", options, plan, read).first()
+    assert read.calls[1] == [plan.predicates[1], plan.predicates[3]]
+    assert run["rows"] == source.count() and run["files"] == 4
+    assert same_rows(S.read_snapshot(after, "r", source.schema), source)
+
+
+def test_plans_from_a_catalog(spark, data):
+    source = orders(spark, data)
+    profile, sizes, steps = catalog_plan(spark, source, 10**6)
+    bounds = source.agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"))
+    limits = I.PartitionLimits(task_slots=4)
+    assert plan_from_catalog(profile, sizes, None, bounds, limits).strategy == "indexed_ranges"
+    assert plan_from_catalog(profile, sizes, steps, bounds, limits).predicates[1].startswith("[o_orderkey] >= ")
+    assert plan_from_catalog(profile.filter("index_id IS NULL"), sizes, steps, bounds, limits).predicates == ("1=1",)
+    assert plan_from_catalog(profile, sizes, None, None, limits).strategy == "single_scan"
+    assert plan_from_catalog(profile, sizes, steps, bounds, I.PartitionLimits(task_slots=1)).column is None
+    assert planned_fetch_rows(sizes, 4) == 15621
+
+
+def test_sorted_source_is_not_shuffled(spark, data, scratch):
+    source, root = orders(spark, data).sort("o_orderkey"), scratch()
+    run = ingest(source, root, "r", "orders", "o_orderkey", IngestOptions(ranges=3, sorted_by_key=True)).first()
+    assert run["rows"] == source.count() and run["partitions"] == 3
 
 
 def test_hot_chunk_is_written_by_many_tasks(spark, scratch):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
@@ -19,17 +21,28 @@ def _hashable(field: T.StructField) -> Column:
     return value
 
 
+_MASK_BITS = 60
+
+
+def _null_mask(fields: list[T.StructField]) -> Column:
+    bits = [
+        F.when(F.col(_name(f.name)).isNull(), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        for i, f in enumerate(fields)
+    ]
+    return reduce(Column.bitwiseOR, bits)
+
+
 def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     """64-bit hash of a row in which NULLs keep their place.
 
-    xxhash64 steps over NULL arguments, so (NULL, 1) and (1, NULL) would meet; each column
-    therefore also gives a NULL flag, hashed with the values.
+    xxhash64 steps over NULL arguments, so (NULL, 1) and (1, NULL) would meet; the positions of
+    the NULLs are therefore hashed with the values, as bit masks.
     """
     chosen = [f for f in df.schema.fields if columns is None or f.name in columns]
     if not chosen:
         return F.lit(0).cast("bigint")
-    flags = F.concat(*[F.when(F.col(_name(f.name)).isNull(), F.lit("1")).otherwise(F.lit("0")) for f in chosen])
-    return F.xxhash64(*[_hashable(f) for f in chosen], flags)
+    masks = [_null_mask(chosen[i : i + _MASK_BITS]) for i in range(0, len(chosen), _MASK_BITS)]
+    return F.xxhash64(*[_hashable(f) for f in chosen], *masks)
 
 
 def wide_sum(value: Column) -> Column:

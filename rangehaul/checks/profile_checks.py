@@ -84,6 +84,58 @@ def discover_columns(spark, sf):
     return P.discover_columns(columns, types, indexes, index_columns, stats, stats_columns)
 
 
+@check(
+    "discover_columns_oracle",
+    """
+    WITH cols AS (
+      SELECT l_orderkey AS t, l_linenumber AS column_id, 'C' || l_linenumber AS col,
+             CASE min(l_suppkey) % 5 WHEN 0 THEN 'NUMBER' WHEN 1 THEN 'TIMESTAMP(6)' WHEN 2 THEN 'BINARY_DOUBLE' WHEN 3 THEN 'DATE' ELSE 'VARCHAR2' END AS kind,
+             max(l_discount) > 0.05 AS nullable, CASE WHEN min(l_partkey) % 6 > 0 THEN CAST(min(l_partkey) % 6 * 5 AS INTEGER) END AS p,
+             CAST(min(l_partkey) % 2 AS INTEGER) AS s
+      FROM lineitem GROUP BY ALL),
+    lead AS (
+      SELECT i.t, ic.col, i.name, i.uniq, i.pk FROM
+        (SELECT l_orderkey AS t, 'IX_' || l_suppkey AS name, max(l_tax) > 0.04 AS uniq, max(l_returnflag) <> 'A' AS ok, max(l_returnflag) = 'R' AS pk
+         FROM lineitem GROUP BY l_orderkey, l_suppkey) i
+        JOIN (SELECT l_orderkey AS t, 'IX_' || l_suppkey AS name, 'C' || l_linenumber AS col FROM lineitem
+              GROUP BY l_orderkey, l_suppkey, l_linenumber HAVING min(l_partkey) % 2 = 0) ic ON i.t = ic.t AND i.name = ic.name
+      WHERE ok QUALIFY row_number() OVER (PARTITION BY i.t, ic.col ORDER BY pk DESC, uniq DESC, i.name) = 1)
+    SELECT cols.t AS "table", column_id, cols.col AS "column",
+           CASE kind WHEN 'NUMBER' THEN CASE WHEN s > 0 OR p IS NULL OR p > 18 THEN 'decimal' WHEN p <= 9 THEN 'int' ELSE 'bigint' END
+                WHEN 'BINARY_DOUBLE' THEN 'float' WHEN 'VARCHAR2' THEN 'varchar2' ELSE 'datetime2' END AS sql_type,
+           nullable, coalesce(p, 0) AS precision, s AS scale, lead.name AS index_name, false AS clustered,
+           coalesce(uniq, false) AS is_unique, coalesce(pk, false) AS primary_key
+    FROM cols LEFT JOIN lead ON lead.t = cols.t AND lead.col = cols.col
+    """,
+)
+def discover_columns_oracle(spark, sf):
+    lines = table(spark, sf, "lineitem").withColumns(
+        {
+            "table": F.col("l_orderkey"),
+            "column_id": F.col("l_linenumber"),
+            "column": F.concat(F.lit("C"), F.col("l_linenumber")),
+            "index_name": F.concat(F.lit("IX_"), F.col("l_suppkey")),
+        }
+    )
+    kinds = F.array(*[F.lit(k) for k in ("NUMBER", "TIMESTAMP(6)", "BINARY_DOUBLE", "DATE", "VARCHAR2")])
+    part = F.min("l_partkey")
+    columns = lines.groupBy("table", "column_id", "column").agg(
+        F.get(kinds, (F.min("l_suppkey") % 5).cast("int")).alias("data_type"),
+        F.when(F.max("l_discount") > 0.05, "Y").otherwise("N").alias("nullable"),
+        F.when(part % 6 > 0, part % 6 * 5).cast("int").alias("precision"),
+        (part % 2).cast("int").alias("scale"),
+    )
+    per_index = lines.groupBy("table", "index_name")
+    indexes = per_index.agg(
+        F.when(F.max("l_tax") > 0.04, "UNIQUE").otherwise("NONUNIQUE").alias("uniqueness"),
+        F.when(F.max("l_returnflag") != "A", "VALID").otherwise("UNUSABLE").alias("status"),
+        F.lit("NORMAL").alias("index_type"),
+    )
+    index_columns = lines.groupBy("table", "index_name", "column").agg((part % 2 + 1).alias("key_ordinal"))
+    constraints = per_index.agg(F.when(F.max("l_returnflag") == "R", "P").otherwise("C").alias("constraint_type"))
+    return P.discover_columns_oracle(columns, indexes, index_columns, constraints)
+
+
 def _partition_stats(spark, sf):
     return table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("table"),

@@ -282,3 +282,18 @@ def metrics_long(spark, sf):
     rows = R.metrics_long(runs, ["rows", "output_bytes"], ["run_id", "engine", "table"])
     label = lambda name: F.try_element_at("labels", F.lit(name)).alias(name)
     return rows.select(label("run_id"), label("engine"), label("table"), "metric", label("phase"), "value")
+
+
+@check(
+    "metrics_text",
+    f"""
+    WITH {_RUNS_SQL}
+    SELECT 'load_rows{{run_id="' || run_id || '",engine="' || engine || '"}} ' || rows || '.0' AS value FROM runs WHERE rows < 10000000
+    UNION ALL
+    SELECT 'load_plan_info{{run_id="' || run_id || '",engine="' || engine || '",strategy="histogram_ranges",read_mode="' || read_mode || '"}} 1.0' FROM runs
+    """,
+)
+def metrics_text(spark, sf):
+    runs = event_runs(spark, sf)
+    rows = R.metrics_long(runs, ["rows"], ["run_id", "engine"], {}, {"plan_info": ["strategy", "read_mode"]})
+    return R.metrics_text(rows, "load_")

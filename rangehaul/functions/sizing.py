@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, functions as F
 
@@ -10,8 +10,20 @@ MIB = 1 << 20
 GIB = 1 << 30
 
 
+class _Positive:
+    """Limits are positive whole numbers; an absent one is None."""
+
+    def __post_init__(self) -> None:
+        for field in fields(self):
+            value = getattr(self, field.name)
+            if value is None and field.default is None:
+                continue
+            if isinstance(value, bool) or not isinstance(value, int) or value < 1:
+                raise ValueError(f"{field.name} must be a positive whole number, not {value!r}")
+
+
 @dataclass(frozen=True)
-class PartitionLimits:
+class PartitionLimits(_Positive):
     """Limits of one Spark read."""
 
     max_connections: int = 8
@@ -21,7 +33,7 @@ class PartitionLimits:
 
 
 @dataclass(frozen=True)
-class ChunkLimits:
+class ChunkLimits(_Positive):
     """Limits of durable chunks. A `target_bytes` makes the choice manual."""
 
     max_workers: int = 4
@@ -38,7 +50,7 @@ class ChunkLimits:
 
 
 @dataclass(frozen=True)
-class FetchLimits:
+class FetchLimits(_Positive):
     """Rows per fetch follow the row width. `rows` makes the choice manual."""
 
     batch_bytes: int = 16 * MIB

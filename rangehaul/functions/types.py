@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
+from pyspark.sql import Column, functions as F, types as T
 
 # Type families the planner can split on.
 INTEGER_TYPES = ("tinyint", "smallint", "int", "bigint")
@@ -125,6 +125,21 @@ def planner_type(oracle_name: str, precision: int | None, scale: int | None) ->
     return name.lower()
 
 
+def planner_type_of(name: Column, precision: Column, scale: Column) -> Column:
+    """`planner_type` for catalog rows."""
+    upper = F.upper(name)
+    digits = F.coalesce(precision, F.lit(39))
+    number = (
+        F.when((F.coalesce(scale, F.lit(0)) > 0) | (digits > 18), "decimal").when(digits <= 9, "int").otherwise("bigint")
+    )
+    return (
+        F.when(upper == "NUMBER", number)
+        .when(upper.isin("FLOAT", "BINARY_FLOAT", "BINARY_DOUBLE"), "float")
+        .when((upper == "DATE") | upper.startswith("TIMESTAMP"), "datetime2")
+        .otherwise(F.lower(name))
+    )
+
+
 def source_schema(columns: list[SourceColumn], source: str = "sqlserver") -> T.StructType:
     """Spark schema of a source table."""
     pick = (lambda c: sqlserver_type(c)[0]) if source == "sqlserver" else oracle_type

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from rangehaul.functions.literals import constant_array
+from rangehaul.functions.types import planner_type_of
 from rangehaul.operators.ranges import with_range_index
 
 PAGE_BYTES = 8192
@@ -88,6 +89,57 @@ def discover_columns(
     )
 
 
+def discover_columns_oracle(
+    columns: DataFrame, indexes: DataFrame, index_columns: DataFrame, constraints: DataFrame
+) -> DataFrame:
+    """Column profile from Oracle catalog frames, in the shape of `discover_columns`.
+
+    Leading columns of valid normal indexes count; of several indexes the one behind the primary
+    key goes first, then unique ones, then by name. Types become the planner's neutral types.
+
+    columns(table, column_id, column, data_type, nullable 'Y'/'N', precision, scale)
+    indexes(table, index_name, uniqueness, status, index_type)
+    index_columns(table, index_name, column, key_ordinal), constraints(table, index_name, constraint_type)
+    """
+    keys = constraints.filter("constraint_type = 'P'").select("table", "index_name", F.lit(True).alias("primary_key")).distinct()
+    leading = (
+        indexes.filter("status = 'VALID' AND index_type = 'NORMAL'")
+        .join(index_columns.filter("key_ordinal = 1").select("table", "index_name", "column"), ["table", "index_name"])
+        .join(keys, ["table", "index_name"], "left")
+        .withColumn("primary_key", F.coalesce("primary_key", F.lit(False)))
+        .withColumn("is_unique", F.col("uniqueness") == "UNIQUE")
+    )
+    order = [F.desc("primary_key"), F.desc("is_unique"), F.asc("index_name")]
+    best = (
+        leading.withColumn("_rank", F.row_number().over(W.partitionBy("table", "column").orderBy(*order)))
+        .filter("_rank = 1")
+        .select("table", "column", "index_name", "is_unique", "primary_key")
+    )
+    return columns.join(best, ["table", "column"], "left").select(
+        "table",
+        "column_id",
+        "column",
+        planner_type_of(F.col("data_type"), F.col("precision"), F.col("scale")).alias("sql_type"),
+        (F.col("nullable") == "Y").alias("nullable"),
+        F.coalesce("precision", F.lit(0)).alias("precision"),
+        F.coalesce("scale", F.lit(0)).alias("scale"),
+        "index_name",
+        F.lit(False).alias("clustered"),
+        F.coalesce("is_unique", F.lit(False)).alias("is_unique"),
+        F.coalesce("primary_key", F.lit(False)).alias("primary_key"),
+    )
+
+
+def split_candidates(discovered: DataFrame) -> DataFrame:
+    """A discovered catalog in the shape that `choose_split_key` takes."""
+    index = "index_name" if "index_name" in discovered.columns else "index_id"
+    indexed = F.when(F.col(index).isNotNull() & (F.col(index).cast("string") != "0"), F.lit(1))
+    return discovered.select(
+        "table", "column", F.col("column_id").alias("position"), "sql_type", "nullable", indexed.alias("index_id"),
+        "clustered", "is_unique", "primary_key",
+    )
+
+
 def table_size(tables: DataFrame, partition_stats: DataFrame) -> DataFrame:
     """Rows and bytes per table over its heap or clustered parts (index_id 0 or 1)."""
     parts = (

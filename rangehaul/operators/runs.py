@@ -179,24 +179,46 @@ def latest_version(versions: DataFrame, by: Sequence[str] = ("table",), version:
 
 
 def metrics_long(
-    runs: DataFrame, metrics: Sequence[str], labels: Sequence[str], durations: str = "durations_seconds"
+    runs: DataFrame,
+    metrics: Sequence[str],
+    labels: Sequence[str],
+    durations: Mapping[str, str] | str = "durations_seconds",
+    infos: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
-    """One row per metric and per phase: (metric, labels map, value).
+    """One row per metric, per phase and per information: (metric, labels map, value).
 
-    One projection per run; labels, gauges and phases are built side by side, without a join.
+    `durations` names maps of seconds by phase, each with the prefix its phases get. `infos` gives metrics
+    of constant value 1 that carry further columns as labels. A NULL metric gives no row. One
+    projection per run: gauges, phases and infos are built side by side, without a join.
     """
-    label_map = F.create_map(*[x for name in labels for x in (F.lit(name), F.col(name).cast("string"))])
+    maps = {durations: ""} if isinstance(durations, str) else durations
+    pairs = lambda names: F.create_map(*[x for n in names for x in (F.lit(n), F.col(n).cast("string"))])
     row = lambda metric, extra, value: F.struct(
-        metric.alias("metric"), extra.alias("labels"), value.cast("double").alias("value")
+        F.lit(metric).alias("metric"), extra.alias("labels"), value.cast("double").alias("value")
     )
-    gauges = F.array(*[row(F.lit(m), F.col("_labels"), F.col(m)) for m in metrics])
-    phases = F.transform(
-        F.map_entries(durations),
-        lambda e: row(
-            F.lit("duration_seconds"), F.map_concat(F.col("_labels"), F.create_map(F.lit("phase"), e["key"])), e["value"]
-        ),
+    base = F.col("_labels")
+    parts = [F.array(*[row(m, base, F.col(m)) for m in metrics])] if metrics else []
+    phase = lambda entry, prefix: F.create_map(F.lit("phase"), F.concat(F.lit(prefix), entry["key"]))
+    by_phase = lambda prefix: lambda e: row("duration_seconds", F.map_concat(base, phase(e, prefix)), e["value"])
+    for column, prefix in maps.items():
+        entries = F.transform(F.map_entries(column), by_phase(prefix))
+        parts.append(F.coalesce(entries, F.array().cast(_METRIC_ROWS)))
+    for metric, names in (infos or {}).items():
+        parts.append(F.array(row(metric, F.map_concat(base, pairs(names)), F.lit(1))))
+    labelled = runs.withColumn("_labels", pairs(labels))
+    return labelled.select(F.inline(F.concat(*parts))).filter(F.col("value").isNotNull())
+
+
+_METRIC_ROWS = "array<struct<metric:string,labels:map<string,string>,value:double>>"
+
+
+def metrics_text(metrics: DataFrame, prefix: str = "") -> DataFrame:
+    """Metrics as text lines `name{label="value",…} number`, with quotes, backslashes and line ends escaped."""
+    escaped = lambda v: F.replace(
+        F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit("\n"), F.lit("\\n")
     )
-    none = F.array().cast("array<struct<metric:string,labels:map<string,string>,value:double>>")
-    return runs.withColumn("_labels", label_map).select(
-        F.inline(F.concat(gauges, F.coalesce(phases, none)))
+    pairs = F.transform(
+        F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit('="'), F.coalesce(escaped(e["value"]), F.lit("")), F.lit('"'))
     )
+    line = F.concat(F.lit(prefix), F.col("metric"), F.lit("{"), F.array_join(pairs, ","), F.lit("} "), F.col("value").cast("string"))
+    return metrics.select(line.alias("value"))

@@ -45,6 +45,14 @@ class IngestOptions:
     require_source_match: bool = True
     profile: str = "default"
 
+    def __post_init__(self) -> None:
+        # Codecs and modes a load knows.
+        allowed = {"compression": ("snappy", "zstd", "none", "uncompressed"), "publication": ("auto", "rewrite"),
+                   "validation": ("strict", "metadata")}
+        for name, values in allowed.items():
+            if getattr(self, name) not in values:
+                raise ValueError(f"{name} must be one of {', '.join(values)}")
+
 
 @dataclass(frozen=True)
 class RangePlan:

@@ -105,3 +105,11 @@ def test_phases_versions_conflicts(spark):
     known = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "1")], pair)
     asked = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], pair)
     assert {r["run_id"]: r["status"] for r in run_conflicts(known, asked).collect()} == {"a": "repeat", "b": "conflict", "c": "new"}
+
+
+def test_metric_text_is_escaped(spark):
+    runs = spark.createDataFrame([('a"b\\c\nd', 5, {"fetch": 1.5}, None)], "run_id string, rows bigint, reader map<string,double>, bytes bigint")
+    long = R.metrics_long(runs, ["rows", "bytes"], ["run_id"], {"reader": "reader_"}, {"plan_info": ["rows"]})
+    lines = sorted(r["value"] for r in R.metrics_text(long, "x_").collect())
+    label = 'run_id="a\\"b\\\\c\\nd"'
+    assert lines == [f'x_duration_seconds{{{label},phase="reader_fetch"}} 1.5', f'x_plan_info{{{label},rows="5"}} 1.0', f"x_rows{{{label}}} 5.0"]

@@ -106,3 +106,14 @@ def test_strategies(spark):
     }
     planned = size_plan(sizes).filter("table = 'hist'").first()
     assert planned["chunks"] == 8 and planned["chunk_bytes"] == 1 << 28
+
+
+def test_limits_are_positive():
+    for make in (lambda: S.PartitionLimits(task_slots=0), lambda: S.ChunkLimits(max_chunks=True), lambda: S.ChunkLimits(target_bytes=-1), lambda: S.FetchLimits(rows="auto")):
+        with pytest.raises(ValueError):
+            make()
+    from rangehaul.plans.ingest import IngestOptions
+
+    for wrong in ({"compression": "lz77"}, {"publication": "now"}, {"validation": "none"}):
+        with pytest.raises(ValueError):
+            IngestOptions(**wrong)

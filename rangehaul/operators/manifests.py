@@ -44,7 +44,7 @@ def valid_manifests(manifests: DataFrame, objects: DataFrame, plan: DataFrame |
     known = manifests.filter(F.col("files").isNotNull())
     if plan is not None:
         known = known.join(plan.select("run_id", "index"), ["run_id", "index"], "left_semi")
-    gone = listed_files(known).join(objects.select(*OBJECT), OBJECT, "left_anti").select(*MANIFEST)
+    gone = listed_files(known).join(objects.select(*OBJECT), OBJECT, "left_anti").select(*MANIFEST).distinct()
     return known.join(gone, MANIFEST, "left_anti")
 
 

@@ -14,6 +14,8 @@ LOAD_OPTIONS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Pieces of a split range: about 128 MiB of compressed Parquet.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.speculation": "false",

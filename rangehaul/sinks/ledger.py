@@ -92,14 +92,11 @@ class Ledger:
 def run_conflicts(stored: DataFrame, offered: DataFrame) -> DataFrame:
     """Requests against the ledger: new, repeat (same content) or conflict (other content).
 
-    Both sides are reduced to distinct (run_id, request_hash) pairs before they meet.
+    The ledger is reduced to one row per run before it meets the requests, however many
+    requests a run has.
     """
-    known = stored.select("run_id", F.col("request_hash").alias("known_hash")).distinct()
+    known = stored.groupBy("run_id").agg(F.min("request_hash").alias("_low"), F.max("request_hash").alias("_high"))
     asked = offered.select("run_id", "request_hash").distinct()
-    met = asked.join(known, "run_id", "left")
-    per_request = met.groupBy("run_id", "request_hash").agg(
-        F.count("known_hash").alias("_known"),
-        F.coalesce(F.bool_and(F.col("known_hash") == F.col("request_hash")), F.lit(True)).alias("_same"),
-    )
-    status = F.when(F.col("_known") == 0, "new").when(F.col("_same"), "repeat").otherwise("conflict")
-    return per_request.select("run_id", "request_hash", status.alias("status"))
+    same = (F.col("_low") == F.col("request_hash")) & (F.col("_high") == F.col("request_hash"))
+    status = F.when(F.col("_low").isNull(), "new").when(same, "repeat").otherwise("conflict")
+    return asked.join(known, "run_id", "left").select("run_id", "request_hash", status.alias("status"))

@@ -64,7 +64,7 @@ def runs(spark, sf):
     kind = F.col("event_type")
     run_id = (
         F.when(kind == "error", F.concat(F.lit("verification-"), F.col("event_id")))
-        .when(kind == "signup", F.lit("company-smoke"))
+        .when(kind == "signup", F.lit("site-smoke"))
         .otherwise(F.concat(F.lit("run-"), F.col("event_id")))
     )
     # NULL fields are left out of the JSON text, as in documents of older runs.

@@ -69,7 +69,7 @@ RUN_SCHEMA = (
 )
 
 # Runs that are checks of the installation, not loads.
-SMOKE_RUN = "company-smoke"
+SMOKE_SUFFIX = "-smoke"
 VERIFICATION_PREFIX = "verification-"
 
 
@@ -86,7 +86,7 @@ def load_runs(spark: SparkSession, prefixes: Sequence[str], multiline: bool = Fa
     )
     run_id = F.coalesce(F.col("run_id"), F.lit(""))
     return (
-        found.filter((run_id != SMOKE_RUN) & ~run_id.startswith(VERIFICATION_PREFIX))
+        found.filter(~run_id.endswith(SMOKE_SUFFIX) & ~run_id.startswith(VERIFICATION_PREFIX))
         .withColumn("engine", engine)
         .withColumn("read_mode", F.coalesce(F.col("read_mode"), fallback))
     )

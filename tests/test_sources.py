@@ -130,7 +130,7 @@ def test_run_documents(spark, tmp_path):
 
     put("runs/a.json", run_id="a", table="t", rows=5, durations_seconds={"read_write": 1.5}, plan={"strategy": "single_scan"})
     put("runs/b.failed.json", run_id="b")
-    put("runs/c.json", run_id="company-smoke")
+    put("runs/c.json", run_id="site-smoke")
     put("runs/d.json", run_id="verification-1")
     put("runs-direct/e.json", run_id="e", engine="direct", extract_backend="columnar")
     put("runs-direct/f.json", run_id="f", engine="direct")

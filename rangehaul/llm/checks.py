@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.substring import remove_repeats
+from rangehaul.llm.suffixes import remove_repeated_strings
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -59,3 +60,9 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 )
 def minhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
+
+
+@query("op10_suffix_array_dedup")
+def suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = remove_repeated_strings(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

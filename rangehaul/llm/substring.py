@@ -75,10 +75,7 @@ def _candidates(slices: int, width: int, repeated):
         rows: list[tuple[int, bool, bytes]] = []
         if lost.any():
             # Decided here: passed on to whichever slice, spread by document.
-            spread = ids[lost] % slices
-            for k in np.unique(spread):
-                at = spread == k
-                rows.append((int(k), True, pack(ids[lost][at], texts[lost][at], starts[lost][at])))
+            rows += [(k, True, payload) for k, payload in _by_bucket(ids[lost], texts[lost], starts[lost], slices)]
         ids, texts, starts, first, second = (x[~lost] for x in (ids, texts, starts, first, second))
         of = ((first >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
         bounds = np.flatnonzero(heads(of))
@@ -108,29 +105,47 @@ def _candidates(slices: int, width: int, repeated):
     return run
 
 
-def _exact(table: pa.Table) -> pa.Table:
-    """All windows of a slice: those whose document is not the smallest one that has them."""
-    decided, parts = [], []
-    for done, payload in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist(), strict=True):
-        if done:
-            decided.append(unpack(payload, np.int64, np.int64, np.int64))
-        else:
-            count = int.from_bytes(payload[:8], "little")
-            keys = np.frombuffer(payload, np.int64, 2 * count, 8).reshape(2, count)
-            first, second, number, starts = unpack(payload[8 + 16 * count :], np.uint64, np.uint32, np.int64, np.int64)
-            parts.append((keys[0][number], keys[1][number], starts, first, second))
-    if parts:
-        ids, texts, starts, first, second = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = _ordered(first, second)
-        ids, texts, starts, first, second = (x[order] for x in (ids, texts, starts, first, second))
-        lost = ids > _owners(first, second, ids)
-        decided.append([ids[lost], texts[lost], starts[lost]])
-    ids, texts, starts = (np.concatenate(x) for x in zip(*decided, strict=True))
-    return _removed_rows(ids, texts, starts) if len(ids) else _REMOVED.empty_table()
+def _exact(slices: int):
+    """All windows of a slice: those whose document is not the smallest one that has them, packed by document range."""
+
+    def run(table: pa.Table) -> pa.Table:
+        lost_rows, parts = [], []
+        for decided, payload in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist(), strict=True):
+            if decided:
+                lost_rows.append(unpack(payload, np.int64, np.int64, np.int64))
+            else:
+                count = int.from_bytes(payload[:8], "little")
+                keys = np.frombuffer(payload, np.int64, 2 * count, 8).reshape(2, count)
+                first, second, number, starts = unpack(payload[8 + 16 * count :], np.uint64, np.uint32, np.int64, np.int64)
+                parts.append((keys[0][number], keys[1][number], starts, first, second))
+        if parts:
+            ids, texts, starts, first, second = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = _ordered(first, second)
+            ids, texts, starts, first, second = (x[order] for x in (ids, texts, starts, first, second))
+            lost = ids > _owners(first, second, ids)
+            lost_rows.append([ids[lost], texts[lost], starts[lost]])
+        ids, texts, starts = (np.concatenate(x) for x in zip(*lost_rows, strict=True))
+        rows = _by_bucket(ids, texts, starts, slices)
+        return pa.table({"bucket": pa.array([k for k, _ in rows], pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
+
+    return run
+
+
+def _by_bucket(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    of = ids % buckets
+    order = np.lexsort((starts, texts, ids, of))
+    cuts = np.flatnonzero(heads(of[order])) if len(order) else []
+    return [(int(of[part[0]]), pack(ids[part], texts[part], starts[part])) for part in np.split(order, cuts)[1:]] if len(order) else []
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """One row for each document of a bucket that loses words."""
+    ids, texts, starts = (np.concatenate(x) for x in zip(*(unpack(p, *[np.int64] * 3) for p in table.column("payload").to_pylist()), strict=True))
+    return _removed_rows(ids, texts, starts)
 
 
 def repeated_windows(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Window places to remove: `doc_id`, `text_hash`, `starts` (lists; a document may have several rows).
+    """Window places to remove, one row per document that loses words: `doc_id`, `text_hash`, `starts`.
 
     `documents` has `doc_id` (long, not null), `text`, and `text_hash`.
     """
@@ -141,7 +156,8 @@ def repeated_windows(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     shared = spark.sparkContext.broadcast(marks)
     slices = max(1, -(-size // SLICE_BYTES))
     rows = documents.select("doc_id", "text_hash", "text").mapInArrow(_candidates(slices, width, lambda: shared.value), "slice int, decided boolean, payload binary")
-    return rows.groupBy("slice").applyInArrow(_exact, "doc_id long, text_hash long, starts array<int>")
+    lost = rows.groupBy("slice").applyInArrow(_exact(slices), "bucket int, payload binary")
+    return lost.groupBy("bucket").applyInArrow(_gathered, "doc_id long, text_hash long, starts array<int>")
 
 
 def _keep(width: int, schema: pa.Schema):
@@ -184,7 +200,7 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
     """
     carried = F.struct(*[F.col(f"`{c}`").alias(c) for c in carry]) if carry else F.lit(None).cast("string")
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), carried.alias("carried")).withColumn("text_hash", F.xxhash64("text"))
-    places = repeated_windows(rows.where("doc_id IS NOT NULL"), width).groupBy("doc_id", "text_hash").agg(F.collect_list("starts").alias("places"))
-    joined = rows.join(places, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", F.flatten("places").alias("places"))
+    places = repeated_windows(rows.where("doc_id IS NOT NULL"), width)
+    joined = rows.join(places, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", F.col("starts").alias("places"))
     out = T.StructType([*joined.schema.fields[:3], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return joined.mapInArrow(_keep(width, to_arrow_schema(out)), out)

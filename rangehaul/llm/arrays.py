@@ -161,29 +161,33 @@ def heads(*columns: np.ndarray) -> np.ndarray:
 
 
 def pack(*columns: np.ndarray) -> bytes:
-    """Integer columns of equal length, each in the fewest bytes that hold its values."""
-    parts = [np.array([len(columns[0]), len(columns)], np.int64).tobytes()]
+    """Integer columns of equal length: least value, then as many byte planes as the widest difference from it needs."""
+    parts = [len(columns[0]).to_bytes(8, "little")]
     for column in columns:
-        least = column.min() if len(column) else column.dtype.type(0)
-        shifted = (column - least).astype(np.uint64) if column.dtype != np.uint64 else column - least
-        most = int(shifted.max()) if len(column) else 0
-        size = next(s for s in (1, 2, 4, 8) if most < 1 << (8 * s))
-        parts += [np.array([int(least) if column.dtype != np.uint64 else int(least) - (1 << 63), size], np.int64).tobytes(), shifted.astype(f"u{size}").tobytes()]
+        values = column.astype(np.uint64)  # two's complement: differences are right for signed values too
+        least = values[np.argmin(column)] if len(column) else np.uint64(0)
+        values = values - least
+        planes = (int(values.max()).bit_length() + 7) // 8 if len(column) else 0
+        parts += [int(least).to_bytes(8, "little"), bytes([planes]), values.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes()]
     return b"".join(parts)
 
 
 def unpack(payload: bytes, *kinds: type) -> list[np.ndarray]:
-    count, _ = np.frombuffer(payload, np.int64, 2)
-    at, out = 16, []
+    count, at, out = int.from_bytes(payload[:8], "little"), 8, []
     for kind in kinds:
-        least, size = np.frombuffer(payload, np.int64, 2, at)
-        values = np.frombuffer(payload, f"u{size}", count, at + 16).astype(np.uint64)
-        least = int(least) + (1 << 63) if kind is np.uint64 else int(least)
-        out.append((values + np.uint64(least % (1 << 64))).astype(kind))
-        at += 16 + int(size) * int(count)
+        least, planes = int.from_bytes(payload[at : at + 8], "little"), payload[at + 8]
+        values = np.zeros((count, 8), np.uint8)
+        values[:, :planes] = np.frombuffer(payload, np.uint8, planes * count, at + 9).reshape(planes, count).T
+        out.append((values.view(np.uint64).reshape(-1) + np.uint64(least)).astype(kind))
+        at += 9 + planes * count
     return out
 
 
+def differences(ascending: np.ndarray) -> np.ndarray:
+    """Gaps of an ascending column; a first value of 0 stands for the base, which goes apart."""
+    return np.diff(ascending, prepend=ascending[:1])
+
+
 def lists(values: np.ndarray, keys: tuple[np.ndarray, ...]) -> tuple[list[np.ndarray], np.ndarray]:
     """Group runs of equal keys: the key columns of each run, and list offsets into `values`."""
     head = np.flatnonzero(heads(*keys))

@@ -22,7 +22,7 @@ from rangehaul.llm.arrays import mix, randoms
 ROWS = 2
 LEAST_BITS, MOST_BITS, STRIP_BITS = 16, 29, 22
 # Hashes that a task holds before it gives their strips out.
-FLUSH = 1 << 21
+FLUSH = 1 << 22
 
 
 def counter_bits(values: int) -> int:
@@ -34,11 +34,12 @@ def _places(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(hashes ^ randoms(77, ROWS)[row]) >> np.uint64(64 - bits)).astype(np.uint32)
 
 
-def _strips(hashes: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
+def _strips(held: list[tuple[np.ndarray, ...]], bits: int) -> Iterator[tuple[int, bytes]]:
     """Sorted counter places of each strip, each at most twice, as differences of 16 bits behind the counts of the blocks."""
     strip_bits = min(bits, STRIP_BITS)
     for row in range(ROWS):
-        places = np.sort(_places(hashes, row, bits))
+        places = np.concatenate([places[row] for places in held])
+        places.sort()
         keep = np.ones(len(places), bool)
         keep[2:] = places[2:] != places[:-2]
         places = places[keep]
@@ -93,21 +94,26 @@ def repeated_filter(frame: DataFrame, hashes: Callable[[pa.RecordBatch], Iterato
     bits = counter_bits(values)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
         schema = pa.schema([("strip", pa.int32()), ("counts", pa.binary())])
 
         def flush() -> Iterator[pa.RecordBatch]:
-            strips = list(_strips(np.concatenate(held), bits)) if sum(map(len, held)) else []
+            strips = list(_strips(held, bits))
             held.clear()
             if strips:
                 yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in strips], pa.int32()), pa.array([c for _, c in strips], pa.binary())], schema=schema)
 
+        size = 0
         for batch in batches:
             for part in hashes(batch):
-                held.append(part)
-                if sum(map(len, held)) >= FLUSH:
+                if len(part):
+                    held.append(tuple(_places(part, row, bits) for row in range(ROWS)))
+                    size += len(part)
+                if size >= FLUSH:
                     yield from flush()
-        yield from flush()
+                    size = 0
+        if held:
+            yield from flush()
 
     strips = frame.mapInArrow(sketch, "strip int, counts binary")
     found = strips.groupBy("strip").applyInArrow(_merged(bits), "strip int, bits binary").collect()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rangehaul.llm.arrays import heads, lists, pack, same_row, text_chunks, unpack, windows, words
+from rangehaul.llm.arrays import differences, heads, lists, pack, same_row, text_chunks, unpack, windows, words
 from rangehaul.llm.sketch import repeated_filter
 from rangehaul.llm.store import total_bytes
 
@@ -83,7 +83,7 @@ def _candidates(slices: int, width: int, repeated):
         for low, high in zip(bounds, np.append(bounds[1:], len(of)), strict=True):
             part = slice(low, high)
             keys, number = np.unique(np.stack((ids[part], texts[part])), axis=1, return_inverse=True)
-            rows.append((int(of[low]), False, b"".join((len(keys[0]).to_bytes(8, "little"), keys.tobytes(), pack(first[part], second[part], number.reshape(-1), starts[part])))))
+            rows.append((int(of[low]), False, b"".join((len(keys[0]).to_bytes(8, "little"), keys.tobytes(), int(first[low]).to_bytes(8, "little"), pack(differences(first[part]), second[part], number.reshape(-1), starts[part])))))
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], schema.field(i).type) for i in range(3)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,8 +116,9 @@ def _exact(slices: int):
             else:
                 count = int.from_bytes(payload[:8], "little")
                 keys = np.frombuffer(payload, np.int64, 2 * count, 8).reshape(2, count)
-                first, second, number, starts = unpack(payload[8 + 16 * count :], np.uint64, np.uint32, np.int64, np.int64)
-                parts.append((keys[0][number], keys[1][number], starts, first, second))
+                base = np.frombuffer(payload, np.uint64, 1, 8 + 16 * count)
+                gaps, second, number, starts = unpack(payload[16 + 16 * count :], np.uint64, np.uint32, np.int64, np.int64)
+                parts.append((keys[0][number], keys[1][number], starts, base + np.cumsum(gaps, dtype=np.uint64), second))
         if parts:
             ids, texts, starts, first, second = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = _ordered(first, second)

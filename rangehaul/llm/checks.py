@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.substring import remove_repeats
+from rangehaul.llm.topk import quantized, top_k
+from rangehaul.llm.warc import archived
 from rangehaul.llm.suffixes import remove_repeated_strings
 
 QUERIES = {}
@@ -66,3 +68,36 @@ def minhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
 def suffix_array_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = remove_repeated_strings(table(spark, sf, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query(
+    "op4_warc",
+    """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY h, n) AS original FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+           array_to_string(list_transform(range(8), lambda g: array_to_string(list_transform(range(4), lambda k:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, CAST(5 * g + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * k AS INTEGER)) & 31)::INTEGER + 1, 1)), '')), '') AS payload_digest,
+           CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> original THEN original END AS refers_to
+    FROM m
+    """,
+)
+def warc(spark: SparkSession, sf: str) -> DataFrame:
+    page = lambda c: F.expr(f"try_cast(substring({c}, {len('urn:page:') + 1}) AS long)")
+    found = archived(table(spark, sf, "pages")).where("failed IS NULL")
+    return found.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
+@query(
+    "op2_pivot_topk",
+    """
+    WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+    """,
+)
+def pivot_topk(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = quantized(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rangehaul.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.substring import remove_repeats
 from rangehaul.llm.topk import quantized, top_k
@@ -101,3 +102,32 @@ def warc(spark: SparkSession, sf: str) -> DataFrame:
 def pivot_topk(spark: SparkSession, sf: str) -> DataFrame:
     vectors = quantized(table(spark, sf, "embeddings"), "vec_id", "embedding")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _license_sql() -> str:
+    values = lambda rows: ", ".join("(" + ", ".join("'" + x + "'" for x in r) + ")" for r in rows)
+    return f"""
+    WITH phrase(p, label) AS (VALUES {values(PHRASES)}), notice(label, body) AS (VALUES {values(TEMPLATES)}),
+    low AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+    w AS (SELECT r, doc_id, body, regexp_extract_all(body, '{_WORD}') AS ws FROM low),
+    place AS (SELECT r, label, i - 1 AS pos FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE contains(body, 'license')), phrase
+              WHERE array_to_string(ws[i:i + len(string_split(p, ' ')) - 1], ' ') = p),
+    base AS (SELECT r, count(*) AS n, min(pos) AS a, max(pos) AS b, list(DISTINCT label) AS ls FROM place GROUP BY r),
+    t AS (SELECT label, list_distinct(regexp_extract_all(lower(body), '{_WORD}')) AS ws FROM notice),
+    line AS (SELECT r, list_distinct(regexp_extract_all(unnest(string_split(body, chr(10))), '{_WORD}')) AS ws FROM low),
+    m AS (SELECT r, label, len(list_intersect(line.ws, t.ws)) / len(t.ws) AS c FROM line, t WHERE len(list_intersect(line.ws, t.ws)) >= ceil({THRESHOLD} * len(t.ws) - 1e-9)),
+    own AS (SELECT r, list(DISTINCT label) AS ls, max(c) AS c FROM m GROUP BY r)
+    SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word,
+           array_to_string(list_sort(coalesce(base.ls, [])), ',') AS base_labels,
+           array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(own.ls, [])))), ',') AS labels,
+           CAST(CASE WHEN n > 0 THEN 1 ELSE coalesce(c, 0) END AS DOUBLE) AS score
+    FROM w LEFT JOIN base USING (r) LEFT JOIN own USING (r)
+    """
+
+
+@query("op1_license_scan", _license_sql())
+def licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan(table(spark, sf, "documents")).drop("places")

@@ -115,13 +115,13 @@ def row_of(offsets: np.ndarray, places: np.ndarray) -> np.ndarray:
 _FIRST, _SECOND = Polynomial(1), Polynomial(2)
 
 
-def words(chunk: Chunk, lower: bool = False) -> Words:
-    """Maximal runs of bytes other than ASCII white space, as UTF-8 text splits."""
-    data = LOWER[chunk.data] if lower else chunk.data
+def word_bounds(chunk: Chunk, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of the maximal runs of bytes that are not `space`."""
+    data = chunk.data
     if not len(data):
         none = np.zeros(0, np.int64)
-        return Words(none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-    space = SPACE[data]
+        return none, none, none
+    space = space[data]
     edge = chunk.offsets[:-1]
     edge = edge[edge < len(data)]
     opens = np.empty(len(data), bool)
@@ -134,7 +134,14 @@ def words(chunk: Chunk, lower: bool = False) -> Words:
     closes[edge[edge > 0] - 1] = True
     starts = np.flatnonzero(opens & ~space)
     ends = np.flatnonzero(closes & ~space) + 1
-    return Words(row_of(chunk.offsets, starts), starts, ends, _FIRST.ranges(data, starts, ends), _SECOND.ranges(data, starts, ends))
+    return row_of(chunk.offsets, starts), starts, ends
+
+
+def words(chunk: Chunk, lower: bool = False) -> Words:
+    """Words at ASCII white space, as UTF-8 text splits, with hashes."""
+    row, starts, ends = word_bounds(chunk)
+    data = LOWER[chunk.data] if lower else chunk.data
+    return Words(row, starts, ends, _FIRST.ranges(data, starts, ends), _SECOND.ranges(data, starts, ends))
 
 
 def windows(hashes: np.ndarray, width: int, seed: int) -> np.ndarray:

@@ -8,6 +8,7 @@ from rangehaul.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.substring import remove_repeats
 from rangehaul.llm.topk import quantized, top_k
+from rangehaul.llm.toxicity import toxicity
 from rangehaul.llm.warc import archived
 from rangehaul.llm.suffixes import remove_repeated_strings
 
@@ -131,3 +132,8 @@ def _license_sql() -> str:
 @query("op1_license_scan", _license_sql())
 def licenses(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan(table(spark, sf, "documents")).drop("places")
+
+
+@query("op6_toxicity")
+def toxic(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).select("doc_id", "held_out", "score", "predicted")

@@ -29,7 +29,7 @@ THRESHOLD = 75  # per cent of the union
 PERMUTATIONS, BANDS, BITS = 128, 32, 4
 CUT = 0.58
 # Members of a bucket that meet in one task; more are dealt over pairs of blocks.
-BLOCK = 256
+BLOCK = 512
 
 _X = (randoms(11, PERMUTATIONS) | np.uint64(1)).astype(np.uint32)
 _Y = (randoms(12, PERMUTATIONS) | np.uint64(1)).astype(np.uint32)
@@ -237,11 +237,17 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
 
     # Buckets that still hold several components.
     component = F.coalesce("component", "node").alias("component")
-    labelled = buckets.join(labels, "node", "left").select("band", "key", "node", "members", component)
-    split = labelled.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("band", "key")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    rest = labelled.join(split, ["band", "key"], "semi").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    labelled = buckets.join(labels, "node", "left").select("band", "key", "node", "center", component)
+    centers = labels.toDF("center", "core")
+    cored = labelled.join(centers, "center", "left").withColumn("core", F.coalesce("core", "center"))
+    other = F.col("component") != F.col("core")
+    blocks = lambda condition: F.ceil(F.count_if(condition) / BLOCK).cast("int")
+    split = cored.groupBy("band", "key").agg(blocks(~other).alias("cores"), blocks(other).alias("others")).where("others > 0")
+    # Blocks of the center's component come first; they meet those of the others, and these each other, but never themselves.
+    rest = cored.join(split, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.when(other, F.col("others")).otherwise(F.col("cores"))).cast("int"))
+    rest = rest.withColumn("block", F.when(other, F.col("block") + F.col("cores")).otherwise(F.col("block")))
+    first, last = F.when(other, 0).otherwise(F.col("cores")), F.col("cores") + F.col("others") - 1
+    rest = rest.withColumn("other", F.explode(F.sequence(first, last)))
     rest = rest.select("band", "key", "node", "component", "block", F.least("block", "other").alias("low_block"), F.greatest("block", "other").alias("high_block"))
     members = rest.join(classes.select("node", "signature", "bands"), "node")
     active = written(members.groupBy(*_GROUP).applyInArrow(_active, "band int, key long, low_block int, high_block int, node long"), "active")

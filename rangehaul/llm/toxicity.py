@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rangehaul.llm.arrays import LOWER, Chunk, Polynomial, heads, mix, text_chunks, word_bounds
+from rangehaul.llm.arrays import LOWER, Chunk, Polynomial, heads, mix, same_row, text_chunks, windows, word_bounds
 from rangehaul.llm.store import written
 
 SAMPLE_ROWS = 20_000
@@ -30,7 +30,7 @@ CANDIDATES, ENTRIES, VOTERS = 20_000, 4096, 64
 SUPPORT = 3  # toxic rows that an entry needs
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
-PATTERNS = 4
+PATTERNS = 3
 
 # Everything in ASCII but digits and letters parts words; other bytes belong to letters.
 BREAKS = np.ones(256, bool)
@@ -59,7 +59,7 @@ def _features(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     again = np.zeros(len(row), bool)
     again[1:] = (whole[1:] == whole[:-1]) & (row[1:] == row[:-1])
     repeats = np.bincount(row[again], minlength=count) / np.maximum(1, total)
-    return np.concatenate(rows), np.concatenate(hashes), np.stack((upper, calls, repeats, np.log1p(total) / 10), 1)
+    return np.concatenate(rows), np.concatenate(hashes), np.stack((upper, calls, repeats), 1)
 
 
 class Lookup:
@@ -105,6 +105,26 @@ def _sample(documents: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return documents.join(F.broadcast(some), "doc_id").select("toxic", "text")
 
 
+def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the least hash of three words in a row, which copies and most near copies share."""
+    for batch in batches:
+        keys = []
+        for chunk in text_chunks(batch.column("text")):
+            row, starts, ends = word_bounds(chunk, BREAKS)
+            hashes = _WORD.ranges(LOWER[chunk.data], starts, ends)
+            three = windows(np.append(hashes, np.zeros(2, np.uint64)), 3, 33)
+            # A run that reaches into the next text counts for neither, but for texts that are too short.
+            inside = np.append(same_row(row, 3), np.zeros(len(row) - max(0, len(row) - 2), bool))
+            count = chunk.high - chunk.low
+            inside |= np.bincount(row, minlength=count)[row] < 3
+            least = np.zeros(count, np.uint64)
+            head = np.flatnonzero(heads(row[inside])) if inside.any() else np.zeros(0, np.int64)
+            if len(head):
+                least[row[inside][head]] = np.minimum.reduceat(three[inside], head)
+            keys.append(least.view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("text"), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))], names=["toxic", "text", "key"])
+
+
 def _toxic_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in text_chunks(batch.column("text")):
@@ -180,9 +200,12 @@ def _logistic(rows: np.ndarray, numbers: np.ndarray, dense: np.ndarray, target:
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Fit on a sample of at most `rows` labelled rows of `documents` (doc_id, text) that are not held out."""
-    sample = written(_sample(documents, labels, rows), "toxic-sample")
-    found = sample.where("toxic = 1").mapInArrow(_toxic_hashes, "hash long").groupBy("hash").count().where(F.col("count") >= SUPPORT)
-    candidates = np.array([r["hash"] for r in found.orderBy(F.desc("count"), "hash").limit(CANDIDATES).collect()], np.int64).view(np.uint64)
+    # One of each group of copies, so that words of a copied text do not pass for a lexicon.
+    keyed = _sample(documents, labels, rows).mapInArrow(_with_key, "toxic int, text string, key long")
+    sample = written(keyed.groupBy("toxic", "key").agg(F.min("text").alias("text")), "toxic-sample")
+    found = sample.where("toxic = 1").mapInArrow(_toxic_hashes, "hash long").groupBy("hash").count()
+    tried = found.count()
+    candidates = np.array([r["hash"] for r in found.where(F.col("count") >= SUPPORT).orderBy(F.desc("count"), "hash").limit(CANDIDATES).collect()], np.int64).view(np.uint64)
     got = sample.mapInArrow(_hit_lists(Lookup(candidates)), "toxic int, hits binary, patterns binary").collect()
     got = sorted(got)  # the same rows in any order fit the same model
     toxic = np.array([r["toxic"] for r in got], bool)
@@ -196,18 +219,18 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(PATTERNS), float(np.log(prior / (1 - prior))), [])
 
     hits, bad = np.bincount(number, minlength=len(candidates)), np.bincount(number[toxic[row]], minlength=len(candidates))
-    # Wilson's lower bound of the toxic share of rows with the entry.
-    p, z = bad / np.maximum(1, hits), 1.64
-    bound = (p + z * z / (2 * np.maximum(1, hits)) - z * np.sqrt((p * (1 - p) + z * z / (4 * np.maximum(1, hits))) / np.maximum(1, hits))) / (1 + z * z / np.maximum(1, hits))
-    able = np.flatnonzero((bound > min(0.5, 3 * share + 0.1)) & (p > 0.7))
-    entries = able[np.argsort(-bound[able] * np.log1p(bad[able]), kind="stable")][:ENTRIES]
+    # Log likelihood ratio against the sample's share; over log(number of hashes tried) less than one entry is there by chance.
+    p = bad / np.maximum(1, hits)
+    ratio = bad * np.log(np.maximum(p, 1e-9) / share) + (hits - bad) * np.log(np.maximum(1 - p, 1e-9) / (1 - share))
+    able = np.flatnonzero((ratio > np.log(max(2, tried))) & (p > 0.7))
+    entries = able[np.argsort(-ratio[able], kind="stable")][:ENTRIES]
     renamed = np.full(len(candidates), -1)
     renamed[entries] = np.arange(len(entries))
     keep = renamed[number] >= 0
     row, number = row[keep], renamed[number[keep]]
 
     chosen = _covering(row, number, toxic, len(entries))
-    votes = np.zeros((len(toxic), len(chosen) + PATTERNS), np.int8)
+    votes = np.zeros((len(toxic), len(chosen) + PATTERNS + 1), np.int8)
     place = np.full(len(entries), -1)
     place[chosen] = np.arange(len(chosen))
     use = place[number] >= 0
@@ -229,10 +252,11 @@ def _scaled(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     target = np.where(toxic, 1 - 1 / (toxic.sum() + 2), 1 / ((~toxic).sum() + 2))
     x = np.stack((margin, np.ones(len(margin))), 1)
     theta = np.array([1.0, 0.0])
-    for _ in range(30):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        theta = theta - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (p - target) + 1e-3 * (theta - [1, 0]))
-    return (float(theta[0]), float(theta[1])) if theta[0] > 0.05 and np.isfinite(theta).all() else (1.0, 0.0)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2), x.T @ (p - target) + 1e-2 * (theta - [1, 0]))
+        theta = theta - step / max(1.0, 2 * np.abs(step).max())  # steps of 0.5 at most
+    return (float(theta[0]), float(theta[1])) if 0.05 < theta[0] < 20 else (1.0, 0.0)
 
 
 def _covering(row: np.ndarray, number: np.ndarray, toxic: np.ndarray, entries: int) -> np.ndarray:

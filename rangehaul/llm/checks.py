@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rangehaul.llm.decontam import contaminated
 from rangehaul.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.substring import remove_repeats
@@ -137,3 +138,19 @@ def licenses(spark: SparkSession, sf: str) -> DataFrame:
 @query("op6_toxicity")
 def toxic(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query(
+    "op3_decontamination",
+    r"""
+    WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+    b AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+    ds AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+4], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
+    bs AS (SELECT DISTINCT item_id, array_to_string(ws[i:i+4], ' ') AS s FROM (SELECT item_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM b WHERE len(ws) >= 5)),
+    n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id)
+    SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment FROM ds JOIN bs USING (s) JOIN n USING (item_id)
+    GROUP BY doc_id, item_id, n_item HAVING count(*) / n_item >= 0.75
+    """,
+)
+def decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

@@ -92,10 +92,10 @@ def _packed(table: pa.Table) -> pa.Table:
 
 
 def _blocks(keyed: DataFrame, rows: int) -> DataFrame:
-    """Rows of one key in blocks of about `rows`; the counts by key are few, by the limits on pivots and rings."""
+    """Rows of one key in blocks of about `rows`; the counts by key are few, by the limits on pivots and rings, and broadcast."""
     key = ["dim", "pivot", "ring"]
     counts = keyed.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("salts"))
-    dealt = keyed.join(counts, key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), "salts").cast("int"))
+    dealt = keyed.join(F.broadcast(counts), key).withColumn("salt", F.pmod(F.xxhash64("vec_id"), "salts").cast("int"))
     return dealt.groupBy(*key, "salt").applyInArrow(_packed, _BLOCK)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from rangehaul.llm.arrays import differences, heads, lists, pack, same_row, text_chunks, unpack, windows, words
 from rangehaul.llm.sketch import repeated_filter
-from rangehaul.llm.store import total_bytes
+from rangehaul.llm.store import squeezed, total_bytes, unsqueezed
 
 WIDTH = 13
 # Bytes of text whose windows meet in one slice, and windows that a task groups at a time.
@@ -164,9 +164,11 @@ def repeated_windows(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 def _keep(width: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, removed, kept = [], [], []
+            counts, removed, kept, texts = [], [], [], []
             for text, places in zip(batch.column("text"), batch.column("places"), strict=True):
-                found = (text.as_py() or "").encode().split()
+                data = unsqueezed(text.as_py())
+                texts.append(None if data is None else data.decode())
+                found = (data or b"").split()
                 gone = 0
                 if places.is_valid and len(found):
                     starts = places.values.to_numpy()
@@ -181,7 +183,7 @@ def _keep(width: int, schema: pa.Schema):
                     counts.append(len(found))
                 removed.append(gone)
                 kept.append(b" ".join(found).decode())
-            own = {"n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.string())}
+            own = {"text": pa.array(texts, pa.string()), "n_words": pa.array(counts, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_text": pa.array(kept, pa.string())}
             yield pa.RecordBatch.from_arrays([own[f.name] if f.name in own else batch.column(f.name).cast(f.type) for f in schema], schema=schema)
 
     return run
@@ -202,6 +204,6 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
     carried = F.struct(*[F.col(f"`{c}`").alias(c) for c in carry]) if carry else F.lit(None).cast("string")
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), carried.alias("carried")).withColumn("text_hash", F.xxhash64("text"))
     places = repeated_windows(rows.where("doc_id IS NOT NULL"), width)
-    joined = rows.join(places, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", F.col("starts").alias("places"))
-    out = T.StructType([*joined.schema.fields[:3], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
+    joined = squeezed(rows).join(places, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", F.col("starts").alias("places"))
+    out = T.StructType([*joined.schema.fields[:2], T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
     return joined.mapInArrow(_keep(width, to_arrow_schema(out)), out)

@@ -10,7 +10,8 @@ Equal 50-byte strings meet because each string is keyed by its smallest 19-byte
 depends on nothing but the string. Neighbouring strings of one document mostly share the gram, so a run of them
 travels as one piece of 50 to 81 bytes. A merged count-min sketch drops pieces whose gram occurs in one document
 only, as no string in them can repeat elsewhere. Equal pieces are settled by grouping them; pieces that share a
-gram but differ are sorted by suffix, where equal 50-byte strings stand side by side.
+gram but differ are sorted by suffix, where equal 50-byte strings stand side by side (pieces without any string whose
+hash occurs elsewhere are left out before).
 """
 
 from __future__ import annotations
@@ -24,15 +25,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from rangehaul.llm.arrays import Polynomial, heads, lists, pack, row_of, text_chunks, unpack
 from rangehaul.llm.sketch import repeated_filter
-from rangehaul.llm.store import total_bytes
+from rangehaul.llm.store import squeezed, total_bytes, unsqueezed
 
 LENGTH = 50
 GRAMS = 32  # grams of a string; a power of two
 PLACE_BITS = 20
 # Bytes of text whose pieces meet in one slice, pieces that a task groups at a time, bytes of one suffix array.
-SLICE_BYTES = 16 << 20
-FLUSH = 1 << 18
+SLICE_BYTES = 4 << 20
+FLUSH = 1 << 17
 BLOCK_BYTES = 1 << 17
+CHUNK = 1 << 20
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -136,7 +138,7 @@ def _pieces(chunk, length: int) -> tuple[np.ndarray, ...]:
 
 def _gram_keys(length: int):
     def run(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for chunk in text_chunks(batch.column("text")):
+        for chunk in text_chunks(batch.column("text"), CHUNK):
             row, _, _, key = _pieces(chunk, length)
             # Once per document, so that a gram repeated inside one text does not count.
             yield np.unique(row.astype(np.uint64) << np.uint64(64 - PLACE_BITS) | key) & np.uint64((1 << (64 - PLACE_BITS)) - 1)
@@ -185,7 +187,7 @@ def _piece_rows(slices: int, length: int, known):
 
         for batch in batches:
             ids, texts = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
-            for chunk in text_chunks(batch.column("text")):
+            for chunk in text_chunks(batch.column("text"), CHUNK):
                 row, starts, strings, keys = _pieces(chunk, length)
                 keep = repeated(keys)
                 row, starts, keys, sizes = row[keep], starts[keep], keys[keep], strings[keep] + length - 1
@@ -227,15 +229,35 @@ def _equal_strings(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, owne
     return piece[lost], offset[lost]
 
 
-def _spans(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
-    """Rows of (doc_id, text_hash, list of start * 2**32 + end)."""
+def _by_bucket(ids: np.ndarray, texts: np.ndarray, starts: np.ndarray, ends: np.ndarray, buckets: int) -> list[tuple[int, bytes]]:
+    """Spans packed by document range; spans of a document that touch are one."""
+    if not len(ids):
+        return []
+    of = ids % buckets
+    order = np.lexsort((starts, texts, ids, of))
+    ids, texts, starts, ends, of = (x[order] for x in (ids, texts, starts, ends, of))
+    head = heads(ids, texts)
+    # Ends reached so far inside a document: lifted by document, so that one running maximum serves all.
+    lift = (np.cumsum(head) - 1) << 33
+    reach = np.maximum.accumulate(ends + lift) - lift
+    fresh = head.copy()
+    fresh[1:] |= starts[1:] > reach[:-1]
+    at = np.flatnonzero(fresh)
+    ids, texts, starts, of, ends = ids[at], texts[at], starts[at], of[at], reach[np.append(at[1:], len(reach)) - 1]
+    bounds = np.flatnonzero(heads(of))
+    return [(int(of[x]), pack(ids[x:y], texts[x:y], starts[x:y], ends[x:y])) for x, y in zip(bounds, np.append(bounds[1:], len(of)), strict=True)]
+
+
+def _gathered(table: pa.Table) -> pa.Table:
+    """One row for each document of a bucket: list of start * 2**32 + end."""
+    ids, texts, starts, ends = (np.concatenate(x) for x in zip(*(unpack(p, *[np.int64] * 4) for p in table.column("payload").to_pylist()), strict=True))
     order = np.lexsort((starts, texts, ids))
-    ids, texts, starts, ends = (x[order] for x in (ids, texts, starts, ends))
-    (ids, texts), offsets = lists(starts, (ids, texts)) if len(ids) else ([ids, texts], np.zeros(1, np.int32))
-    return pa.table([pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(starts << 32 | ends, pa.int64()))], names=["doc_id", "text_hash", "spans"])
+    ids, texts, codes = ids[order], texts[order], (starts << 32 | ends)[order]
+    (ids, texts), offsets = lists(codes, (ids, texts))
+    return pa.table([pa.array(ids, pa.int64()), pa.array(texts, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(codes, pa.int64()))], names=["doc_id", "text_hash", "spans"])
 
 
-def _settled(length: int):
+def _settled(length: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
         out, parts, strings, seen = [], [], [], 0
         for done, payload in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist(), strict=True):
@@ -277,24 +299,40 @@ def _settled(length: int):
                 use = np.repeat(low, high - low) + np.arange((high - low).sum()) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
                 begin = starts[use] + np.repeat(offset, high - low)
                 out.append((ids[use], texts[use], begin, begin + length))
-        return _spans(*(np.concatenate(x) for x in zip(*out, strict=True)))
+        rows = _by_bucket(*(np.concatenate(x) for x in zip(*out, strict=True)), buckets)
+        return pa.table({"bucket": pa.array([k for k, _ in rows], pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
 
     return run
 
 
+def _worth(data, begins, sizes, owners, pieces, length: int) -> np.ndarray:
+    """Those of `pieces` with a string whose hash another owner's piece has as well; the others have nothing to sort for."""
+    count = sizes[pieces] - length + 1
+    which = np.repeat(np.arange(len(pieces)), count)
+    at = begins[pieces][which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    order = np.argsort(at, kind="stable")
+    hashes = np.empty(len(at), np.uint64)
+    hashes[order] = _CHECK.ranges(data, at[order], at[order] + length)
+    order = np.argsort(hashes)
+    own = owners[pieces][which][order]
+    head = heads(hashes[order])
+    begin, run = np.flatnonzero(head), np.cumsum(head) - 1
+    shared = (np.minimum.reduceat(own, begin) < np.maximum.reduceat(own, begin))[run]
+    return pieces[np.unique(which[order[shared]])]
+
+
 def _shared(data, begins, sizes, owners, keys, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Suffix arrays over grams with several pieces, in blocks; returns lost strings as (piece, offset)."""
     head = np.flatnonzero(heads(keys))
-    ends = np.append(head[1:], len(keys))
-    several = np.flatnonzero(ends - head > 1)
+    several = np.repeat(np.diff(np.append(head, len(keys))) > 1, np.diff(np.append(head, len(keys))))
+    pieces = np.flatnonzero(several)
+    if len(pieces):
+        pieces = _worth(data, begins, sizes, owners, pieces, length)
     held: list[np.ndarray] = []
     size = 0
-    for k in [*several, None]:
-        group = np.arange(head[k], ends[k]) if k is not None else np.zeros(0, np.int64)
-        if k is not None and owners[group].min() == owners[group].max():
-            continue
-        weight = int(sizes[group].sum())
-        if held and (k is None or size + weight > BLOCK_BYTES):
+    for group in [*np.split(pieces, np.flatnonzero(np.diff(keys[pieces])) + 1), None]:
+        weight = int(sizes[group].sum()) if group is not None else 0
+        if held and (group is None or size + weight > BLOCK_BYTES):
             use = np.concatenate(held)
             piece, offset = _equal_strings(data, begins[use], sizes[use], owners[use], length)
             yield use[piece], offset
@@ -327,7 +365,7 @@ def _cut(schema: pa.Schema):
         for batch in batches:
             sizes, removed, spans, kept = [], [], [], []
             for text, places in zip(batch.column("text"), batch.column("spans"), strict=True):
-                data = (text.as_py() or "").encode()
+                data = unsqueezed(text.as_py()) or b""
                 runs = []
                 if places.is_valid and len(places.values):
                     codes = np.sort(places.values.to_numpy())
@@ -368,9 +406,9 @@ def remove_repeated_strings(documents: DataFrame, id_column: str = "doc_id", tex
     shared = rows.sparkSession.sparkContext.broadcast(marks)
     slices = max(1, -(-size // SLICE_BYTES))
     pieces = able.select("doc_id", "text_hash", "text").mapInArrow(_piece_rows(slices, length, lambda: shared.value), "slice int, decided boolean, payload binary")
-    spans = pieces.groupBy("slice").applyInArrow(_settled(length), "doc_id long, text_hash long, spans array<long>")
-    spans = spans.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    joined = rows.join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", "spans")
+    lost = pieces.groupBy("slice").applyInArrow(_settled(length, slices), "bucket int, payload binary")
+    spans = lost.groupBy("bucket").applyInArrow(_gathered, "doc_id long, text_hash long, spans array<long>")
+    joined = squeezed(rows).join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", "spans")
     found = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     out = T.StructType([*joined.schema.fields[:2], T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", found), T.StructField("kept", T.BinaryType())])
     return joined.mapInArrow(_cut(to_arrow_schema(out)), out)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 18
 SEGMENT_BYTES = 1 << 18
 
 # ASCII white space: tab to carriage return, and space.

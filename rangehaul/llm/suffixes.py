@@ -33,8 +33,8 @@ PLACE_BITS = 20
 # Bytes of text whose pieces meet in one slice, pieces that a task groups at a time, bytes of one suffix array.
 SLICE_BYTES = 4 << 20
 FLUSH = 1 << 17
-BLOCK_BYTES = 1 << 17
-CHUNK = 1 << 20
+BLOCK_BYTES = 1 << 15
+CHUNK = 1 << 17
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -219,7 +219,7 @@ def _equal_strings(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, owne
     order, piece, offset = order[whole], piece[whole], offset[whole]
     if not len(order):
         return piece, offset
-    strings = np.lib.stride_tricks.sliding_window_view(symbols, length)
+    strings = np.lib.stride_tricks.sliding_window_view(symbols.astype(np.uint16), length)
     head = np.ones(len(order), bool)
     for low in range(1, len(order), 1 << 16):
         high = min(len(order), low + (1 << 16))

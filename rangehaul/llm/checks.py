@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rangehaul.llm.decontam import contaminated
+from rangehaul.llm.language import identify
 from rangehaul.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.pieces import decode, encode
@@ -162,3 +163,8 @@ def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
     found = decode(encode(table(spark, sf, "documents")))
     digest = F.sha2("decoded", 256).alias("decoded_sha256")
     return found.select("doc_id", "sample", "ids", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "inclusion", digest, (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+
+
+@query("op8_language_id")
+def language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return identify(table(spark, sf, "pages"), table(spark, sf, "documents"))

@@ -66,7 +66,7 @@ def substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """,
 )
 def minhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(table(spark, sf, "documents"))
+    return near_duplicates(table(spark, sf, "documents")).drop("text_hash")
 
 
 @query("op10_suffix_array_dedup")

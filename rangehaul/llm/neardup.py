@@ -87,12 +87,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").slice(low, count).cast(pa.int64()),
+                    batch.column("text_hash").slice(low, count),
                     pa.array(sizes.astype(np.int64)),
                     pa.array([d.tobytes() for d in digest], pa.binary()).take(take) if len(full) else pa.nulls(count, pa.binary()),
                     pa.FixedSizeListArray.from_arrays(pa.array(keys.reshape(-1)), BANDS).cast(pa.list_(pa.int64())).take(take) if len(full) else pa.nulls(count, pa.list_(pa.int64())),
                     pa.array([p.tobytes() for p in packed], pa.binary()).take(take) if len(full) else pa.nulls(count, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "digest", "bands", "signature"],
+                names=["doc_id", "text_hash", "n_shingles", "digest", "bands", "signature"],
             )
 
 
@@ -197,7 +198,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of `documents`: `doc_id`, `n_shingles`, `component_id`, `kept`.
+    """One row per row of `documents`: `doc_id`, `text_hash` (xxhash64 of the text), `n_shingles`, `component_id`, `kept`.
 
     Words are split at ASCII white space after A-Z became a-z. Documents whose sets share 75 % or more of their
     union are linked; `component_id` is the smallest id reachable over links.
@@ -207,8 +208,8 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
       texts are told apart, each with the component of its own text;
     - an empty table gives an empty result; other columns are ignored.
     """
-    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    signed = written(rows.mapInArrow(_signed, "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"), "signatures")
+    rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    signed = written(rows.mapInArrow(_signed, "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, signature binary"), "signatures")
     known = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     lows = known.groupBy("digest").agg(F.min("doc_id").alias("low"))
     classes = known.join(lows.withColumnRenamed("low", "doc_id"), ["digest", "doc_id"], "semi").dropDuplicates(["digest"])
@@ -260,9 +261,9 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     ids = classes.select("node", "digest", "doc_id").join(labels, "node", "left").withColumn("component", component)
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of = ids.join(least, "component").select("digest", F.col("component_id").alias("found"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(of, "digest", "left")
+    out = signed.select("doc_id", "text_hash", "n_shingles", "digest").join(of, "digest", "left")
     found = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return out.select("doc_id", "n_shingles", found.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.select("doc_id", "text_hash", "n_shingles", found.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

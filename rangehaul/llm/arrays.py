@@ -93,19 +93,28 @@ class Chunk(NamedTuple):
     offsets: np.ndarray
 
 
+PART_ROWS = 512
+
+
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in smaller batches, so that what is made of them at a time stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(low, PART_ROWS)
+
+
 def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Chunks of a string column; a null text is empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    _, offset_buffer, data_buffer = column.buffers()
-    offsets = np.frombuffer(offset_buffer, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-    data = np.frombuffer(data_buffer, np.uint8) if data_buffer is not None else np.zeros(0, np.uint8)
-    low = 0
-    while low < len(column):
-        high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1)
-        yield Chunk(low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
-        low = high
+    """Chunks of a string column; a null text is empty. The column is converted a part at a time."""
+    for base in range(0, len(column), PART_ROWS):
+        part = pc.fill_null(column.slice(base, PART_ROWS).cast(pa.large_string()), "")
+        _, offset_buffer, data_buffer = part.buffers()
+        offsets = np.frombuffer(offset_buffer, np.int64)[part.offset : part.offset + len(part) + 1]
+        data = np.frombuffer(data_buffer, np.uint8) if data_buffer is not None else np.zeros(0, np.uint8)
+        low = 0
+        while low < len(part):
+            high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1)
+            yield Chunk(base + low, base + high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            low = high
 
 
 def row_of(offsets: np.ndarray, places: np.ndarray) -> np.ndarray:

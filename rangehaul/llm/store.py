@@ -8,6 +8,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from rangehaul.llm.arrays import parts
 from rangehaul.session import scratch_path
 
 
@@ -28,7 +29,7 @@ def squeezed(rows: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in parts(batches):
             column = pa.array([None if t is None else packer.compress(t.encode()) for t in batch.column(text).to_pylist()], pa.binary())
             yield batch.set_column(batch.schema.names.index(text), text, column)
 

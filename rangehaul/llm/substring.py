@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rangehaul.llm.arrays import differences, heads, lists, pack, same_row, text_chunks, unpack, windows, words
+from rangehaul.llm.arrays import differences, heads, lists, pack, parts, same_row, text_chunks, unpack, windows, words
 from rangehaul.llm.sketch import repeated_filter
 from rangehaul.llm.store import squeezed, total_bytes, unsqueezed
 
@@ -109,7 +109,7 @@ def _exact(slices: int):
     """All windows of a slice: those whose document is not the smallest one that has them, packed by document range."""
 
     def run(table: pa.Table) -> pa.Table:
-        lost_rows, parts = [], []
+        lost_rows, sent = [], []
         for decided, payload in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist(), strict=True):
             if decided:
                 lost_rows.append(unpack(payload, np.int64, np.int64, np.int64))
@@ -118,9 +118,9 @@ def _exact(slices: int):
                 keys = np.frombuffer(payload, np.int64, 2 * count, 8).reshape(2, count)
                 base = np.frombuffer(payload, np.uint64, 1, 8 + 16 * count)
                 gaps, second, number, starts = unpack(payload[16 + 16 * count :], np.uint64, np.uint32, np.int64, np.int64)
-                parts.append((keys[0][number], keys[1][number], starts, base + np.cumsum(gaps, dtype=np.uint64), second))
-        if parts:
-            ids, texts, starts, first, second = (np.concatenate(x) for x in zip(*parts, strict=True))
+                sent.append((keys[0][number], keys[1][number], starts, base + np.cumsum(gaps, dtype=np.uint64), second))
+        if sent:
+            ids, texts, starts, first, second = (np.concatenate(x) for x in zip(*sent, strict=True))
             order = _ordered(first, second)
             ids, texts, starts, first, second = (x[order] for x in (ids, texts, starts, first, second))
             lost = ids > _owners(first, second, ids)
@@ -163,7 +163,7 @@ def repeated_windows(documents: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def _keep(width: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             counts, removed, kept, texts = [], [], [], []
             for text, places in zip(batch.column("text"), batch.column("places"), strict=True):
                 data = unsqueezed(text.as_py())

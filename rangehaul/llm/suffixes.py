@@ -11,7 +11,7 @@ depends on nothing but the string. Neighbouring strings of one document mostly s
 travels as one piece of 50 to 81 bytes. A merged count-min sketch drops pieces whose gram occurs in one document
 only, as no string in them can repeat elsewhere. Equal pieces are settled by grouping them; pieces that share a
 gram but differ are sorted by suffix, where equal 50-byte strings stand side by side (pieces without any string whose
-hash occurs elsewhere are left out before).
+hash occurs elsewhere are left out before, the others cut down to what may repeat).
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rangehaul.llm.arrays import Polynomial, heads, lists, pack, row_of, text_chunks, unpack
+from rangehaul.llm.arrays import Polynomial, heads, lists, pack, parts, row_of, text_chunks, unpack
 from rangehaul.llm.sketch import repeated_filter
 from rangehaul.llm.store import squeezed, total_bytes, unsqueezed
 
@@ -259,7 +259,7 @@ def _gathered(table: pa.Table) -> pa.Table:
 
 def _settled(length: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
-        out, parts, strings, seen = [], [], [], 0
+        out, found, strings, seen = [], [], [], 0
         for done, payload in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist(), strict=True):
             if done:
                 ids, texts, starts, sizes = unpack(payload, *[np.int64] * 4)
@@ -273,10 +273,10 @@ def _settled(length: int, buckets: int):
             ids, texts = unpack(blocks[0], np.int64, np.int64)
             piece, number, starts = unpack(blocks[1], np.int64, np.int64, np.int64)
             keys, sizes = unpack(blocks[2], np.uint64, np.int64)
-            parts.append((piece + seen, ids[number], texts[number], starts))
+            found.append((piece + seen, ids[number], texts[number], starts))
             strings.append((keys, sizes, np.frombuffer(blocks[3], np.uint8)))
             seen += len(keys)
-        if parts:
+        if found:
             keys, sizes, data = (np.concatenate(x) for x in zip(*strings, strict=True))
             begins = np.cumsum(sizes) - sizes
             first, second = _PIECE.ranges(data, begins, begins + sizes), _CHECK.ranges(data, begins, begins + sizes)
@@ -285,7 +285,7 @@ def _settled(length: int, buckets: int):
             number = np.empty(len(order), np.int64)
             number[order] = np.cumsum(head) - 1
             pieces = order[head]  # one of each distinct piece, ordered by gram
-            piece, ids, texts, starts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            piece, ids, texts, starts = (np.concatenate(x) for x in zip(*found, strict=True))
             piece = number[piece]
             owners = np.full(len(pieces), np.iinfo(np.int64).max)
             np.minimum.at(owners, piece, ids)
@@ -305,11 +305,17 @@ def _settled(length: int, buckets: int):
     return run
 
 
-def _worth(data, begins, sizes, owners, pieces, length: int) -> np.ndarray:
-    """Those of `pieces` with a string whose hash another owner's piece has as well; the others have nothing to sort for."""
+def _runs(count: np.ndarray) -> np.ndarray:
+    """0, 1, 2, … for each run of the given lengths."""
+    return np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _worth(data, begins, sizes, owners, pieces, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of `pieces` with a string whose hash another owner's piece has as well, and their first and last such string."""
     count = sizes[pieces] - length + 1
     which = np.repeat(np.arange(len(pieces)), count)
-    at = begins[pieces][which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+    offset = _runs(count)
+    at = begins[pieces][which] + offset
     order = np.argsort(at, kind="stable")
     hashes = np.empty(len(at), np.uint64)
     hashes[order] = _CHECK.ranges(data, at[order], at[order] + length)
@@ -317,28 +323,51 @@ def _worth(data, begins, sizes, owners, pieces, length: int) -> np.ndarray:
     own = owners[pieces][which][order]
     head = heads(hashes[order])
     begin, run = np.flatnonzero(head), np.cumsum(head) - 1
-    shared = (np.minimum.reduceat(own, begin) < np.maximum.reduceat(own, begin))[run]
-    return pieces[np.unique(which[order[shared]])]
+    shared = np.zeros(len(at), bool)
+    shared[order] = (np.minimum.reduceat(own, begin) < np.maximum.reduceat(own, begin))[run]
+    where = np.flatnonzero(shared)
+    first = np.flatnonzero(heads(which[where])) if len(where) else where
+    last = np.append(first[1:] - 1, len(where) - 1) if len(where) else where
+    return pieces[which[where[first]]], offset[where[first]], offset[where[last]]
 
 
 def _shared(data, begins, sizes, owners, keys, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Suffix arrays over grams with several pieces, in blocks; returns lost strings as (piece, offset)."""
+    """Lost strings of grams with several pieces, as (piece, offset); suffix arrays are built in blocks."""
     head = np.flatnonzero(heads(keys))
     several = np.repeat(np.diff(np.append(head, len(keys))) > 1, np.diff(np.append(head, len(keys))))
     pieces = np.flatnonzero(several)
-    if len(pieces):
-        pieces = _worth(data, begins, sizes, owners, pieces, length)
+    if not len(pieces):
+        return
+    # Pieces shrink to what may repeat; those that are equal now are settled by grouping as well.
+    pieces, first, last = _worth(data, begins, sizes, owners, pieces, length)
+    begins, sizes, owners, keys = begins[pieces] + first, last - first + length, owners[pieces], keys[pieces]
+    order = np.argsort(begins, kind="stable")
+    hashes = np.empty((2, len(pieces)), np.uint64)
+    for k, polynomial in enumerate((_PIECE, _CHECK)):
+        hashes[k, order] = polynomial.ranges(data, begins[order], begins[order] + sizes[order])
+    order = np.lexsort((owners, hashes[1], hashes[0], keys))
+    equal = heads(keys[order], hashes[0][order], hashes[1][order]) if len(order) else np.zeros(0, bool)
+    lost = order[~equal]
+    # Of equal pieces the smallest owner comes first; another piece of that owner loses nothing to it.
+    least = owners[order][equal][np.cumsum(equal) - 1][~equal] if len(order) else owners
+    lost, same = lost[owners[lost] > least], lost[owners[lost] == least]
+    count = sizes[lost] - length + 1
+    yield np.repeat(pieces[lost], count), np.repeat(first[lost], count) + _runs(count)
+    use = np.sort(np.concatenate((order[equal], same)))
     held: list[np.ndarray] = []
     size = 0
-    for group in [*np.split(pieces, np.flatnonzero(np.diff(keys[pieces])) + 1), None]:
+    for group in [*np.split(use, np.flatnonzero(np.diff(keys[use])) + 1), None]:
+        if group is not None and (len(group) < 2 or owners[group].min() == owners[group].max()):
+            continue
         weight = int(sizes[group].sum()) if group is not None else 0
         if held and (group is None or size + weight > BLOCK_BYTES):
-            use = np.concatenate(held)
-            piece, offset = _equal_strings(data, begins[use], sizes[use], owners[use], length)
-            yield use[piece], offset
+            block = np.concatenate(held)
+            piece, offset = _equal_strings(data, begins[block], sizes[block], owners[block], length)
+            yield pieces[block[piece]], first[block[piece]] + offset
             held, size = [], 0
         if weight > BLOCK_BYTES:
-            yield from _dealt(data, begins[group], sizes[group], owners[group], group, length)
+            for piece, offset in _dealt(data, begins[group], sizes[group], owners[group], group, length):
+                yield pieces[piece], first[piece] + offset
         elif weight:
             held.append(group)
             size += weight
@@ -362,7 +391,7 @@ def _dealt(data, begins, sizes, owners, numbers, length: int) -> Iterator[tuple[
 
 def _cut(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             sizes, removed, spans, kept = [], [], [], []
             for text, places in zip(batch.column("text"), batch.column("spans"), strict=True):
                 data = unsqueezed(text.as_py()) or b""

@@ -8,7 +8,7 @@ from rangehaul.llm.decontam import contaminated
 from rangehaul.llm.language import identify
 from rangehaul.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
 from rangehaul.llm.neardup import near_duplicates
-from rangehaul.llm.pieces import decode, encode
+from rangehaul.llm.pieces import encode
 from rangehaul.llm.substring import remove_repeats
 from rangehaul.llm.topk import quantized, top_k
 from rangehaul.llm.toxicity import toxicity
@@ -160,9 +160,8 @@ def decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op7_sentencepiece")
 def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
-    found = decode(encode(table(spark, sf, "documents")))
-    digest = F.sha2("decoded", 256).alias("decoded_sha256")
-    return found.select("doc_id", "sample", "ids", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "inclusion", digest, (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("exact"))
+    found = encode(table(spark, sf, "documents"), verify=True)
+    return found.select("doc_id", "sample", "ids", F.size("ids").cast("long").alias("n_pieces"), "log_prob", "perturbed", "inclusion", "exact")
 
 
 @query("op8_language_id")

@@ -33,7 +33,7 @@ SAMPLES = 2
 BLANK = "▁"
 CHUNK_BYTES = 1 << 20
 # Lattice arcs that a task keeps; beyond, it starts anew.
-KEEP_ARCS = 6 << 20
+KEEP_ARCS = 4 << 20
 MARKS = ".,;:!?"
 
 
@@ -60,21 +60,23 @@ class Pieces:
         self.longest = max(map(len, self.ids))
         # Pieces of each length by hash of their characters.
         self.factors = randoms(41, self.longest) | np.uint64(1)
-        self.by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.by_size: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for length in range(1, self.longest + 1):
             some = [p for p in self.ids if len(p) == length]
             if some:
                 codes = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32).astype(np.uint64).reshape(-1, length)
                 hashes = (codes * self.factors[:length]).sum(1, dtype=np.uint64)
                 order = np.argsort(hashes)
-                self.by_size[length] = hashes[order], np.array([self.ids[p] for p in some])[order]
+                maybe = np.zeros(1 << 16, bool)  # sorts out most hashes of no piece
+                maybe[(hashes >> np.uint64(48)).astype(np.int64)] = True
+                self.by_size[length] = hashes[order], np.array([self.ids[p] for p in some])[order], maybe
         alone = [m for m in MARKS if not any(re.search(rf"[a-zA-Z]{re.escape(m)}", p) for p in self.ids)]
         marks = "".join(map(re.escape, alone))
         broken = "\n" if not any("\n" in p for p in self.ids) else ""
         # A line break; a mark behind a letter with what follows it; blanks with the word behind them, up to such a mark.
         before = rf"(?<=[a-zA-Z])[{marks}][^ {broken}]*|" if marks else ""
-        stop = rf"(?:(?![{marks}])|(?<![a-zA-Z]))" if marks else ""
-        self.unit = re.compile(rf"{broken}|{before} *(?:{stop}[^ {broken}])+| +")
+        inner = rf"|(?<![a-zA-Z])[{marks}]" if marks else ""
+        self.unit = re.compile(rf"{broken}|{before} *(?:[^ {broken}{marks}]+{inner})+| +")
         lengths = np.array([len(b) for b in self.bytes])
         self.flat, self.begin, self.length = np.frombuffer(b"".join(self.bytes), np.uint8), np.cumsum(lengths) - lengths, lengths
 
@@ -114,19 +116,24 @@ class Lattices:
         # Blanks become the model's mark; a literal mark gets a code of no piece and is spelled in bytes.
         symbols = np.where(codes == ord(" "), ord(BLANK), np.where(codes == ord(BLANK), 0, codes)).astype(np.uint64)
         own, to, piece = [], [], []
-        hashes = np.zeros(n, np.uint64)
+        # Hashes of the first `size` characters from each place that has as many left in its unit.
+        alive, left, hashes = at, ends - at, np.zeros(n, np.uint64)
         for size in range(1, v.longest + 1):
-            hashes = hashes[: n - size + 1] + symbols[size - 1 :] * v.factors[size - 1]
-            fits = np.flatnonzero(at[: n - size + 1] + size <= ends[: n - size + 1])
-            table, ids = v.by_size.get(size, (None, None))
-            if table is not None and len(fits):
-                place = np.searchsorted(table, hashes[fits]).clip(0, len(table) - 1)
-                hit = table[place] == hashes[fits]
-                own.append(fits[hit])
-                to.append(fits[hit] + size)
-                piece.append(ids[place[hit]])
-                if size == 1:
-                    bare = np.setdiff1d(at, own[0], assume_unique=True)
+            if size > 1:
+                keep = left >= size
+                alive, left, hashes = alive[keep], left[keep], hashes[keep]
+            hashes = hashes + symbols[alive + (size - 1)] * v.factors[size - 1]
+            if size not in v.by_size:
+                continue
+            table, ids, maybe = v.by_size[size]
+            fits = np.flatnonzero(maybe[(hashes >> np.uint64(48)).astype(np.int64)])
+            place = np.searchsorted(table, hashes[fits]).clip(0, len(table) - 1)
+            hit = table[place] == hashes[fits]
+            own.append(alive[fits[hit]])
+            to.append(own[-1] + size)
+            piece.append(ids[place[hit]])
+            if size == 1:
+                bare = np.setdiff1d(at, own[0], assume_unique=True)
         log = v.log[np.concatenate(piece)]
         # Characters without a piece: the first byte leads to a chain of the others, which are counted in.
         spelled = [chr(int(codes[i])).encode() for i in bare]
@@ -303,7 +310,7 @@ def sampled(lattice: Lattices, starts: np.ndarray, offsets: np.ndarray, keys: np
     return out
 
 
-def _encoded(model: str, samples: int, seed: int, schema: pa.Schema):
+def _encoded(model: str, samples: int, seed: int, verify: bool, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model)
         lattice = Lattices(vocabulary)
@@ -324,7 +331,9 @@ def _encoded(model: str, samples: int, seed: int, schema: pa.Schema):
                 "perturbed": pa.array(np.concatenate([f[1] for f in found])),
                 "inclusion": pa.array(np.concatenate([f[4] for f in found])),
             }
-            part = batch.slice(low, len(texts)).take(pa.array(rows))
+            if verify:
+                own["exact"] = pa.array([vocabulary.decode(x) == texts[r].encode() for x, r in zip(ids, rows, strict=True)])
+            part = batch.select([f.name for f in schema if f.name not in own]).slice(low, len(texts)).take(pa.array(rows))
             if lattice.arcs > KEEP_ARCS:
                 lattice.clear()
             return pa.RecordBatch.from_arrays([own[f.name] if f.name in own else part.column(f.name).cast(f.type) for f in schema], schema=schema)
@@ -344,9 +353,10 @@ def _encoded(model: str, samples: int, seed: int, schema: pa.Schema):
     return run
 
 
-def encode(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES, model: str = MODEL, seed: int = 0, carry: Sequence[str] = ()) -> DataFrame:
-    """Up to `samples` distinct segmentations per row: `doc_id`, `carried` (struct of the columns in `carry`), `text`, `sample` (from 1, by
-    falling perturbed value), `ids`, `log_prob`, `perturbed`, `inclusion`.
+def encode(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", samples: int = SAMPLES, model: str = MODEL, seed: int = 0, carry: Sequence[str] = (), keep_text: bool = False, verify: bool = False) -> DataFrame:
+    """Up to `samples` distinct segmentations per row: `doc_id`, `carried` (struct of the columns in `carry`), `sample` (from 1, by
+    falling perturbed value), `ids`, `log_prob`, `perturbed`, `inclusion`; with `keep_text` also `text`, and with `verify` also `exact`: whether
+    the ids, decoded again in the task, are the text.
 
     - null or empty text has one segmentation, without pieces; a text with fewer segmentations than asked for gets all of them,
       with inclusion 1;
@@ -357,8 +367,9 @@ def encode(documents: DataFrame, id_column: str = "doc_id", text_column: str = "
     carried = F.struct(*[F.col(f"`{c}`").alias(c) for c in carry]) if carry else F.lit(None).cast("string")
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), carried.alias("carried"), F.col(text_column).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
     own = [("sample", T.IntegerType()), ("ids", T.ArrayType(T.IntegerType())), ("log_prob", T.DoubleType()), ("perturbed", T.DoubleType()), ("inclusion", T.DoubleType())]
-    out = T.StructType([*rows.schema.fields[:3], *[T.StructField(n, k) for n, k in own]])
-    return rows.mapInArrow(_encoded(model, samples, seed, to_arrow_schema(out)), out)
+    own += [("exact", T.BooleanType())] if verify else []
+    out = T.StructType([*rows.schema.fields[: 3 if keep_text else 2], *[T.StructField(n, k) for n, k in own]])
+    return rows.mapInArrow(_encoded(model, samples, seed, verify, to_arrow_schema(out)), out)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:

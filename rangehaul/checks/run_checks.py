@@ -288,7 +288,7 @@ def metrics_long(spark, sf):
     "metrics_text",
     f"""
     WITH {_RUNS_SQL}
-    SELECT 'load_rows{{run_id="' || run_id || '",engine="' || engine || '"}} ' || rows || '.0' AS value FROM runs WHERE rows < 10000000
+    SELECT 'load_rows{{run_id="' || run_id || '",engine="' || engine || '"}} ' || rows || '.0' AS value FROM runs
     UNION ALL
     SELECT 'load_plan_info{{run_id="' || run_id || '",engine="' || engine || '",strategy="histogram_ranges",read_mode="' || read_mode || '"}} 1.0' FROM runs
     """,

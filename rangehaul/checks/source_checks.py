@@ -84,7 +84,7 @@ def runs(spark, sf):
     base = scratch_path(spark, "runs")
     documents.filter(kind != "purchase").select("value").write.text(f"{base}/runs")
     documents.filter(kind == "purchase").select("value").write.text(f"{base}/runs-direct")
-    found = load_runs(spark, [f"{base}/runs", f"{base}/runs-direct"])
+    found = load_runs(spark, [f"{base}/runs", f"{base}/runs-direct"], excluded_ids=["site-smoke"], excluded_prefixes=["verification-"], glob="*.txt")
     return found.select("run_id", "engine", "read_mode", "table", "rows")
 
 

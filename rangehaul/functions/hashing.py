@@ -12,12 +12,12 @@ def _name(column: str) -> str:
 
 
 def _hashable(field: T.StructField) -> Column:
-    """A value xxhash64 takes, whatever the type; maps are written as sorted JSON entries."""
+    """A value xxhash64 takes, with nested NULLs kept apart: arrays, structs and maps are written as JSON, maps in order of their entries."""
     value = F.col(_name(field.name))
-    if "map<" in field.dataType.simpleString():
-        if isinstance(field.dataType, T.MapType):
-            return F.to_json(F.array_sort(F.map_entries(value)))
-        return F.to_json(value)
+    if isinstance(field.dataType, T.MapType):
+        value = F.array_sort(F.map_entries(value))
+    if isinstance(field.dataType, (T.MapType, T.ArrayType, T.StructType)):
+        return F.to_json(value, {"ignoreNullFields": "false"})
     return value
 
 

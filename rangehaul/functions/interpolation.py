@@ -35,6 +35,18 @@ def _integer_point(low: Column, high: Column, ratio: Column, up: bool) -> Column
     return _whole(point)
 
 
+def _units(value: Column) -> Column:
+    """A decimal in units of its last digit."""
+    return F.replace(value.cast("string"), F.lit("."), F.lit("")).cast("decimal(38,0)")
+
+
+def _from_units(units: Column, dtype: T.DecimalType) -> Column:
+    digits = F.abs(units).cast("string")
+    digits = F.lpad(digits, F.greatest(F.length(digits), F.lit(dtype.scale + 1)), F.lit("0"))
+    whole = F.concat(F.substring(digits, F.lit(1), F.length(digits) - dtype.scale), F.lit("."), F.right(digits, F.lit(dtype.scale)))
+    return F.when(units < 0, F.concat(F.lit("-"), whole)).otherwise(whole).cast(dtype)
+
+
 def interpolate(low: Column, high: Column, ratio: Column, dtype: T.DataType) -> Column:
     """Integers round up, decimals are rounded to the column's scale, dates to whole days and
     timestamps to microseconds. The ratio is held inside [0, 1]."""
@@ -50,7 +62,6 @@ def interpolate(low: Column, high: Column, ratio: Column, dtype: T.DataType) ->
         if dtype.precision <= 18:
             exact = share.cast("string").cast("decimal(18,17)")
             return F.bround(low + (high - low) * exact, dtype.scale).cast(dtype)
-        # Long decimals: a 2^20 grid keeps every product inside 38 digits.
-        step = ((high - low) / F.lit(1 << 20)).cast(dtype)
-        return (low + (step * F.floor(share * F.lit(1 << 20)).cast("decimal(8,0)")).cast(dtype)).cast(dtype)
+        # Long decimals: exact in units of the last digit, where 38 digits leave no room for a product.
+        return _from_units(_integer_point(_units(low), _units(high), share, up=False), dtype)
     return _integer_point(low, high, share, up=not isinstance(dtype, T.DecimalType)).cast(dtype)

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
-from decimal import Decimal
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -51,19 +49,12 @@ def literal(value: Column, dtype: T.DataType, dialect: str = "spark") -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.format_string(marks.timestamp, F.date_format(value, marks.timestamp_pattern))
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        # Plain digits, no exponent. Both neighbours of a boundary use the same text, so
-        # rounding here cannot lose or repeat a row.
-        return value.cast("decimal(38,12)").cast("string")
+        # The shortest text that reads back as the same double: predicate, ledger and assignment share one boundary.
+        text = value.cast("double").cast("string")
+        return F.when(F.contains(text, F.lit("E")), text).otherwise(F.concat(text, F.lit("E0")))
     return value.cast("string")
 
 
 def constant_array(values: Sequence, dtype: T.DataType) -> Column:
-    """Key values as one constant array. A cast text keeps the expression small; it is folded once."""
-
-    def text(value) -> str:
-        if isinstance(value, Decimal):
-            return format(value, "f")
-        return value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
-
-    joined = ",".join(text(v) for v in values)
-    return F.split(F.lit(joined), ",").cast(T.ArrayType(dtype))
+    """Key values as one constant array of the key's type, folded once: the same values as in single comparisons."""
+    return F.array(*[F.lit(v).cast(dtype) for v in values])

@@ -212,6 +212,12 @@ def metrics_long(
 _METRIC_ROWS = "array<struct<metric:string,labels:map<string,string>,value:double>>"
 
 
+def _plain(value):
+    """Whole numbers in full, others as they are."""
+    whole = (value == F.floor(value)) & (F.abs(value) < 1e15)
+    return F.when(whole, value.cast("decimal(20,1)").cast("string")).otherwise(value.cast("string"))
+
+
 def metrics_text(metrics: DataFrame, prefix: str = "") -> DataFrame:
     """Metrics as text lines `name{label="value",…} number`, with quotes, backslashes and line ends escaped."""
     escaped = lambda v: F.replace(
@@ -220,5 +226,5 @@ def metrics_text(metrics: DataFrame, prefix: str = "") -> DataFrame:
     pairs = F.transform(
         F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit('="'), F.coalesce(escaped(e["value"]), F.lit("")), F.lit('"'))
     )
-    line = F.concat(F.lit(prefix), F.col("metric"), F.lit("{"), F.array_join(pairs, ","), F.lit("} "), F.col("value").cast("string"))
+    line = F.concat(F.lit(prefix), F.col("metric"), F.lit("{"), F.array_join(pairs, ","), F.lit("} "), _plain(F.col("value")))
     return metrics.select(line.alias("value"))

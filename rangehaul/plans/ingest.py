@@ -17,6 +17,7 @@ from rangehaul.operators.profile import _FIXED_WIDTHS, column_histogram, key_bou
 from rangehaul.operators.ranges import assign_ranges, histogram_boundaries, linear_boundaries, range_predicates
 from rangehaul.operators.reconcile import reconcile_ranges, table_checksum
 from rangehaul.sinks.ledger import Ledger
+from rangehaul.sources.files import file_inventory
 from rangehaul.sinks import snapshots as sink
 
 CHUNK = "chunk"
@@ -187,11 +188,16 @@ def ingest(
         mark = lap("planning", mark)
         attempt = _stage(ledger, source, root, run_id, plan, options, read)
         mark = lap("extraction", mark)
-        selected = _selected(ledger, run_id, plan.ranges)
-        mode = _publish(ledger, source.schema, root, run_id, table, selected, options)
-        mark = lap("publication", mark)
-        totals = _validate(ledger, run_id, source, plan, selected, attempt, options)
-        lap("validation", mark)
+        selected = _selected(ledger, root, run_id, plan.ranges)
+        # Nothing is published before the staged chunks are proven; what fails the proof is staged again by a retry.
+        try:
+            totals, checksum = _validate(ledger, source, plan, selected, attempt, options)
+        except ContentMismatch:
+            _discard(ledger, run_id, selected)
+            raise
+        mark = lap("validation", mark)
+        mode = _publish(ledger, source.schema, root, run_id, table, selected, options, totals, checksum)
+        lap("publication", mark)
         durations["engine_total"] = time.perf_counter() - clock
         snapshot = sink.snapshot_rows(ledger, run_id).agg(F.sum("bytes").alias("b"), F.sum("files").alias("f")).first()
         ledger.append_row(
@@ -209,10 +215,37 @@ def ingest(
     return ledger.finished(run_id)
 
 
-def _done(ledger: Ledger, run_id: str) -> set[int]:
-    """Chunks that have a manifest (their number is bounded by the plan)."""
-    rows = ledger.read("manifests").filter(F.col("run_id") == run_id).select("index").distinct().collect()
-    return {r["index"] for r in rows}
+class ContentMismatch(RuntimeError):
+    """Rows that were staged are not the rows of the source."""
+
+
+def _sound(ledger: Ledger, root: str, run_id: str) -> DataFrame:
+    """Manifests of a run that count: not discarded, and their folders hold the files and bytes they promise."""
+    manifests = ledger.read("manifests").filter(F.col("run_id") == run_id)
+    discards = ledger.read("discards").filter(F.col("run_id") == run_id).select("attempt_id").distinct()
+    known = manifests.join(discards, "attempt_id", "left_anti")
+    plain = lambda path: F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/")
+    staging = f"{root.rstrip('/')}/staging/{run_id}"
+    if not ledger.present(staging):
+        return known.filter("files = 0")
+    listed = file_inventory(ledger.spark, staging)
+    folders = listed.groupBy(F.regexp_replace(plain(F.col("path")), "/[^/]*$", "").alias("_folder")).agg(
+        F.count(F.lit(1)).alias("_files"), F.sum("size").alias("_bytes")
+    )
+    found = known.withColumn("_folder", plain(F.col("path"))).join(folders, "_folder", "left")
+    whole = (F.col("files") == 0) | ((F.col("files") == F.col("_files")) & (F.col("bytes") == F.col("_bytes")))
+    return found.filter(whole).select(*manifests.columns)
+
+
+def _discard(ledger: Ledger, run_id: str, selected: list[Row]) -> None:
+    attempts = sorted({r["attempt_id"] for r in selected})
+    rows = ledger.spark.createDataFrame([(run_id, a) for a in attempts], "run_id string, attempt_id string")
+    ledger.append("discards", rows.coalesce(1))
+
+
+def _done(ledger: Ledger, root: str, run_id: str) -> set[int]:
+    """Chunks that have a sound manifest (their number is bounded by the plan)."""
+    return {r["index"] for r in _sound(ledger, root, run_id).select("index").distinct().collect()}
 
 
 def _pending_rows(source: DataFrame, plan: RangePlan, pending: list[int], options: IngestOptions, read) -> DataFrame:
@@ -234,7 +267,7 @@ def _pending_rows(source: DataFrame, plan: RangePlan, pending: list[int], option
 def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: RangePlan, options: IngestOptions, read):
     """Write the pending chunks and their manifests; returns what was observed while writing."""
     spark = ledger.spark
-    done = _done(ledger, run_id)
+    done = _done(ledger, root, run_id)
     pending = [i for i in range(plan.ranges) if i not in done]
     if not pending:
         return None
@@ -260,17 +293,16 @@ def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: Rang
     return {"rows": counted["rows"], "checksum": counted.get("checksum"), "whole": not done}
 
 
-def _selected(ledger: Ledger, run_id: str, ranges: int) -> list[Row]:
+def _selected(ledger: Ledger, root: str, run_id: str, ranges: int) -> list[Row]:
     """The manifest of each chunk, one small row per range of the plan; none may be missing."""
-    valid = ledger.read("manifests").filter(F.col("run_id") == run_id)
-    selected = select_manifests(valid).collect()
+    selected = select_manifests(_sound(ledger, root, run_id)).collect()
     missing = sorted(set(range(ranges)) - {r["index"] for r in selected})
     if missing:
         raise RuntimeError(f"no manifest for chunks {missing}")
     return selected
 
 
-def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table: str, selected: list[Row], options: IngestOptions) -> str:
+def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table: str, selected: list[Row], options: IngestOptions, rows: int, checksum) -> str:
     spark = ledger.spark
     snapshots = ledger.read("snapshots")
     known = snapshots.filter(F.col("table") == table).agg(
@@ -289,19 +321,25 @@ def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table
     if options.publication == "rewrite":
         staged = spark.read.schema(schema).parquet(*sorted(r["path"] for r in filled))
         sink.rewrite(spark, [staged], final, options.files, options.compression)
+        written = spark.read.schema(schema).parquet(final)
+        found = table_checksum(written).first() if checksum is not None else Row(rows=written.count(), checksum=None)
+        if (found["rows"], found["checksum"]) != (rows, checksum):
+            raise RuntimeError("rewritten files differ from the staged rows")
         sink.publish_rewrite(ledger, run_id, table, final, version)
         return "rewrite"
     sink.publish_by_reference(ledger, run_id, table, spark.createDataFrame(filled), version)
     return "zero_copy"
 
 
-def _validate(ledger: Ledger, run_id: str, source: DataFrame, plan: RangePlan, selected: list[Row], staged, options: IngestOptions) -> int:
-    """Counts of manifests, snapshot and source agree; strictly, so do the fingerprints."""
+def _validate(ledger: Ledger, source: DataFrame, plan: RangePlan, selected: list[Row], staged, options: IngestOptions):
+    """Counts of manifests, staged chunks and source agree; strictly, so do the fingerprints. Returns rows and fingerprint."""
     promised = sum(r["rows"] for r in selected)
-    snapshot = sink.read_snapshot(ledger, run_id, source.schema)
+    paths = sorted(r["path"] for r in selected if r["files"])
+    snapshot = sink.read_chunks(ledger.spark, paths, source.schema)
+    checksum = None
     if options.validation == "strict":
         found = table_checksum(snapshot).first()
-        rows = found["rows"]
+        rows, checksum = found["rows"], found["checksum"]
         if staged and staged["whole"]:
             proof = (staged["rows"], staged["checksum"])
         elif options.require_source_match:
@@ -309,18 +347,18 @@ def _validate(ledger: Ledger, run_id: str, source: DataFrame, plan: RangePlan, s
             again = table_checksum(source).first()
             proof = (again["rows"], again["checksum"])
         else:
-            proof = (rows, found["checksum"])
-        if (rows, found["checksum"]) != proof:
-            raise RuntimeError("snapshot differs from the rows that were read")
+            proof = (rows, checksum)
+        if (rows, checksum) != proof:
+            raise ContentMismatch("snapshot differs from the rows that were read")
     else:
         rows = snapshot.count()
     if staged and staged["whole"] and rows != staged["rows"]:
-        raise RuntimeError(f"snapshot holds {rows} rows, {staged['rows']} were written")
+        raise ContentMismatch(f"snapshot holds {rows} rows, {staged['rows']} were written")
     if rows != promised:
-        raise RuntimeError(f"snapshot holds {rows} rows, manifests promise {promised}")
+        raise ContentMismatch(f"snapshot holds {rows} rows, manifests promise {promised}")
     if options.require_source_match and plan.source_rows is not None and rows != plan.source_rows:
-        raise RuntimeError(f"snapshot holds {rows} rows, the source {plan.source_rows}")
-    return rows
+        raise ContentMismatch(f"snapshot holds {rows} rows, the source {plan.source_rows}")
+    return rows, checksum
 
 
 def reconcile(source: DataFrame, root: str, run_id: str, key: str, options: IngestOptions = IngestOptions()) -> DataFrame:

@@ -6,6 +6,7 @@ after the data is complete.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -17,6 +18,7 @@ SCHEMAS = {
     "requested int, source_rows bigint",
     "manifests": "run_id string, index int, attempt_id string, path string, rows bigint, bytes bigint, "
     "files bigint, completed_at string",
+    "discards": "run_id string, attempt_id string",
     "snapshots": "run_id string, `table` string, version bigint, mode string, index int, path string, rows bigint, "
     "bytes bigint, files bigint, published_at timestamp",
     "runs": "run_id string, engine string, read_mode string, profile string, `table` string, started_at timestamp, "
@@ -44,7 +46,10 @@ class Ledger:
         self._present: set[str] = set()
 
     def _exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return self.present(f"{self.root}/{name}")
+
+    def present(self, folder: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def read(self, name: str) -> DataFrame:
@@ -68,7 +73,7 @@ class Ledger:
     def claim(self, run_id: str, request: dict) -> bool:
         """Record a request. True when it is new, False when it is known; another content fails."""
         text = canonical(request)
-        offered = self.spark.range(1).select(F.sha2(F.lit(text), 256).alias("h")).first()["h"]
+        offered = hashlib.sha256(text.encode()).hexdigest()
         known = [r["request_hash"] for r in self.read("requests").filter(F.col("run_id") == run_id).select("request_hash").distinct().collect()]
         if any(h != offered for h in known):
             raise RunConflict(f"run {run_id!r} exists with another request")

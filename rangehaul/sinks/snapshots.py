@@ -127,6 +127,11 @@ def read_staged(spark: SparkSession, path: str, schema: T.StructType | None = No
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
+def read_chunks(spark: SparkSession, paths: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The rows of chunk folders; without folders, none."""
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def chunk_files(spark: SparkSession, path: str, chunk: str = "chunk", schema: T.StructType | None = None) -> DataFrame:
     """(chunk, path, size, rows) per staged file; rows come from the footers, no column is read."""
     staged = read_staged(spark, path, schema)

@@ -68,25 +68,27 @@ RUN_SCHEMA = (
     "readback_rows bigint, success int"
 )
 
-# Runs that are checks of the installation, not loads.
-SMOKE_SUFFIX = "-smoke"
-VERIFICATION_PREFIX = "verification-"
 
-
-def load_runs(spark: SparkSession, prefixes: Sequence[str], multiline: bool = False, schema: str = RUN_SCHEMA) -> DataFrame:
-    """Run summaries below several prefixes, without failures, smoke and verification runs.
+def load_runs(
+    spark: SparkSession, prefixes: Sequence[str], multiline: bool = False, schema: str = RUN_SCHEMA,
+    excluded_ids: Sequence[str] = (), excluded_prefixes: Sequence[str] = (), glob: str = "*.json",
+) -> DataFrame:
+    """Run summaries below several prefixes, without failures. Checks of an installation are left out by name: `excluded_ids`, `excluded_prefixes`.
 
     A missing engine is `spark`; a missing reader is the extract backend, else `jdbc` for Spark.
     """
-    documents = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True)
+    documents = spark.read.schema(schema).option("multiLine", multiline).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     found = documents.json(list(prefixes)).filter(~F.col("_metadata.file_name").endswith(".failed.json"))
     engine: Column = F.coalesce(F.col("engine"), F.lit("spark"))
     fallback = F.coalesce(
         F.col("extract_backend"), F.when(engine == "spark", F.lit("jdbc")).otherwise(F.lit("unknown"))
     )
     run_id = F.coalesce(F.col("run_id"), F.lit(""))
+    left_out = run_id.isin(*excluded_ids)
+    for prefix in excluded_prefixes:
+        left_out = left_out | run_id.startswith(prefix)
     return (
-        found.filter(~run_id.endswith(SMOKE_SUFFIX) & ~run_id.startswith(VERIFICATION_PREFIX))
+        found.filter(~left_out)
         .withColumn("engine", engine)
         .withColumn("read_mode", F.coalesce(F.col("read_mode"), fallback))
     )

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from rangehaul.plans import ingest as I
 from rangehaul.operators.profile import column_histogram
@@ -83,11 +83,11 @@ def test_resume_reads_only_pending_ranges(spark, data, scratch, monkeypatch):
 
 def test_damage_is_found(spark, data, scratch, monkeypatch):
     source = orders(spark, data)
-    real = S.read_snapshot
-    monkeypatch.setattr(I.sink, "read_snapshot", lambda *a: real(*a).withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    real = S.read_chunks
+    monkeypatch.setattr(I.sink, "read_chunks", lambda *a: real(*a).withColumn("o_totalprice", F.col("o_totalprice") + 1))
     with pytest.raises(RuntimeError, match="differs"):
         ingest(source, scratch(), "r", "orders", "o_orderkey", IngestOptions(ranges=3))
-    monkeypatch.setattr(I.sink, "read_snapshot", lambda *a: real(*a).limit(10))
+    monkeypatch.setattr(I.sink, "read_chunks", lambda *a: real(*a).limit(10))
     with pytest.raises(RuntimeError, match="10 rows"):
         ingest(source, scratch(), "r", "orders", "o_orderkey", IngestOptions(ranges=3, validation="metadata"))
 
@@ -252,3 +252,42 @@ def test_writer_variants_agree(spark, data, scratch):
 
 def test_canonical_requests():
     assert canonical({"b": 1, "a": {"y": None, "x": "ä"}}) == '{"a":{"x":"ä","y":null},"b":1}'
+
+
+def test_failed_validation_publishes_nothing_and_heals(spark, data, scratch):
+    source, root = orders(spark, data), scratch()
+    with pytest.MonkeyPatch.context() as patch:
+        real = S.read_chunks
+        patch.setattr(I.sink, "read_chunks", lambda *a: real(*a).withColumn("o_totalprice", F.col("o_totalprice") + 1))
+        with pytest.raises(I.ContentMismatch):
+            ingest(source, root, "r", "orders", "o_orderkey", IngestOptions(ranges=3))
+    assert I.Ledger(spark, f"{root}/ledger").read("snapshots").isEmpty()
+    assert ingest(source, root, "r", "orders", "o_orderkey", IngestOptions(ranges=3)).first()["rows"] == source.count()
+
+
+def test_lost_folder_is_staged_again(spark, data, scratch):
+    import shutil
+
+    source, root = orders(spark, data), scratch()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(I, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest(source, root, "r", "orders", "o_orderkey", IngestOptions(ranges=4))
+    lost = I.Ledger(spark, f"{root}/ledger").read("manifests").filter("index = 2").first()["path"]
+    shutil.rmtree(lost)
+    assert ingest(source, root, "r", "orders", "o_orderkey", IngestOptions(ranges=4)).first()["rows"] == source.count()
+
+
+def test_resume_keeps_close_float_keys(spark, scratch):
+    source, root = spark.range(4000).select((F.lit(0.5) + F.col("id") * F.lit(1e-15)).alias("k")), scratch()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(I, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest(source, root, "r", "t", "k", IngestOptions(ranges=4))
+    ledger = I.Ledger(spark, f"{root}/ledger")
+    attempt = ledger.read("manifests").first()["attempt_id"]
+    kept = ledger.read("manifests").filter("index % 2 = 0").collect()
+    I._discard(ledger, "r", [Row(attempt_id=attempt)])
+    again = [Row(**{**r.asDict(), "attempt_id": "kept"}) for r in kept]
+    ledger.append("manifests", spark.createDataFrame(again, "run_id string, index int, attempt_id string, path string, rows bigint, bytes bigint, files bigint, completed_at string"))
+    assert ingest(source, root, "r", "t", "k", IngestOptions(ranges=4)).first()["rows"] == 4000

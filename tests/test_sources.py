@@ -132,12 +132,14 @@ def test_run_documents(spark, tmp_path):
     put("runs/b.failed.json", run_id="b")
     put("runs/c.json", run_id="site-smoke")
     put("runs/d.json", run_id="verification-1")
+    put("runs/h.json", run_id="orders-smoke")
+    put("runs/notes.txt", run_id="text")
     put("runs-direct/e.json", run_id="e", engine="direct", extract_backend="columnar")
     put("runs-direct/f.json", run_id="f", engine="direct")
     put("runs-direct/g.json", run_id="g", read_mode="arrow")
-    runs = load_runs(spark, [str(tmp_path / "runs"), str(tmp_path / "runs-direct")], multiline=True)
+    runs = load_runs(spark, [str(tmp_path / "runs"), str(tmp_path / "runs-direct")], multiline=True, excluded_ids=["site-smoke"], excluded_prefixes=["verification-"])
     got = {r["run_id"]: (r["engine"], r["read_mode"]) for r in runs.collect()}
-    assert got == {"a": ("spark", "jdbc"), "e": ("direct", "columnar"), "f": ("direct", "unknown"), "g": ("spark", "arrow")}
+    assert got == {"a": ("spark", "jdbc"), "orders-smoke": ("spark", "jdbc"), "e": ("direct", "columnar"), "f": ("direct", "unknown"), "g": ("spark", "arrow")}
     row = runs.filter("run_id = 'a'").first()
     assert row["durations_seconds"] == {"read_write": 1.5} and row["plan"]["strategy"] == "single_scan"
 

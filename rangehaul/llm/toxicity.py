@@ -170,13 +170,15 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
             rest = cast - (posterior[:, None] * rates[0] + (1 - posterior[:, None]) * rates[1])
             spread = np.sqrt((rest**2).mean(0)) + 1e-9
             tied = np.abs(rest.T @ rest / len(rest) / np.outer(spread, spread))
+            tied = np.round(tied, 6)
             tied[tied < 0.1] = 0
             np.fill_diagonal(tied, 1)
             weight = 1 / tied.sum(0)
         told = weight * (np.log(rates[0]) - np.log(rates[1]))
         silent = weight * (np.log1p(-rates[0]) - np.log1p(-rates[1]))
         z = np.log(prior / (1 - prior)) + cast @ told + ~cast @ silent
-        new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        # Rounded, so that the order of sums inside matrix products does not show in the model.
+        new = np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 9)
         if np.abs(new - posterior).max() < 1e-6:
             break
         posterior = new
@@ -244,7 +246,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
     margin = bias + patterns @ pattern_weights + np.bincount(row, weights[number], len(toxic))
     scale, shift = _scaled(margin, toxic)
     voters = [{"toxic_rate": float(a), "clean_rate": float(b), "discount": float(d)} for a, b, d in zip(in_toxic, in_clean, discount, strict=True)]
-    return Model(candidates[entries], weights * scale, pattern_weights * scale, bias * scale + shift, voters)
+    return Model(candidates[entries], np.round(weights * scale, 6), np.round(pattern_weights * scale, 6), round(bias * scale + shift, 6), voters)
 
 
 def _scaled(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:

@@ -68,3 +68,12 @@ def test_counts(spark):
     assert strict == {"a": "equal", "b": "different", "c": "different"}
     loose = {r["table"]: r["status"] for r in V.reconcile_counts(source, copy, copy, strict=False).collect()}
     assert loose == {"a": "equal", "b": "equal", "c": "equal"}
+
+
+def test_nested_nulls_keep_their_place(spark):
+    from rangehaul.operators.reconcile import table_checksum
+
+    pairs = [("array(NULL, 1)", "array(1, NULL)"), ("struct(CAST(NULL AS INT) AS a, 1 AS b)", "struct(1 AS a, CAST(NULL AS INT) AS b)"), ("map('k', array(NULL, 1))", "map('k', array(1, NULL))")]
+    for a, b in pairs:
+        found = [table_checksum(spark.sql(f"SELECT {x} AS x")).first()["checksum"] for x in (a, b, a)]
+        assert found[0] != found[1] and found[0] == found[2]

@@ -101,9 +101,23 @@ def test_temporal_literals_are_typed(spark):
     assert last("spark") == "`at` >= TIMESTAMP_NTZ '2025-01-02 03:04:05.000060'"
 
 
-def test_float_literals_have_no_exponent(spark):
-    points = spark.createDataFrame([("t", "x", 1.5e-7)], "table string, column string, boundary double")
-    assert R.range_predicates(points).orderBy("chunk").first()["predicate"] == "`x` < 0.000000150000"
+def test_float_literals_read_back_exactly(spark):
+    for value in (1.5e-7, 0.5 + 3e-15, 1e28, -2.0, 0.1):
+        points = spark.createDataFrame([("t", "x", value)], "table string, column string, boundary double")
+        predicate = R.range_predicates(points).orderBy("chunk").first()["predicate"]
+        assert float(predicate.split(" < ")[1]) == value
+        assert spark.range(1).select(F.expr(f"cast({value!r} as double) >= {predicate.split(' < ')[1]}")).first()[0]
+
+
+@pytest.mark.parametrize("kind, low, high, expected", [
+    ("decimal(20,2)", "0", "1000", [str(125 * k) + ".00" for k in range(1, 8)]),
+    ("decimal(19,4)", "0", "100", [f"{12.5 * k:.4f}" for k in range(1, 8)]),
+    ("decimal(38,6)", "-8", "8", [f"{2 * k - 8:.6f}" for k in range(1, 8)]),
+])
+def test_long_decimals_are_cut_exactly(spark, kind, low, high, expected):
+    bounds = spark.range(1).select(F.lit("t").alias("table"), F.lit("k").alias("column"), F.lit(low).cast(kind).alias("low"), F.lit(high).cast(kind).alias("high"))
+    assert [str(r["boundary"]) for r in R.linear_boundaries(bounds, 8).orderBy("boundary").collect()] == expected
+
 
 
 @pytest.mark.parametrize(

@@ -32,7 +32,7 @@ GRAMS = 32  # grams of a string; a power of two
 PLACE_BITS = 20
 # Bytes of text whose pieces meet in one slice, pieces that a task groups at a time, bytes of one suffix array.
 SLICE_BYTES = 4 << 20
-FLUSH = 1 << 17
+FLUSH = 1 << 15
 BLOCK_BYTES = 1 << 15
 CHUNK = 1 << 17
 

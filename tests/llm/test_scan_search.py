@@ -131,7 +131,7 @@ def test_salvage(tmp_path, packed):
     assert [f[:3] for f in found if f[3] is None] == [s[:3] for s in sound if s[2] != "urn:page:1"]
     assert [f[:2] for f in found if f[3]] == [(begins[1], begins[2])]
     # Junk in front, a cut at the end.
-    found = read(b"junk" * 1000 + whole[: begins[5] + 50])
+    found = read(b"junk" * 999 + b"jun\n" + whole[: begins[5] + 50])
     assert found[0][:2] == (0, 4000) and found[-1][3] and [f[2] for f in found if f[3] is None] == [f"urn:page:{k}" for k in range(5)]
     # A lost stretch over two records.
     found = read(whole[: begins[1] + 30] + whole[begins[3] - 20 :])

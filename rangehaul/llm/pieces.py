@@ -33,7 +33,7 @@ SAMPLES = 2
 BLANK = "▁"
 CHUNK_BYTES = 1 << 20
 # Lattice arcs that a task keeps; beyond, it starts anew.
-KEEP_ARCS = 4 << 20
+KEEP_ARCS = 8 << 20
 MARKS = ".,;:!?"
 
 

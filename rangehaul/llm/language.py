@@ -133,7 +133,7 @@ def identify(pages: DataFrame, documents: DataFrame, id_column: str = "page_id",
 
     hosts = written(found.where("host IS NOT NULL").groupBy("host", "domain").agg(sums("text").alias("in_host")), "hosts")
     domains = hosts.groupBy("domain").agg(sums("in_host").alias("in_domain"))
-    everything = found.agg(sums("text").alias("in_all")).first()["in_all"] or [0.0] * size
+    everything = [x or 0.0 for x in found.agg(sums("text").alias("in_all")).first()["in_all"]]
     likelihood = {}
     for name in ("suffix", "declared"):
         # P(value | language): what the value has of the language's mass, over what is missing as well.

@@ -2,6 +2,7 @@
 
 import random
 import re
+from functools import lru_cache
 
 import pytest
 
@@ -68,7 +69,11 @@ def test_contamination(spark):
     words = items[2][1].split()
     rows += [(2000, " ".join(words[:100]) + " " + line(900) + " " + " ".join(words[100:])), (None, items[1][1]), (2001, items[0][1]), (2001, items[0][1])]
     tokens = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").lower()) if w]
-    sets = lambda t: {tuple(tokens(t)[k : k + 5]) for k in range(len(tokens(t)) - 4)}
+    @lru_cache(None)
+    def sets(t):
+        words = tokens(t)
+        return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
     expected = {}
     for i, text in rows:
         for j, item in items:

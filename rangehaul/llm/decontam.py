@@ -55,7 +55,7 @@ def contaminated(documents: DataFrame, items: DataFrame, id_column: str = "doc_i
     held = written(shingles(parts, "item", "item_id").select("item", "item_id", "s").distinct(), "items")
     sizes = held.groupBy("item", "item_id").agg(F.count(F.lit(1)).alias("n_item"))
     sizes = sizes.withColumn("edge", F.pow(F.lit(4), F.ceil(F.log2(F.greatest("n_item", F.lit(2))) / 2 - 1e-9)).cast("long"))
-    hashed = held.join(sizes, ["item", "item_id"]).withColumn("h", F.xxhash64("s"))
+    hashed = held.drop("item_id").join(sizes, "item").withColumn("h", F.xxhash64("s"))
     sketch = hashed.groupBy("item", "edge", _bin(F.col("h")).alias("bin")).agg(F.min("h").alias("h"))
     sketch = written(sketch.select("item", "edge", "h"), "item-minima")
     values = sketch.select("edge", "h").distinct()

@@ -89,6 +89,19 @@ def test_contamination(spark):
     assert contaminated(documents(spark, []), bench).collect() == [] and contaminated(docs, bench.limit(0)).collect() == []
 
 
+def test_contamination_by_the_shortest_items(spark):
+    rng = random.Random(5)
+    line = lambda n: " ".join(f"w{rng.randrange(100000)}" for _ in range(n))
+    # Every tenth begins with the same words.
+    items = [(k, ("the same first five words " if k % 10 == 0 else "") + line(5 if k % 4 else 8)) for k in range(500)]
+    rows = [(k, f"{line(40)} {text} {line(40)}") for k, text in items]
+    # Three of four shingles: the last word is another.
+    rows += [(1000 + k, f"{line(30)} {text.rsplit(' ', 1)[0]} {line(30)}") for k, text in items if len(text.split()) == 8]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(documents(spark, rows), bench).collect()}
+    assert got == {(i, i % 1000) for i, _ in rows}
+
+
 PAGES = [(1, "http://a/é\r\n", "<p>same</p>"), (2, None, "<p>same</p>"), (9, "http://b", "<p>same</p>"), (9, "http://b", "<p>same</p>"), (3, "", None), (4, "http://c", ""), (None, "http://d", "<p>same</p>"), (5, "http://e", "WARC/1.1\r\nfake: x\r\n\r\n" + "é" * 90000)]
 
 

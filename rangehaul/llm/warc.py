@@ -1,10 +1,15 @@
 """WARC archives: a writer with revisit records, and a reader that goes on behind damage.
 
 The reader checks every record: gzip member (CRC, length) or version line, header, Content-Length, end of record, block and
-payload digest. Where a check fails it searches on, byte by byte, for the next gzip magic whose member holds
-a whole valid record, or the next line that starts with a version and passes the same checks. Bytes in between are
-quarantined: one gap row with their range and the failed check. Text inside a payload that only looks like a record never
-passes, as long as its own record is sound.
+payload digest (`DIGESTS`, in base32, hex or base64; other schemes cannot be checked and count as no digest). Where a check fails
+it searches on, byte by byte, for the next gzip magic whose member holds a whole valid record, or the next line that starts
+with a version and passes the same checks. Bytes in between are quarantined: one gap row with their range and the failed check.
+Text inside a payload that only looks like a record never passes, as long as its own record is sound.
+
+A member may hold several records and is searched in the same way: records and gaps inside have the member's range, and their own
+range of its unpacked bytes (`inner_start`, `inner_end`). Of a member that breaks off, whole records in front of the end are kept;
+of one that fails otherwise only those whose block digest agrees. As such a member has no known end, these have a null `end`; a gap
+begins where it begins, and the search goes on behind the last of them.
 """
 
 from __future__ import annotations
@@ -14,7 +19,8 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -27,17 +33,18 @@ from rangehaul.session import scratch_path
 ARCHIVE_BYTES = 32 << 20
 BATCH_BYTES = 4 << 20
 READ_BYTES = 1 << 18
-# No header of a sound record is longer; bounds what is searched for its end.
-HEADER_BYTES = 1 << 20
+# Unpacked bytes of a member that are held at once; a longer one is unpacked again in pieces to read its records.
+MEMBER_BYTES = 32 << 20
+DIGESTS = {"md5", "sha1", "sha224", "sha256", "sha384", "sha512"}
 DATE = "1970-01-01T00:00:00Z"
 ID = "urn:page:"
 
 RECORDS = (
-    "path string, start long, end long, failed string, record_type string, record_id string, target_uri string, "
+    "path string, start long, end long, inner_start long, inner_end long, failed string, record_type string, record_id string, target_uri string, "
     "refers_to string, payload_digest string, payload_bytes long, payload binary"
 )
 _SCHEMA = pa.schema(
-    [("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("failed", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string())]
+    [("path", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("inner_start", pa.int64()), ("inner_end", pa.int64()), ("failed", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()), ("target_uri", pa.string())]
     + [("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())]
 )
 
@@ -67,11 +74,22 @@ class Damaged(Exception):
     """A failed check; the text says which."""
 
 
-def parsed(data: bytes, at: int = 0) -> tuple[dict[str, object], int]:
-    """The record that starts at `at`, and the place behind it."""
+def agrees(digest: str, data: bytes) -> bool | None:
+    """Whether a digest (`scheme:value`) is that of the data; null where the scheme is unknown."""
+    scheme, _, value = digest.partition(":")
+    scheme, value = scheme.strip().lower().replace("-", ""), value.strip().rstrip("=")
+    if scheme not in DIGESTS:
+        return None
+    own = hashlib.new(scheme, data).digest()
+    plain = lambda coded: coded.decode().rstrip("=")
+    return value.upper() == plain(base64.b32encode(own)) or value.lower() == own.hex() or value in (plain(base64.b64encode(own)), plain(base64.urlsafe_b64encode(own)))
+
+
+def parsed(data: bytes, at: int = 0, sure: bool = True) -> tuple[dict[str, object], int]:
+    """The record that starts at `at`, and the place behind it; with `sure=False` only if its block digest agrees."""
     if not re.match(rb"WARC/1\.[01]\r\n", data[at : at + 10]):
         raise Damaged("version line")
-    stop = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
+    stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
         raise Damaged("header")
     header = {}
@@ -89,15 +107,18 @@ def parsed(data: bytes, at: int = 0) -> tuple[dict[str, object], int]:
         raise Damaged("length")
     block = data[begin:end]
     wanted = header.get("warc-block-digest")
-    if wanted and wanted != f"sha1:{sha1(block)}":
+    checked = agrees(wanted, block) if wanted else None
+    if checked is False:
         raise Damaged("block digest")
+    if not sure and not checked:
+        raise Damaged("gzip member")
     http, payload = {}, block
     if header.get("content-type", "").startswith("application/http"):
         head, parted, payload = block.partition(b"\r\n\r\n")
         http = {n.strip().lower(): v.strip() for n, c, v in (line.partition(b":") for line in head.split(b"\r\n")) if c}
     digest = header.get("warc-payload-digest")
     revisit = header["warc-type"] == "revisit"
-    if digest and not revisit and digest != f"sha1:{sha1(payload)}":
+    if digest and not revisit and agrees(digest, payload) is False:
         raise Damaged("payload digest")
     size = len(payload)
     if revisit:
@@ -109,83 +130,79 @@ def parsed(data: bytes, at: int = 0) -> tuple[dict[str, object], int]:
     }, end + 4
 
 
-class Archive:
-    """A file read in pieces; what lies behind is let go."""
+class Pieces:
+    """Bytes read in pieces; what lies behind is let go."""
 
-    def __init__(self, file: pa.NativeFile):
-        self.file, self.size = file, file.size()
-        self.begin, self.held = 0, b""
+    marks = re.compile(rb"(?<=\n)WARC/1\.")
+    size, begin, held = 0, 0, b""
+
+    def read(self, start: int, size: int) -> bytes:
+        """`size` bytes or more from `start` on, or fewer at the end."""
+        raise NotImplementedError
 
     def upto(self, start: int, end: int) -> bytes:
-        """Bytes from `start` to `end`, or fewer at the end of the file."""
+        """Bytes from `start` to `end`, or fewer at the end."""
         end = min(end, self.size)
         if start < self.begin or start > self.begin + len(self.held):
             self.begin, self.held = start, b""
         if end > self.begin + len(self.held):
             kept = self.held[start - self.begin :]
-            self.file.seek(start + len(kept))
-            self.begin, self.held = start, kept + self.file.read(max(end - start - len(kept), READ_BYTES))
+            self.begin, self.held = start, kept + self.read(start + len(kept), max(end - start - len(kept), READ_BYTES))
         return self.held[start - self.begin : end - self.begin]
 
-    def member(self, at: int) -> tuple[bytes, int]:
-        """The gzip member at `at`, unpacked and checked, and the place behind it."""
-        unzip, out, place = zlib.decompressobj(31), [], at
-        try:
-            while not unzip.eof:
-                piece = self.upto(place, place + READ_BYTES)
-                if not piece:
-                    raise Damaged("gzip end")
-                out.append(unzip.decompress(piece))
-                if place == at and not re.match(rb"WARC/1\.", out[0][:7]) and len(out[0]) >= 7:
-                    raise Damaged("version line")
-                place += len(piece)
-        except zlib.error as error:
-            raise Damaged("gzip member") from error
-        return b"".join(out), place - len(unzip.unused_data)
-
-    def plain(self, at: int) -> tuple[dict[str, object], int]:
+    def plain(self, at: int, sure: bool = True) -> tuple[dict[str, object], int]:
         """The unpacked record at `at`."""
-        head = self.upto(at, at + READ_BYTES)
+        size = READ_BYTES
+        head = self.upto(at, at + size)
         stop = head.find(b"\r\n\r\n")
-        if stop < 0 and len(head) == READ_BYTES and head.startswith(b"WARC/1."):
-            head = self.upto(at, at + HEADER_BYTES)
+        while stop < 0 and len(head) == size and re.match(rb"WARC/1\.[01]\r\n", head):
+            size *= 2
+            head = self.upto(at, at + size)
             stop = head.find(b"\r\n\r\n")
         length = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)\s*\r\n", head[: stop + 2]) if stop >= 0 else None
         if length and at + stop + 8 + int(length[1]) > self.size:
             raise Damaged("length")
         whole = self.upto(at, at + stop + 8 + int(length[1])) if length else head
-        found, end = parsed(whole)
+        found, end = parsed(whole, sure=sure)
         return found, at + end
 
-    def records(self) -> Iterator[dict[str, object]]:
+    def records(self, sure: bool = True) -> Iterator[dict[str, object]]:
         at, gap, failed = 0, None, None
         while at < self.size:
+            behind = at + 1
             try:
-                if self.upto(at, at + 2) == b"\x1f\x8b":
-                    data, end = self.member(at)
-                    found, used = parsed(data)
-                    if used != len(data):
-                        raise Damaged("length")
-                else:
-                    found, end = self.plain(at)
+                items, end = self.found(at, sure)
+            except Broken as error:
+                gap, failed = (at, str(error)) if gap is None else (gap, failed)
+                last = 0
+                for item in error.items:
+                    yield item
+                    last = item["inner_end"]
+                at = self.next(max(behind, self.packed(at, last)))
+                continue
             except Damaged as error:
                 gap, failed = (at, str(error)) if gap is None else (gap, failed)
-                at = self.next(at + 1)
+                at = self.next(behind)
                 continue
             if gap is not None:
                 yield {"start": gap, "end": at, "failed": failed}
                 gap = None
-            yield {"start": at, "end": end, **found}
+            yield from items
             at = end
         if gap is not None:
             yield {"start": gap, "end": self.size, "failed": failed}
 
+    def found(self, at: int, sure: bool) -> tuple[Iterable[dict[str, object]], int]:
+        """What is at `at`, and the place behind it."""
+        found, end = self.plain(at, sure)
+        return [{"start": at, "end": end, **found}], end
+
     def next(self, at: int) -> int:
-        """The next place, from `at` on, where a record may start: gzip magic, or a version at the start of a line."""
+        """The next place, from `at` on, where a record may start."""
         while at < self.size:
             before = max(0, at - 1)
             piece = self.upto(before, before + READ_BYTES)
-            for found in re.finditer(rb"\x1f\x8b\x08|(?<=\n)WARC/1\.", piece):
+            for found in self.marks.finditer(piece):
                 if before + found.start() >= at:
                     return before + found.start()
             if before + len(piece) >= self.size:
@@ -194,6 +211,119 @@ class Archive:
         return self.size
 
 
+class Broken(Damaged):
+    """A member that fails behind whole records."""
+
+    def __init__(self, failed: str, items: Iterable[dict[str, object]]):
+        super().__init__(failed)
+        self.items = items
+
+
+class Member(Pieces):
+    """The unpacked bytes of the gzip member at `at`: held, or unpacked again."""
+
+    def __init__(self, archive: "Archive", at: int, size: int, held: bytes | None):
+        self.archive, self.at, self.size, self.held = archive, at, size, held or b""
+        self.place, self.pieces = 0, None
+
+    def read(self, start: int, size: int) -> bytes:
+        if self.pieces is None or start < self.place:
+            self.place, self.pieces = 0, self.archive.unpacked(self.at)
+        out, total = [], 0
+        for data, _, _ in self.pieces:
+            own = data[max(0, start - self.place) :]
+            self.place += len(data)
+            out.append(own)
+            total += len(own)
+            if total >= size:
+                break
+        return b"".join(out)
+
+
+class Archive(Pieces):
+    """A file of records, packed or not."""
+
+    marks = re.compile(rb"\x1f\x8b\x08|(?<=\n)WARC/1\.")
+
+    def __init__(self, file: pa.NativeFile):
+        self.file, self.size = file, file.size()
+
+    def read(self, start: int, size: int) -> bytes:
+        self.file.seek(start)
+        return self.file.read(size)
+
+    def unpacked(self, at: int) -> Iterator[tuple[bytes, int | None, str | None]]:
+        """The bytes of the gzip member at `at`; at last the place behind it, or the failed check."""
+        unzip, place = zlib.decompressobj(31), at
+        while not unzip.eof:
+            piece = self.upto(place, place + READ_BYTES)
+            if not piece:
+                yield b"", None, "gzip end"
+                return
+            before = unzip.copy() if place > at else zlib.decompressobj(31)
+            try:
+                data = unzip.decompress(piece)
+            except zlib.error:
+                # What a failing call had unpacked is lost, so these bytes are given one by one.
+                yield b"".join(_single(before, piece)), None, "gzip member"
+                return
+            place += len(piece)
+            yield data, None, None
+        yield b"", place - len(unzip.unused_data), None
+
+    def packed(self, at: int, size: int) -> int:
+        """The place in the member at `at` where `size` bytes of it are unpacked."""
+        unzip, place, total = zlib.decompressobj(31), at, 0
+        while piece := self.upto(place, place + READ_BYTES):
+            before = unzip.copy()
+            try:
+                data = unzip.decompress(piece)
+            except zlib.error:
+                data = None
+            if data is not None and total + len(data) < size:
+                place += len(piece)
+                total += len(data)
+                continue
+            for data in _single(before, piece):
+                place += 1
+                total += len(data)
+                if total >= size:
+                    return place
+        return place
+
+    def found(self, at: int, sure: bool) -> tuple[Iterable[dict[str, object]], int]:
+        if self.upto(at, at + 2) != b"\x1f\x8b":
+            return super().found(at, sure)
+        held, size = [], 0
+        for data, end, failed in self.unpacked(at):
+            size += len(data)
+            held = [*held, data] if held is not None and size <= MEMBER_BYTES else None
+        whole = b"".join(held) if held is not None else None
+        inside = Member(self, at, size, whole).records(sure=failed != "gzip member")
+        first, early = None, []
+        for first in inside:
+            early.append(first)
+            if "failed" not in first:
+                break
+        if first is None or "failed" in first:
+            raise Damaged(failed or (early[0]["failed"] if early else "version line"))
+        items = chain(early, inside)
+        if failed:
+            raise Broken(failed, ({**x, "start": at, "end": None, "inner_start": x["start"], "inner_end": x["end"]} for x in items if "failed" not in x))
+        if first["start"] == 0 and first["end"] == size:
+            return [{**first, "end": end, "start": at}], end
+        return ({**x, "start": at, "end": end, "inner_start": x["start"], "inner_end": x["end"]} for x in items), end
+
+
+def _single(unzip, piece: bytes) -> Iterator[bytes]:
+    """What each byte of a piece unpacks, as far as it does."""
+    try:
+        for k in range(len(piece)):
+            yield unzip.decompress(piece[k : k + 1])
+    except zlib.error:
+        return
+
+
 def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url", payload_column: str = "html", least_bytes: int = 0, level: int = 6) -> DataFrame:
     """Write a record per row into `.warc.gz` files (a gzip member each), and return the manifest: `path`, `records`, `bytes`.
 
@@ -243,7 +373,8 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", ur
 def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """Records and quarantined gaps of the archives in `path`, packed or not; a task per file, in pieces.
 
-    A gap has `failed` (the check that failed at its start) and its byte range `start`, `end`; a record has null there. With
+    A gap has `failed` (the check that failed at its start) and its byte range `start`, `end`; a record has null there. Both have
+    `inner_start`, `inner_end` inside a member with more than one of them. With
     `payloads=False` payloads are checked but not returned. A null path is skipped; an empty file has no records and no gap.
     """
 

@@ -156,3 +156,74 @@ def test_salvage(tmp_path, packed):
     assert [f[2] for f in found if f[3] is None] == ["urn:page:0", "urn:page:3", "urn:page:4", "urn:page:5"]
     covered = sorted(f[:2] for f in found)
     assert covered[0][0] == 0 and all(a[1] == b[0] for a, b in zip(covered, covered[1:]))
+
+
+def _packed(*records, level=6):
+    import zlib
+
+    packer = zlib.compressobj(level, wbits=31)
+    return packer.compress(b"".join(records)) + packer.flush()
+
+
+def _salvaged(tmp_path, data):
+    import pyarrow as pa
+
+    (tmp_path / "b.warc").write_bytes(bytes(data))
+    with pa.OSFile(str(tmp_path / "b.warc")) as file:
+        return list(warc.Archive(file).records())
+
+
+@pytest.mark.parametrize("held", [1 << 20, 5000])
+@pytest.mark.parametrize("level", [0, 6])
+def test_records_that_share_a_member(tmp_path, monkeypatch, held, level):
+    monkeypatch.setattr(warc, "MEMBER_BYTES", held)
+    monkeypatch.setattr(warc, "READ_BYTES", 3000)
+    rng = random.Random(7)
+    records = [warc.record("response", f"urn:page:{k}", f"http://x/{k}", bytes(rng.choice(b"abcdefgh ") for _ in range(4000))) for k in range(5)]
+    places = [sum(map(len, records[:k])) for k in range(6)]
+    whole = _packed(*records, level=level)
+    names = lambda found: [f["record_id"] for f in found if not f.get("failed")]
+    found = _salvaged(tmp_path, whole + _packed(records[0]))
+    assert names(found) == [f"urn:page:{k}" for k in (0, 1, 2, 3, 4, 0)] and not any(f.get("failed") for f in found)
+    assert [(f["start"], f["end"], f["inner_start"], f["inner_end"]) for f in found[:5]] == [(0, len(whole), places[k], places[k + 1]) for k in range(5)]
+    # A damaged record in a sound member: first, and between others.
+    for k in (0, 2):
+        hurt = [*records]
+        hurt[k] = hurt[k].replace(b"Content-Length: 4", b"Content-Length: 9", 1) if k else b"X" + hurt[k][1:]
+        found = _salvaged(tmp_path, _packed(*hurt, level=level))
+        assert names(found) == [f"urn:page:{x}" for x in range(5) if x != k]
+        assert [(f["inner_start"], f["inner_end"]) for f in found if f.get("failed")] == [(places[k], places[k + 1])]
+    # Whole records before a cut, each once, and the member behind a damaged one.
+    found = _salvaged(tmp_path, whole[: len(whole) * 3 // 5])
+    assert names(found) == ["urn:page:0", "urn:page:1"] + ["urn:page:2"] * (len(names(found)) - 2) and found[-1]["failed"] == "gzip end"
+    broken = bytearray(whole)
+    broken[-6] ^= 1
+    found = _salvaged(tmp_path, bytes(broken) + _packed(records[3]))
+    assert names(found) == [f"urn:page:{k}" for k in (0, 1, 2, 3, 4, 3)]
+    assert [f["failed"] for f in found if f.get("failed")] == ["gzip member"]
+    # Without a digest nothing of such a member is sure.
+    bare = [re.sub(rb"WARC-(Payload|Block)-Digest: .*\r\n", b"", r) for r in records]
+    broken = bytearray(_packed(*bare, level=6))
+    broken[-6] ^= 1
+    assert names(_salvaged(tmp_path, broken)) == []
+    assert len(names(_salvaged(tmp_path, _packed(*bare, level=6)))) == 5
+
+
+def test_digests_and_headers_of_others(tmp_path):
+    import base64
+    import hashlib
+
+    made = warc.record("response", "urn:page:1", "http://x/1", b"some payload")
+    block = made.partition(b"\r\n\r\n")[2][:-4]
+    swapped = lambda digest: re.sub(rb"Block-Digest: \S+", b"Block-Digest: " + digest.encode(), made)
+    coded = lambda name, how: how(hashlib.new(name, block).digest()).decode()
+    good = ["sha256:" + coded("sha256", base64.b16encode).lower(), "SHA-256:" + coded("sha256", base64.b32encode), "md5:" + coded("md5", base64.b32encode).rstrip("="), "md5:" + coded("md5", base64.b64encode)]
+    good += ["sha1:" + coded("sha1", base64.b16encode), "sha1:" + coded("sha1", base64.b32encode).lower(), "tiger:abc"]
+    for digest in good:
+        assert [f.get("failed") for f in _salvaged(tmp_path, _packed(swapped(digest)))] == [None], digest
+    for digest in ("sha256:" + "0" * 64, "md5:abc", "sha1:" + "A" * 32):
+        assert [f["failed"] for f in _salvaged(tmp_path, _packed(swapped(digest)))] == ["block digest"], digest
+    far = "http://x/" + "a" * (3 << 20)
+    for data in (warc.record("response", "urn:page:2", far, b"page"), _packed(warc.record("response", "urn:page:2", far, b"page"))):
+        found = _salvaged(tmp_path, data + made)
+        assert [(f["record_id"], f["target_uri"]) for f in found] == [("urn:page:2", far), ("urn:page:1", "http://x/1")]

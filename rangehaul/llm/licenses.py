@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with notice templates, by containment.
 
-A block is a line. Its distinct words that occur in a template are ordered by how many blocks of the whole corpus
+A block is a line, as in the SQL; a notice wrapped over lines is found with `spanning`, which takes paragraphs (between blank lines)
+and overlapping windows of twice the longest template instead. Its distinct words that occur in a template are ordered by how many blocks of the whole corpus
 hold them, rarest first (words of no template cannot add to an overlap and are left out beforehand). A template must share
 ceil(threshold * size) words with a block, so
 
@@ -24,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from rangehaul.llm.store import written
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+BLANK = re.compile(rb"\n[ \t\r]*\n")
 THRESHOLD = 0.8
 
 # Phrases and their labels.
@@ -47,7 +49,14 @@ def tokens(text: str) -> list[str]:
     return [w.decode() for w in WORD.findall(text.encode().lower())]
 
 
-def _scanned(phrases: Sequence[tuple[str, str]], vocabulary: list[str]):
+def _spanning(data: bytes, words: list[bytes], known: dict[bytes, int], most: int) -> list[list[int]]:
+    """Template words of each paragraph, and of windows of which one holds any `most` words in a row; each set once."""
+    runs = [WORD.findall(p) for p in BLANK.split(data)] + [words[at : at + 2 * most] for at in range(0, max(1, len(words) - most), most)]
+    sets = {tuple(sorted(known[w] for w in known.keys() & set(run))) for run in runs}
+    return [list(ids) for ids in sorted(sets) if ids]
+
+
+def _scanned(phrases: Sequence[tuple[str, str]], vocabulary: list[str], most: int | None):
     known = {w.encode(): i for i, w in enumerate(vocabulary)}
     wanted = [(p.encode().split(), label) for p, label in phrases]
     lasts = {p[-1] for p, _ in wanted}
@@ -61,11 +70,13 @@ def _scanned(phrases: Sequence[tuple[str, str]], vocabulary: list[str]):
                 may = any(w in data for w in lasts)
                 for line in data.split(b"\n"):
                     words = WORD.findall(line)
-                    if ids := known.keys() & set(words):
+                    if most is None and (ids := known.keys() & set(words)):
                         own.append(sorted(known[w] for w in ids))
-                    if may:
+                    if may or most is not None:
                         found.extend(words)
                     start += len(words)
+                if most is not None:
+                    own = _spanning(data, found, known, most)
                 counts.append(start)
                 blocks.append(own)
                 places.append([{"start": at - len(p) + 1, "label": label} for at, word in enumerate(found) if word in lasts for p, label in wanted if found[max(0, at - len(p) + 1) : at + 1] == p])
@@ -77,8 +88,8 @@ def _scanned(phrases: Sequence[tuple[str, str]], vocabulary: list[str]):
     return run
 
 
-def license_scan(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """Phrases (exact places) and templates (containment of at least `threshold` in a line) of each row.
+def license_scan(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", phrases=PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD, spanning: bool = False) -> DataFrame:
+    """Phrases (exact places) and templates (containment of at least `threshold` in a line, or with `spanning` in a paragraph or window) of each row.
 
     One row per row of `documents`: `doc_id`, `n_words`, `places` (start, label), `n_base`, `first_word`, `last_word`, `base_labels`,
     `labels`, `score` (greatest containment of a found template; 1 with a phrase; 0 with neither).
@@ -91,9 +102,11 @@ def license_scan(documents: DataFrame, id_column: str = "doc_id", text_column: s
     sets = [(label, sorted(set(tokens(notice)))) for label, notice in templates]
     sets = [(label, words, math.ceil(threshold * len(words) - 1e-9)) for label, words in sets if words]
     vocabulary = sorted({w for _, words, _ in sets for w in words})
+    most = max((len(tokens(notice)) for _, notice in templates), default=1) or 1
+    most = most if spanning else None
     rows = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     kinds = "doc_id long, n_words long, places array<struct<start: long, label: string>>, blocks array<array<int>>"
-    scanned = written(rows.mapInArrow(_scanned(phrases, vocabulary), kinds).withColumn("row", F.monotonically_increasing_id()), "blocks")
+    scanned = written(rows.mapInArrow(_scanned(phrases, vocabulary, most), kinds).withColumn("row", F.monotonically_increasing_id()), "blocks")
 
     blocks = scanned.select("row", F.posexplode("blocks").alias("block", "ids"))
     counts = dict(blocks.select(F.explode("ids").alias("id")).groupBy("id").count().collect())

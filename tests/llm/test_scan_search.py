@@ -31,6 +31,23 @@ def test_license_scan(spark):
     assert license_scan(documents(spark, [])).collect() == []
 
 
+def test_license_scan_of_wrapped_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\")"
+    bsd = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:"
+    mpl = "# This Source Code Form is subject to the terms of the Mozilla Public\r\n# License, v. 2.0. If a copy"
+    gpl = "you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n\nthe Free Software Foundation; either version 2 of the License, or"
+    pad = "\n".join("some other line of text" for _ in range(40))
+    texts = [f"{before}{text}{behind}" for text in (mit, bsd, mpl, gpl) for before in ("", pad + "\n", pad + "\n\n") for behind in ("", "\n" + pad)]
+    # The words of a notice, but far from each other.
+    texts += ["\n\n".join(f"{word}\n\n{pad}" for word in mit.split()), "Released under the\nMIT License", None, ""]
+    frame = documents(spark, list(enumerate(texts)))
+    labels = {r.doc_id: set(r.labels.split(",")) - {"", "gpl", "mit"} for r in license_scan(frame, spanning=True).collect()}
+    names = ["mit-permission", "bsd", "mpl-2.0", "gpl-2.0-or-later"]
+    assert labels == {**{k: {names[k // 6]} for k in range(24)}, 24: set(), 25: {"mit-notice"}, 26: set(), 27: set()}
+    # By lines, as the SQL has it, they are not found.
+    assert not any(set(r.labels.split(",")) & set(names) for r in license_scan(frame).collect())
+
+
 @pytest.mark.parametrize("blocks", [(2048, 256), (3, 2)])
 def test_top_k(spark, monkeypatch, blocks):
     monkeypatch.setattr(topk, "BLOCK_ROWS", blocks[0])

@@ -12,6 +12,10 @@ travels as one piece of 50 to 81 bytes. A merged count-min sketch drops pieces w
 only, as no string in them can repeat elsewhere. Equal pieces are settled by grouping them; pieces that share a
 gram but differ are sorted by suffix, where equal 50-byte strings stand side by side (pieces without any string whose
 hash occurs elsewhere are left out before, the others cut down to what may repeat).
+
+A gram with very many different pieces would fill one slice. Such grams are found in a sample of the texts; their pieces travel as
+single strings by the hash of the string, over all slices, and a second sketch drops strings that occur in one document only. The
+sample decides about the way alone, never about the result.
 """
 
 from __future__ import annotations
@@ -35,6 +39,9 @@ SLICE_BYTES = 4 << 20
 FLUSH = 1 << 15
 BLOCK_BYTES = 1 << 15
 CHUNK = 1 << 17
+# A gram of so many different pieces travels as single strings; counted in one of so many texts.
+HEAVY_PIECES = SLICE_BYTES // 320
+SAMPLE = 16
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
@@ -146,13 +153,48 @@ def _gram_keys(length: int):
     return run
 
 
+def _strings(starts: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Piece and start of each string of pieces with the given numbers of strings."""
+    which = np.repeat(np.arange(len(count)), count)
+    return which, starts[which] + _runs(count)
+
+
+def _piece_hashes(length: int, known):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeated = known()
+        for batch in batches:
+            for chunk in text_chunks(batch.column("text"), CHUNK):
+                _, starts, strings, keys = _pieces(chunk, length)
+                keep = repeated(keys)
+                starts, strings, keys = starts[keep], strings[keep], keys[keep]
+                hashes = _PIECE.ranges(chunk.data, starts, starts + strings + length - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(hashes.astype(np.uint64).view(np.int64))], names=["key", "hash"])
+
+    return run
+
+
+def _string_keys(length: int, known, heavy: np.ndarray):
+    def run(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        repeated = known()
+        for chunk in text_chunks(batch.column("text"), CHUNK):
+            row, starts, strings, keys = _pieces(chunk, length)
+            hot = np.flatnonzero(np.isin(keys, heavy) & repeated(keys))
+            which, at = _strings(starts[hot], strings[hot])
+            hashes, row = _PIECE.ranges(chunk.data, at, at + length), row[hot][which]
+            order = np.lexsort((hashes, row))
+            # Once per document.
+            yield hashes[order][heads(row[order], hashes[order])] if len(order) else hashes
+
+    return run
+
+
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The bytes of all ranges, one behind the other."""
     shift = np.repeat(starts - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) if len(sizes) else starts
     return data[np.arange(int(sizes.sum())) + shift]
 
 
-def _piece_rows(slices: int, length: int, known):
+def _piece_rows(slices: int, length: int, known, heavy: np.ndarray, twice):
     schema = pa.schema([("slice", pa.int32()), ("decided", pa.bool_()), ("payload", pa.binary())])
 
     def flush(ids, texts, starts, sizes, keys, hashes, data) -> list[tuple[int, bool, bytes]]:
@@ -160,13 +202,13 @@ def _piece_rows(slices: int, length: int, known):
         ids, texts, starts, sizes, keys, hashes, at = (x[order] for x in (ids, texts, starts, sizes, keys, hashes, np.cumsum(sizes) - sizes))
         head = heads(keys, hashes)
         lost = ids > np.minimum.reduceat(ids, np.flatnonzero(head))[np.cumsum(head) - 1]
-        rows = []
-        spread = ids[lost] % slices
-        for k in np.unique(spread):
-            own = spread == k
-            rows.append((int(k), True, pack(ids[lost][own], texts[lost][own], starts[lost][own], sizes[lost][own])))
+        rows = [(k, True, payload) for k, payload in _by_bucket(ids[lost], texts[lost], starts[lost], starts[lost] + sizes[lost], slices)]
         ids, texts, starts, sizes, keys, hashes, at = (x[~lost] for x in (ids, texts, starts, sizes, keys, hashes, at))
         of = (keys * np.uint64(slices) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+        hot = np.isin(keys, heavy)
+        of[hot] = (hashes[hot] >> np.uint64(32)).astype(np.int64) % slices
+        order = np.argsort(of, kind="stable")
+        of, ids, texts, starts, sizes, keys, hashes, at = (x[order] for x in (of, ids, texts, starts, sizes, keys, hashes, at))
         bounds = np.flatnonzero(heads(of))
         for low, high in zip(bounds, np.append(bounds[1:], len(of)), strict=True):
             part = slice(low, high)
@@ -178,7 +220,7 @@ def _piece_rows(slices: int, length: int, known):
         return rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, held, size = known(), [], 0
+        repeated, recurs, held, size = known(), twice(), [], 0
 
         def out() -> pa.RecordBatch:
             rows = flush(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -194,6 +236,15 @@ def _piece_rows(slices: int, length: int, known):
                 if not len(row):
                     continue
                 hashes = _PIECE.ranges(chunk.data, starts, starts + sizes)
+                if (hot := np.isin(keys, heavy)).any():
+                    which, at = _strings(starts[hot], sizes[hot] - length + 1)
+                    own = _PIECE.ranges(chunk.data, at, at + length)
+                    use = recurs(own)
+                    which, at, own = which[use], at[use], own[use]
+                    of = (row[hot][which], at, np.full(len(at), length), keys[hot][which], own)
+                    row, starts, sizes, keys, hashes = (np.concatenate((x[~hot], y)) for x, y in zip((row, starts, sizes, keys, hashes), of, strict=True))
+                if not len(row):
+                    continue
                 held.append((ids[row + chunk.low], texts[row + chunk.low], starts - chunk.offsets[row], sizes, keys, hashes, _gather(chunk.data, starts, sizes)))
                 size += len(row)
                 if size >= FLUSH:
@@ -262,8 +313,7 @@ def _settled(length: int, buckets: int):
         out, found, strings, seen = [], [], [], 0
         for done, payload in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist(), strict=True):
             if done:
-                ids, texts, starts, sizes = unpack(payload, *[np.int64] * 4)
-                out.append((ids, texts, starts, starts + sizes))
+                out.append(unpack(payload, *[np.int64] * 4))
                 continue
             blocks, at = [], 0
             while at < len(payload):
@@ -434,7 +484,13 @@ def remove_repeated_strings(documents: DataFrame, id_column: str = "doc_id", tex
     # One copy per executor; its size is fixed by the sketch, not by the data.
     shared = rows.sparkSession.sparkContext.broadcast(marks)
     slices = max(1, -(-size // SLICE_BYTES))
-    pieces = able.select("doc_id", "text_hash", "text").mapInArrow(_piece_rows(slices, length, lambda: shared.value), "slice int, decided boolean, payload binary")
+    sample = able.where(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_piece_hashes(length, lambda: shared.value), "key long, hash long")
+    often = sample.distinct().groupBy("key").count().where(F.col("count") >= max(1, HEAVY_PIECES // SAMPLE)).select("key").collect()
+    heavy = np.array([r.key for r in often], np.uint64)
+    twice = None
+    if len(heavy):
+        twice = rows.sparkSession.sparkContext.broadcast(repeated_filter(able.select("text"), _string_keys(length, lambda: shared.value, heavy), size))
+    pieces = able.select("doc_id", "text_hash", "text").mapInArrow(_piece_rows(slices, length, lambda: shared.value, heavy, lambda: twice.value if twice else None), "slice int, decided boolean, payload binary")
     lost = pieces.groupBy("slice").applyInArrow(_settled(length, slices), "bucket int, payload binary")
     spans = lost.groupBy("bucket").applyInArrow(_gathered, "doc_id long, text_hash long, spans array<long>")
     joined = squeezed(rows).join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "carried", "text", "spans")

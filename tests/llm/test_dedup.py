@@ -176,3 +176,39 @@ def test_near_duplicates_beyond_the_center(spark, monkeypatch):
 def test_empty_tables(spark, operator):
     assert operator(documents(spark, [])).collect() == []
     assert len(operator(documents(spark, [(1, None), (None, None), (2, "")])).collect()) == 3
+
+
+def test_heavy_grams_are_spread(spark, monkeypatch):
+    import random
+
+    from rangehaul.llm import suffixes
+
+    rng = random.Random(11)
+    hot = "a very common phrase of the source"
+    line = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = [line(20) + hot + line(20) for _ in range(2)]
+    rows = [(i, "".join(line(60) + hot for _ in range(8)) + line(60) + (rng.choice(shared) if i % 4 == 0 else "")) for i in range(300)] + [(i, shared[i % 2] * 2) for i in range(300, 320)]
+    frame = documents(spark, rows)
+    plain = lambda: sorted((r.doc_id, r.n_removed, bytes(r.kept), str(r.spans)) for r in suffixes.remove_repeated_strings(frame).collect())
+    expected = plain()
+    assert sum(r[1] for r in expected) > 1000
+    most, settled = spark.sparkContext.accumulator(0), suffixes._settled
+
+    def counted(length, buckets):
+        run = settled(length, buckets)
+
+        def count(table):
+            most.add(sum(len(p) for d, p in zip(table.column("decided").to_pylist(), table.column("payload").to_pylist()) if not d))
+            return run(table)
+
+        return count
+
+    monkeypatch.setattr(suffixes, "_settled", counted)
+    monkeypatch.setattr(suffixes, "SLICE_BYTES", 4000)
+    assert plain() == expected
+    before, most.value = most.value, 0
+    # Strings around the phrase that no other document has travel no more.
+    monkeypatch.setattr(suffixes, "HEAVY_PIECES", 20)
+    monkeypatch.setattr(suffixes, "SAMPLE", 1)
+    assert plain() == expected
+    assert most.value < before / 2

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rangehaul.llm.collocations import LEAST, TOP, collocations
 from rangehaul.llm.decontam import contaminated
 from rangehaul.llm.language import identify
 from rangehaul.llm.licenses import PHRASES, TEMPLATES, THRESHOLD, license_scan
+from rangehaul.llm.manifest import leaf_digest, merkle_manifest
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.pieces import encode
+from rangehaul.llm.repetition import LEAST_WORDS, LONGEST, REPEATED_CHARS, REPEATED_WORDS, WIDTH, repetition
 from rangehaul.llm.substring import remove_repeats
 from rangehaul.llm.topk import quantized, top_k
 from rangehaul.llm.toxicity import toxicity
@@ -167,3 +170,87 @@ def sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_language_id")
 def language_id(spark: SparkSession, sf: str) -> DataFrame:
     return identify(table(spark, sf, "pages"), table(spark, sf, "documents"))
+
+
+@query(
+    "op11_quality_rules",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body FROM documents),
+    w AS (SELECT r, doc_id, body, list_filter(string_split_regex(body, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d),
+    g AS (SELECT r, i, array_to_string(ws[i:i + {WIDTH - 1}], ' ') AS win FROM (SELECT r, ws, unnest(range(1, len(ws) - {WIDTH - 2})) AS i FROM w WHERE len(ws) >= {WIDTH})),
+    again AS (SELECT r, win FROM g GROUP BY r, win HAVING count(*) > 1),
+    twice AS (SELECT g.* FROM g JOIN again USING (r, win)),
+    cover AS (SELECT DISTINCT r, unnest(range(i, i + {WIDTH})) AS i FROM twice),
+    share AS (SELECT r, count(*) AS n, sum(length(ws[i])) AS chars FROM cover JOIN w USING (r) GROUP BY r),
+    pair AS (SELECT x.r, x.i, y.i - x.i AS shift FROM twice x JOIN twice y ON x.r = y.r AND x.win = y.win AND x.i < y.i),
+    run AS (SELECT r, shift, i - row_number() OVER (PARTITION BY r, shift ORDER BY i) AS part FROM pair),
+    longest AS (SELECT r, max(n) + {WIDTH - 1} AS n FROM (SELECT r, count(*) AS n FROM run GROUP BY r, shift, part) GROUP BY r),
+    line AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM (SELECT r, unnest(string_split(body, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+    m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                 coalesce(line.n, 0) AS n_dup_lines, coalesce(share.n, 0) AS n_repeat_words, CAST(coalesce(share.chars, 0) AS BIGINT) AS covered_chars, coalesce(longest.n, 0) AS longest_repeat
+          FROM w LEFT JOIN share USING (r) LEFT JOIN longest USING (r) LEFT JOIN line USING (r))
+    SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEATED_WORDS} * n_words AS base_failed,
+           n_words >= {LEAST_WORDS} AND 100 * n_repeat_words <= {REPEATED_WORDS} * n_words AND 100 * covered_chars <= {REPEATED_CHARS} * word_chars AND longest_repeat <= {LONGEST} AS kept FROM m
+    """,
+)
+def quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return repetition(table(spark, sf, "documents")).drop("n_repeats")
+
+
+@query(
+    "op12_collocations",
+    rf"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS body FROM documents),
+    w AS (SELECT lang, list_filter(string_split_regex(body, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+    total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+    f AS (SELECT lang, k, phrase, count(*) AS a FROM (
+              SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, range(1, 6) AS s(k) WHERE len(ws) >= k)) GROUP BY ALL HAVING count(*) >= {LEAST}),
+    c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+    part AS (SELECT DISTINCT c.lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, a FROM c, range(2, 5) AS s(m), range(1, 5) AS t(i) WHERE m < k AND i + m - 1 <= k),
+    kept AS (SELECT c.* FROM c WHERE NOT EXISTS (SELECT 1 FROM part WHERE part.lang = c.lang AND part.phrase = c.phrase AND part.a >= c.a)),
+    cut AS (SELECT kept.lang, kept.phrase, kept.a, x.a AS l, y.a AS r, total.n, s.m, CAST((1000::HUGEINT * kept.a * total.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+            FROM kept JOIN range(1, 5) AS s(m) ON m < kept.k JOIN f x ON x.lang = kept.lang AND x.phrase = array_to_string(kept.ws[1:m], ' ')
+            JOIN f y ON y.lang = kept.lang AND y.phrase = array_to_string(kept.ws[m + 1:kept.k], ' ') JOIN total ON total.lang = kept.lang),
+    weakest AS (SELECT lang, phrase, a, l, r, n, score FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, m) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM weakest
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= {TOP}
+    """,
+)
+def phrase_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations(table(spark, sf, "documents"))
+
+
+_HASHED = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _manifest_sql() -> str:
+    leaf = lambda text: "sha256(" + " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in (*_HASHED[:-1], text)) + ")"
+    crc = "xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda s, z: xor(s >> 1, (s & 1) * 3988292384))), 4294967295::BIGINT)"
+    tree = lambda source: f"""(SELECT g, 0 AS lev, pos, size, h FROM {source} UNION ALL
+        SELECT g, lev + 1, pos // 8, (any_value(size) + 7) // 8, sha256(string_agg(h, '' ORDER BY pos)) FROM {{name}} WHERE size > 1 GROUP BY g, lev, pos // 8)"""
+    climb = lambda start, name, nodes: f"""({start} UNION ALL
+        SELECT u.id, u.g, u.lev + 1, u.pos // 8, sha256(string_agg(CASE WHEN t.pos = u.pos THEN u.h ELSE t.h END, '' ORDER BY t.pos)),
+               u.others || coalesce(string_agg(t.h, '' ORDER BY t.pos) FILTER (t.pos <> u.pos), '')
+        FROM {name} u JOIN {nodes} t ON t.g IS NOT DISTINCT FROM u.g AND t.lev = u.lev AND t.pos // 8 = u.pos // 8 WHERE t.size > 1 GROUP BY u.id, u.g, u.lev, u.pos, u.h, u.others)"""
+    return f"""
+    WITH RECURSIVE leafs AS (SELECT row_number() OVER () AS id, doc_id, lang AS g, {leaf("text")} AS h,
+        CASE WHEN {crc} % 3 = 0 THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed FROM documents),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS size FROM leafs),
+    tree(g, lev, pos, size, h) AS {tree("placed").format(name="tree")},
+    subs AS (SELECT 0 AS g, g AS lang, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM tree WHERE size = 1),
+    crown(g, lev, pos, size, h) AS {tree("subs").format(name="crown")},
+    up(id, g, lev, pos, h, others) AS {climb("SELECT id, g, 0, pos, coalesce(changed, h), '' FROM placed", "up", "tree")},
+    low AS (SELECT up.* FROM up JOIN (SELECT id, max(lev) AS lev FROM up GROUP BY id) USING (id, lev)),
+    top(id, g, lev, pos, h, others) AS {climb("SELECT low.id, 0, 0, subs.pos, low.h, low.others FROM low JOIN subs ON subs.lang IS NOT DISTINCT FROM low.g", "top", "crown")},
+    done AS (SELECT top.* FROM top JOIN (SELECT id, max(lev) AS lev FROM top GROUP BY id) USING (id, lev))
+    SELECT doc_id, placed.h AS leaf, subs.h AS subroot, root.h AS root, sha256(done.others) AS proof_sha256, done.h AS folded_root, done.h = root.h AS verified
+    FROM placed JOIN done USING (id) JOIN subs ON subs.lang IS NOT DISTINCT FROM placed.g, (SELECT h FROM crown WHERE size = 1) root
+    """
+
+
+@query("op13_merkle_manifest", _manifest_sql())
+def merkle(spark: SparkSession, sf: str) -> DataFrame:
+    columns = [F.col(c) for c in _HASHED]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, leaf_digest([*columns[:-1], lowered]))
+    return merkle_manifest(table(spark, sf, "documents"), "doc_id", "lang", leaf_digest(columns), tampered)

@@ -27,4 +27,4 @@ def test_twin(spark, data, name):
 
 
 def test_one_query_per_operator():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))

@@ -5,25 +5,26 @@ continued (the piece ends, or no frequent phrase can come of it). Tasks count st
 by adding them elementwise. A merged stripe gives all that is asked: its entries are the counts of the extensions, its sum is
 the count of the prefix, and its largest entry tells whether an extension stands for the prefix everywhere.
 
-Three passes over the texts: words; stripes of frequent words; stripes of two to four words, along pairs that are frequent. A phrase
-is at most as frequent as its parts, so nothing is lost. The frequent words and pairs go to the tasks as bits of
-fixed size (see `sketch`: a wrong "yes" costs an entry, never a result).
+One pass counts words, then one pass for each size of prefix makes the stripes. A phrase is at most as frequent as its parts, so a prefix is
+continued only where it and the equally long phrase one word later are frequent: nothing is lost. What is frequent goes
+to the tasks as bits of fixed size (see `sketch`: a wrong "yes" costs an entry, never a result).
 
-A stripe is split over slices by (prefix, next word), so that the stripe of a very common prefix is no single task's; sums
-and maxima of its parts are added up by Spark. Words are known by 64-bit hashes of (language, word); that no two words share one is
-checked on all words.
+Stripes meet in slices by prefix. The stripes of a prefix that is so frequent that it would fill a slice are cut by their next word; sums
+and maxima of the parts are added up by Spark. Words are known by 64-bit hashes of (language, word), phrases by those of all
+their words; a last pass spells the words of the phrases that are left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rangehaul.llm.arrays import LOWER, Polynomial, heads, mix, pack, randoms, text_chunks, unpack, word_bounds
+from rangehaul.llm.arrays import LOWER, Polynomial, differences, heads, mix, pack, randoms, text_chunks, unpack, word_bounds
 from rangehaul.llm.sketch import Repeated, repeated_filter
 from rangehaul.llm.store import total_bytes, written
 
@@ -64,100 +65,149 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
         yield row + chunk.low, starts, ends, hashes, follows, data
 
 
-def _counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows with their number. Rows meet by a hash of them: a collision may leave equal rows apart, it never joins others."""
-    key = columns[0] if len(columns) == 1 else mix(sum(c * f for c, f in zip(columns, _FACTORS, strict=False)))
-    order = np.argsort(key)
+def _counted(columns: list[np.ndarray], numbers: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows with their number (or the sum of their numbers). Rows meet by a hash of them: a collision may leave equal rows apart, it never joins others."""
+    order = np.argsort(_phrase(columns))
     columns = [c[order] for c in columns]
     at = np.flatnonzero(heads(*columns))
-    return [c[at] for c in columns], np.diff(np.append(at, len(order)))
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each chunk with their counts."""
-    for batch in batches:
-        names = batch.column("lang")
-        for row, starts, ends, hashes, _, data in _texts(batch):
-            order = np.argsort(hashes, kind="stable")
-            first = np.flatnonzero(heads(hashes[order]))
-            at = order[first]
-            sizes = ends[at] - starts[at]
-            offsets = np.append(0, np.cumsum(sizes))
-            spread = np.arange(offsets[-1]) + np.repeat(starts[at] - offsets[:-1], sizes)
-            words = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[spread].tobytes())).cast(pa.string())
-            count = np.diff(np.append(first, len(order)))
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(row[at])), pa.array(hashes[at].view(np.int64)), words, pa.array(count, pa.int64())], names=["lang", "h", "word", "n"])
-
-
-def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(first * _FACTORS[0] + mix(second) * _FACTORS[1])
-
-
-def _steps(hashes: np.ndarray, follows: np.ndarray, known: Repeated, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where a prefix of stripes of `size` words may begin, and from which words one may go on to the next."""
-    step = follows.copy()
-    if size == 1:
-        alive = known(hashes)
-        step[:-1] &= alive[:-1] & alive[1:]
-        return alive, step
-    at = np.flatnonzero(follows)
-    step[at] = known(_pair(hashes[at], hashes[at + 1]))
-    return step.copy(), step
-
-
-def _stripes(sizes: range, slices: int, known: Callable[[], Repeated]):
-    """Stripes of the prefixes of these sizes in the texts of a task, cut into slices."""
-    schema = pa.schema([("size", pa.int32()), ("slice", pa.int32()), ("stripes", pa.binary())])
-
-    def flush(size: int, held: list[list[np.ndarray]]) -> Iterator[tuple[int, int, bytes]]:
+    if not len(at):
+        return columns, at
+    return [c[at] for c in columns], np.diff(np.append(at, len(order))) if numbers is None else np.add.reduceat(numbers[order], at)
+
+
+def _phrase(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash for each row of word hashes; a single word keeps its own."""
+    return columns[0] if len(columns) == 1 else mix(sum(c * f for c, f in zip(columns, _FACTORS, strict=False)))
+
+
+def _cut(of: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Slice, first and behind-last row of each run of one slice."""
+    bounds = np.flatnonzero(heads(of))
+    return zip(of[bounds].tolist(), bounds.tolist(), np.append(bounds[1:], len(of)).tolist(), strict=True) if len(of) else iter(())
+
+
+def _slice(key: np.ndarray, slices: int) -> np.ndarray:
+    return ((key >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
+
+
+def _word_counts(slices: int):
+    """Counts of the words of a task, packed by slice; and of all words, by language."""
+
+    def flush(held: list[tuple[np.ndarray, np.ndarray]], languages: dict[str, int]) -> pa.RecordBatch:
+        (words,), count = _counted([np.concatenate([h for h, _ in held])], np.concatenate([n for _, n in held]))
+        rows = [(k, None, None, int(words[low]).to_bytes(8, "little") + pack(differences(words[low:high]), count[low:high])) for k, low, high in _cut(_slice(words, slices))]
+        rows += [(0, lang, n, None) for lang, n in languages.items()]
+        held.clear()
+        languages.clear()
+        kinds = {"slice": pa.int32(), "lang": pa.string(), "n": pa.int64(), "counts": pa.binary()}
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, languages, waiting = [], {}, 0
+        for batch in batches:
+            names = batch.column("lang").to_pylist()
+            for row, _, _, hashes, _, _ in _texts(batch):
+                (words,), count = _counted([hashes])
+                held.append((words, count))
+                for k, n in zip(*(x.tolist() for x in np.unique(row, return_counts=True)), strict=True):
+                    languages[names[k]] = languages.get(names[k], 0) + n
+                waiting += len(words)
+                if waiting >= FLUSH:
+                    yield flush(held, languages)
+                    waiting = 0
+        if held:
+            yield flush(held, languages)
+
+    return run
+
+
+def _summed(least: int):
+    """Frequent words of a slice, and the words of each language."""
+
+    def run(table: pa.Table) -> pa.Table:
+        words, numbers, languages = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], {}
+        for lang, n, payload in zip(*(table.column(c).to_pylist() for c in ("lang", "n", "counts")), strict=True):
+            if payload is None:
+                languages[lang] = languages.get(lang, 0) + n
+            else:
+                gaps, count = unpack(payload[8:], np.uint64, np.int64)
+                words.append(np.frombuffer(payload, np.uint64, 1) + np.cumsum(gaps, dtype=np.uint64))
+                numbers.append(count)
+        (word,), count = _counted([np.concatenate(words)], np.concatenate(numbers))
+        word, count = word[count >= least], count[count >= least]
+        spare = [None] * len(languages)
+        return pa.table([pa.array([*spare, *word.view(np.int64).tolist()], pa.int64()), pa.array([*languages, *[None] * len(word)], pa.string()), pa.array([*languages.values(), *count.tolist()], pa.int64())], names=["h", "lang", "n"])
+
+    return run
+
+
+def _spelled(known: Callable[[], Repeated]):
+    """The words that are asked for, once a chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = known()
+        for batch in batches:
+            names = batch.column("lang")
+            for row, starts, ends, hashes, _, data in _texts(batch):
+                found, at = np.unique(hashes, return_index=True)
+                use = marks(found)
+                found, at = found[use], at[use]
+                words = [data[s:e].tobytes().decode() for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), names.take(pa.array(row[at])), pa.array(words, pa.string())], names=["h", "lang", "word"])
+
+    return run
+
+
+def _stripes(size: int, slices: int, known: Callable[[], tuple[Repeated, Repeated]]):
+    """Stripes of the prefixes of `size` words in the texts of a task, by slice."""
+    schema = pa.schema([("slice", pa.int32()), ("stripes", pa.binary())])
+
+    def flush(held: list[list[np.ndarray]], hot: Repeated) -> pa.RecordBatch:
         columns, count = _counted([np.concatenate(x) for x in zip(*held, strict=True)])
         held.clear()
-        if not len(count):
-            return
-        key = mix(sum(c * f for c, f in zip(columns, _FACTORS, strict=False)))
-        of = ((key >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
+        key = _phrase(columns[:-1])
+        key = np.where(hot(key), _phrase([key, columns[-1]]), mix(key))
+        of = _slice(key, slices)
         order = np.lexsort((columns[-1], *columns[-2::-1], of))
         of, count, columns = of[order], count[order], [c[order] for c in columns]
-        bounds = np.flatnonzero(heads(of))
-        for low, high in zip(bounds, np.append(bounds[1:], len(of)), strict=True):
+        rows = []
+        for k, low, high in _cut(of):
             prefix = [c[low:high] for c in columns[:-1]]
             begin = np.flatnonzero(heads(*prefix))
             stripes = pack(*(c[begin] for c in prefix), np.diff(np.append(begin, high - low)))
-            yield size, int(of[low]), len(stripes).to_bytes(8, "little") + stripes + pack(columns[-1][low:high], count[low:high])
-
-    def batch_of(rows) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], schema.field(i).type) for i in range(3)], schema=schema)
+            rows.append((k, len(stripes).to_bytes(8, "little") + stripes + pack(columns[-1][low:high], count[low:high])))
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], schema.field(i).type) for i in range(2)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = known()
-        held: dict[int, list[list[np.ndarray]]] = {size: [] for size in sizes}
-        waiting = 0
+        frequent, hot = known()
+        held, waiting = [], 0
         for batch in batches:
             for _, _, _, hashes, follows, _ in _texts(batch):
-                alive, step = _steps(hashes, follows, marks, sizes[0])
-                for size in sizes:
-                    at = np.flatnonzero(alive)
-                    goes = step[at + size - 1]
-                    following = np.zeros(len(at), np.uint64)
-                    following[goes] = hashes[at[goes] + size]
-                    held[size].append([*(hashes[at + k] for k in range(size)), following])
-                    waiting += len(at)
-                    alive = np.zeros(len(hashes), bool)
-                    alive[at[goes]] = True
+                whole = np.ones(max(0, len(hashes) - size + 1), bool)
+                for k in range(size - 1):
+                    whole &= follows[k : k + len(whole)]
+                at = np.flatnonzero(whole)
+                at = at[frequent(_phrase([hashes[at + k] for k in range(size)]))]
+                alive = np.zeros(len(hashes) + 1, bool)
+                alive[at] = True
+                goes = follows[at + size - 1] & alive[at + 1]
+                following = np.zeros(len(at), np.uint64)
+                following[goes] = hashes[at[goes] + size]
+                held.append([*(hashes[at + k] for k in range(size)), following])
+                waiting += len(at)
                 if waiting >= FLUSH:
-                    yield batch_of([r for size in sizes for r in flush(size, held[size])])
+                    yield flush(held, hot)
                     waiting = 0
         if waiting:
-            yield batch_of([r for size in sizes if held[size] for r in flush(size, held[size])])
+            yield flush(held, hot)
 
     return run
 
 
-def _merged(least: int):
+def _merged(size: int, least: int):
     """The stripes of a slice added up elementwise: extensions that are frequent, and the sum of each prefix's part."""
 
     def run(table: pa.Table) -> pa.Table:
-        size = table.column("size")[0].as_py()
         held = []
         for payload in table.column("stripes").to_pylist():
             stop = 8 + int.from_bytes(payload[:8], "little")
@@ -181,38 +231,45 @@ def _merged(least: int):
     return run
 
 
-def _known(keys: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray]) -> Repeated:
-    """Bits that tell these keys from nearly all others: each key enters the sketch twice."""
-    return repeated_filter(keys, lambda batch: iter([np.repeat(hashes(batch), 2)]), 4 * keys.count())
+def _known(keys: DataFrame) -> Repeated:
+    """Bits that tell these phrases (`words`: hashes) from nearly all others: each enters the sketch twice."""
 
+    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        lists = batch.column("words")
+        if len(lists):
+            flat = lists.flatten().to_numpy().view(np.uint64).reshape(len(lists), -1)
+            yield np.repeat(_phrase([flat[:, k] for k in range(flat.shape[1])]), 2)
 
-def stripes(texts: DataFrame, words: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
-    """Counts of the frequent phrases of one word and more: sums of stripes, and their frequent entries (`words`: hashes, `n`)."""
-    context = texts.sparkSession.sparkContext
-    slices = max(1, -(-total_bytes(texts, "text") // SLICE_BYTES))
+    return repeated_filter(keys.select("words"), hashes, 4 * keys.count())
 
-    def counted(sizes: range, marks: Repeated, name: str) -> DataFrame:
-        # One copy per executor; its size is fixed by the sketch, not by the data.
-        shared = context.broadcast(marks)
-        rows = texts.mapInArrow(_stripes(sizes, slices, lambda: shared.value), "size int, slice int, stripes binary")
-        return written(rows.groupBy("size", "slice").applyInArrow(_merged(least), "extension boolean, words array<long>, n long"), name)
 
-    number = lambda column: column.to_numpy().view(np.uint64)
-    single = counted(range(1, 2), _known(words.where(F.col("n") >= least).select("h"), lambda b: number(b.column("h"))), "stripes-of-words")
-    pairs = single.where("extension").select(F.col("words")[0].alias("a"), F.col("words")[1].alias("b"))
-    longer = counted(range(2, LONGEST), _known(pairs, lambda b: _pair(number(b.column("a")), number(b.column("b")))), "stripes-of-phrases")
-    both = single.unionByName(longer)
-    sums = both.where("NOT extension").groupBy("words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return sums, both.where("extension").select("words", "n")
+def stripes(texts: DataFrame, words: DataFrame, slices: int, slice_words: int, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """Counts of the frequent phrases of one word and more: sums of stripes, and their frequent entries (`words`: hashes, `n`).
+
+    `words` has the frequent words (`words`: list of one hash, `n`).
+    """
+    context = texts.sparkSession.sparkContext
+    frequent, found = words, []
+    for size in range(1, LONGEST):
+        # A prefix of more occurrences than a slice has words is cut over slices.
+        hot = frequent.where(F.col("n") >= slice_words)
+        # One copy per executor; its size is fixed by the sketch, not by the data.
+        shared = context.broadcast((_known(frequent), _known(hot)))
+        rows = texts.mapInArrow(_stripes(size, slices, lambda b=shared: b.value), "slice int, stripes binary")
+        found.append(written(rows.groupBy("slice").applyInArrow(_merged(size, least), "extension boolean, words array<long>, n long"), f"stripes-{size}"))
+        frequent = found[-1].where("extension").select("words", "n")
+    every = reduce(DataFrame.unionByName, found)
+    sums = every.where("NOT extension").groupBy("words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return sums, every.where("extension").select("words", "n")
 
 
-def collocations(documents: DataFrame, text_column: str = "text", language_column: str = "lang", least: int = LEAST, top: int = TOP) -> DataFrame:
+def collocations(documents: DataFrame, text_column: str = "text", language_column: str = "lang", least: int = LEAST, top: int = TOP, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The phrases of two to five words that hold together best, the first `top` of each language.
 
     `lang`, `rank` (from 1), `phrase`, `a` (its count), `l` and `r` (counts of the parts at its weakest cut), `n` (words of the
     language), `score`: floor(1000 * a * n / (l * r)), exact. Texts are lower-cased (A to Z), cut at `.,;:!?` and line ends into pieces, and these at
     blanks and tabs into words; overlapping occurrences count. The weakest cut is that of least score, the first of several. A phrase that is
-    part of a longer one with the same count is left out. Order: score, then count, both descending, then phrase in byte order.
+    part of a longer one with the same count is left out. `slice_bytes` of text meet in one task call. Order: score, then count, both descending, then phrase in byte order.
 
     - null text: no words; null language: `und`, together with rows that say so;
     - repeated rows count as often as they stand there; long texts are never cut; ids and other columns are ignored;
@@ -220,12 +277,11 @@ def collocations(documents: DataFrame, text_column: str = "text", language_colum
     """
     texts = documents.select(F.coalesce(F.col(language_column).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text_column).cast("string").alias("text"))
     texts = texts.where("text IS NOT NULL")
-    words = written(texts.mapInArrow(_words, "lang string, h long, word string, n long").groupBy("lang", "h", "word").agg(F.sum("n").alias("n")), "words")
-    if words.groupBy("h").count().where("count > 1").limit(1).count():
-        raise ValueError("two words have the same hash; give Polynomial another seed")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    sums, found = stripes(texts, words.select("h", "n"), least)
-    found = written(found, "phrases")
+    slices = max(1, -(-total_bytes(texts, "text") // slice_bytes))
+    counted = texts.mapInArrow(_word_counts(slices), "slice int, lang string, n long, counts binary").groupBy("slice").applyInArrow(_summed(least), "h long, lang string, n long")
+    counted = written(counted, "words")
+    totals = counted.where("h IS NULL").select("lang", F.col("n").alias("total"))
+    sums, found = stripes(texts, counted.where("h IS NOT NULL").select(F.array("h").alias("words"), "n"), slices, max(1, slice_bytes // 6), least)
     # An extension that stands for a prefix (or for what follows its first word) wherever that occurs. By one word is enough:
     # counts never grow with length, so all phrases between two of one count have that count.
     size = F.size("words")
@@ -233,10 +289,15 @@ def collocations(documents: DataFrame, text_column: str = "text", language_colum
     covered = covered.groupBy("part").agg(F.max("most").alias("most"))
     left_out = found.join(covered, (found["words"] == covered["part"]) & (covered["most"] >= found["n"]), "anti")
     entry = F.col("words")[0].alias("first")
+    left_out = written(left_out, "kept-phrases")
+    asked = left_out.select(F.explode("words").alias("h")).distinct().select(F.array("h").alias("words"))
+    marks = texts.sparkSession.sparkContext.broadcast(_known(asked))
+    names = written(texts.mapInArrow(_spelled(lambda: marks.value), "h long, lang string, word string").distinct(), "names")
+    if not names.groupBy("h").count().where("count > 1").isEmpty():
+        raise ValueError("two words have the same hash; give Polynomial another seed")
     cuts = left_out.select("words", F.col("n").alias("a"), entry, F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))
     cuts = cuts.select("*", F.slice("words", F.lit(1), F.col("k")).alias("head"), F.slice("words", F.col("k") + 1, size - F.col("k")).alias("tail"))
     cuts = cuts.join(sums.select(F.col("words").alias("head"), F.col("n").alias("l")), "head").join(sums.select(F.col("words").alias("tail"), F.col("n").alias("r")), "tail")
-    names = written(words.where(F.col("n") >= least).select("h", "lang", "word"), "names")
     cuts = cuts.join(names.select(F.col("h").alias("first"), "lang"), "first").join(totals, "lang")
     cuts = cuts.withColumn("score", F.expr("(cast(1000 as decimal(38,0)) * a * total) div (cast(l as decimal(38,0)) * r)"))
     weakest = cuts.groupBy("words", "lang", "a", "total").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))

@@ -125,8 +125,8 @@ def phrases(rows, least, top):
     return sorted((lang, rank, p.decode(), -a, left, right, n, -score) for lang, own in out.items() for rank, (score, a, p, left, right, n) in enumerate(sorted(own)[:top], 1))
 
 
-@pytest.mark.parametrize(("least", "top"), [(4, 2000), (9, 7)])
-def test_collocations(spark, least, top):
+@pytest.mark.parametrize(("least", "top", "slice_bytes"), [(4, 2000, 500), (9, 7, 1 << 24)])
+def test_collocations(spark, least, top, slice_bytes):
     rng = random.Random(2)
     vocabulary = ["the", "The", "of", "é", "a", "x\x85y", "zz", "Ä", "q"]
     texts = []
@@ -137,7 +137,7 @@ def test_collocations(spark, least, top):
     texts += [("en", None), ("fr", ""), ("fr", "lonely"), (None, "the " * 200), ("en", "of the zz of " * 300), texts[0], texts[0]]
     rows = [(i, t, lang, "s", 1, "x", None, "y", "z", "0", None) for i, (lang, t) in enumerate(texts)]
     frame = spark.createDataFrame(rows, documents(spark, []).schema).repartition(5)
-    found = collocations(frame, least=least, top=top)
+    found = collocations(frame, least=least, top=top, slice_bytes=slice_bytes)
     assert sorted(map(tuple, found.collect())) == phrases(texts, least, top)
 
 

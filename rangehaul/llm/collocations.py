@@ -91,69 +91,68 @@ def _slice(key: np.ndarray, slices: int) -> np.ndarray:
 
 
 def _word_counts(slices: int):
-    """Counts of the words of a task, packed by slice; and of all words, by language."""
+    """Counts of the words of a task, packed by language and slice."""
 
-    def flush(held: list[tuple[np.ndarray, np.ndarray]], languages: dict[str, int]) -> pa.RecordBatch:
-        (words,), count = _counted([np.concatenate([h for h, _ in held])], np.concatenate([n for _, n in held]))
-        rows = [(k, None, None, int(words[low]).to_bytes(8, "little") + pack(differences(words[low:high]), count[low:high])) for k, low, high in _cut(_slice(words, slices))]
-        rows += [(0, lang, n, None) for lang, n in languages.items()]
+    def flush(held: list[tuple[np.ndarray, ...]], names: list[str]) -> pa.RecordBatch:
+        words, codes, count = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
-        languages.clear()
-        kinds = {"slice": pa.int32(), "lang": pa.string(), "n": pa.int64(), "counts": pa.binary()}
+        (words, codes), count = _counted([words, codes], count)
+        of = codes.astype(np.int64) * slices + _slice(words, slices)
+        order = np.lexsort((words, of))
+        words, count = words[order], count[order]
+        rows = [(k % slices, names[k // slices], int(words[low]).to_bytes(8, "little") + pack(differences(words[low:high]), count[low:high])) for k, low, high in _cut(of[order])]
+        kinds = {"slice": pa.int32(), "lang": pa.string(), "counts": pa.binary()}
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, languages, waiting = [], {}, 0
+        held, names, waiting = [], {}, 0
         for batch in batches:
-            names = batch.column("lang").to_pylist()
+            code = np.array([names.setdefault(lang, len(names)) for lang in batch.column("lang").to_pylist()], np.uint64)
             for row, _, _, hashes, _, _ in _texts(batch):
-                (words,), count = _counted([hashes])
-                held.append((words, count))
-                for k, n in zip(*(x.tolist() for x in np.unique(row, return_counts=True)), strict=True):
-                    languages[names[k]] = languages.get(names[k], 0) + n
+                (words, codes), count = _counted([hashes, code[row]])
+                held.append((words, codes, count))
                 waiting += len(words)
                 if waiting >= FLUSH:
-                    yield flush(held, languages)
+                    yield flush(held, list(names))
                     waiting = 0
         if held:
-            yield flush(held, languages)
+            yield flush(held, list(names))
 
     return run
 
 
 def _summed(least: int):
-    """Frequent words of a slice, and the words of each language."""
+    """Frequent words of a slice with their language, and without a word the slice's words of each language."""
 
     def run(table: pa.Table) -> pa.Table:
-        words, numbers, languages = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], {}
-        for lang, n, payload in zip(*(table.column(c).to_pylist() for c in ("lang", "n", "counts")), strict=True):
-            if payload is None:
-                languages[lang] = languages.get(lang, 0) + n
-            else:
-                gaps, count = unpack(payload[8:], np.uint64, np.int64)
-                words.append(np.frombuffer(payload, np.uint64, 1) + np.cumsum(gaps, dtype=np.uint64))
-                numbers.append(count)
-        (word,), count = _counted([np.concatenate(words)], np.concatenate(numbers))
-        word, count = word[count >= least], count[count >= least]
-        spare = [None] * len(languages)
-        return pa.table([pa.array([*spare, *word.view(np.int64).tolist()], pa.int64()), pa.array([*languages, *[None] * len(word)], pa.string()), pa.array([*languages.values(), *count.tolist()], pa.int64())], names=["h", "lang", "n"])
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for lang, payload in zip(table.column("lang").to_pylist(), table.column("counts").to_pylist(), strict=True):
+            gaps, count = unpack(payload[8:], np.uint64, np.int64)
+            held.setdefault(lang, []).append((np.frombuffer(payload, np.uint64, 1) + np.cumsum(gaps, dtype=np.uint64), count))
+        parts = []
+        for lang, own in held.items():
+            (word,), count = _counted([np.concatenate([w for w, _ in own])], np.concatenate([n for _, n in own]))
+            often = count >= least
+            words = [None, *word[often].view(np.int64).tolist()]
+            parts.append(pa.table([pa.array(words, pa.int64()), pa.repeat(pa.scalar(lang), len(words)), pa.array([int(count.sum()), *count[often].tolist()], pa.int64())], names=["h", "lang", "n"]))
+        return pa.concat_tables(parts)
 
     return run
 
 
 def _spelled(known: Callable[[], Repeated]):
-    """The words that are asked for, once a chunk."""
+    """The words that are asked for, once a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = known()
+        marks, seen = known(), np.zeros(0, np.uint64)
         for batch in batches:
-            names = batch.column("lang")
-            for row, starts, ends, hashes, _, data in _texts(batch):
+            for _, starts, ends, hashes, _, data in _texts(batch):
                 found, at = np.unique(hashes, return_index=True)
-                use = marks(found)
+                use = marks(found) & ~np.isin(found, seen, assume_unique=True)
                 found, at = found[use], at[use]
+                seen = np.concatenate((seen, found))
                 words = [data[s:e].tobytes().decode() for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), names.take(pa.array(row[at])), pa.array(words, pa.string())], names=["h", "lang", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(words, pa.string())], names=["h", "word"])
 
     return run
 
@@ -278,10 +277,11 @@ def collocations(documents: DataFrame, text_column: str = "text", language_colum
     texts = documents.select(F.coalesce(F.col(language_column).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text_column).cast("string").alias("text"))
     texts = texts.where("text IS NOT NULL")
     slices = max(1, -(-total_bytes(texts, "text") // slice_bytes))
-    counted = texts.mapInArrow(_word_counts(slices), "slice int, lang string, n long, counts binary").groupBy("slice").applyInArrow(_summed(least), "h long, lang string, n long")
+    counted = texts.mapInArrow(_word_counts(slices), "slice int, lang string, counts binary").groupBy("slice").applyInArrow(_summed(least), "h long, lang string, n long")
     counted = written(counted, "words")
-    totals = counted.where("h IS NULL").select("lang", F.col("n").alias("total"))
-    sums, found = stripes(texts, counted.where("h IS NOT NULL").select(F.array("h").alias("words"), "n"), slices, max(1, slice_bytes // 6), least)
+    totals = counted.where("h IS NULL").groupBy("lang").agg(F.sum("n").alias("total"))
+    words = counted.where("h IS NOT NULL")
+    sums, found = stripes(texts, words.select(F.array("h").alias("words"), "n"), slices, max(1, slice_bytes // 6), least)
     # An extension that stands for a prefix (or for what follows its first word) wherever that occurs. By one word is enough:
     # counts never grow with length, so all phrases between two of one count have that count.
     size = F.size("words")
@@ -289,23 +289,24 @@ def collocations(documents: DataFrame, text_column: str = "text", language_colum
     covered = covered.groupBy("part").agg(F.max("most").alias("most"))
     left_out = found.join(covered, (found["words"] == covered["part"]) & (covered["most"] >= found["n"]), "anti")
     entry = F.col("words")[0].alias("first")
-    left_out = written(left_out, "kept-phrases")
-    asked = left_out.select(F.explode("words").alias("h")).distinct().select(F.array("h").alias("words"))
-    marks = texts.sparkSession.sparkContext.broadcast(_known(asked))
-    names = written(texts.mapInArrow(_spelled(lambda: marks.value), "h long, lang string, word string").distinct(), "names")
-    if not names.groupBy("h").count().where("count > 1").isEmpty():
-        raise ValueError("two words have the same hash; give Polynomial another seed")
     cuts = left_out.select("words", F.col("n").alias("a"), entry, F.explode(F.sequence(F.lit(1), size - 1)).alias("k"))
     cuts = cuts.select("*", F.slice("words", F.lit(1), F.col("k")).alias("head"), F.slice("words", F.col("k") + 1, size - F.col("k")).alias("tail"))
     cuts = cuts.join(sums.select(F.col("words").alias("head"), F.col("n").alias("l")), "head").join(sums.select(F.col("words").alias("tail"), F.col("n").alias("r")), "tail")
-    cuts = cuts.join(names.select(F.col("h").alias("first"), "lang"), "first").join(totals, "lang")
+    cuts = cuts.join(words.select(F.col("h").alias("first"), "lang"), "first").join(totals, "lang")
     cuts = cuts.withColumn("score", F.expr("(cast(1000 as decimal(38,0)) * a * total) div (cast(l as decimal(38,0)) * r)"))
     weakest = cuts.groupBy("words", "lang", "a", "total").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     scored = weakest.select("words", "lang", "a", F.col("total").alias("n"), "cut.l", "cut.r", "cut.score")
-    spelled = scored.withColumn("phrase", F.lit(""))
+    # Whatever may be among the first, with all that tie; only their words are spelled.
+    place = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
+    first = written(scored.withColumn("place", F.rank().over(place)).where(F.col("place") <= top), "first")
+    marks = texts.sparkSession.sparkContext.broadcast(_known(first.select(F.explode("words").alias("h")).distinct().select(F.array("h").alias("words"))))
+    names = written(texts.mapInArrow(_spelled(lambda: marks.value), "h long, word string").distinct(), "names")
+    if not names.groupBy("h").count().where("count > 1").isEmpty():
+        raise ValueError("two words have the same hash; give Polynomial another seed")
+    spelled = first.withColumn("phrase", F.lit(""))
     for k in range(LONGEST):
         one = names.select(F.col("h").alias("__h"), F.col("word").alias("__word"))
         spelled = spelled.withColumn("__at", F.get("words", F.lit(k))).join(one, F.col("__at") == F.col("__h"), "left")
         spelled = spelled.withColumn("phrase", F.when(F.col("__word").isNull(), F.col("phrase")).otherwise(F.concat("phrase", F.lit(" " if k else ""), "__word"))).drop("__at", "__h", "__word")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "phrase"))
     return spelled.select("lang", rank.cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score").where(F.col("rank") <= top)

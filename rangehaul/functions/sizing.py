@@ -79,6 +79,17 @@ def partition_count(size_bytes: Column, limits: PartitionLimits = PartitionLimit
     return F.greatest(_number(1), F.least(_number(budget), units_of(_non_negative(size_bytes), limits.target_bytes)))
 
 
+def cluster_limits(slots: int, connections: int | None = None, waves: int = 4, target_bytes: int = 256 * MIB) -> PartitionLimits:
+    """Limits of a read on a cluster with so many task slots: up to `waves` ranges a slot, and never more than the source allows connections."""
+    return PartitionLimits(max_connections=connections or slots * waves, task_slots=slots, oversubscription=waves, target_bytes=target_bytes)
+
+
+def planned_ranges(size_bytes: int, limits: PartitionLimits) -> int:
+    """`partition_count` for one size that the driver already holds."""
+    budget = min(limits.max_connections, limits.task_slots * limits.oversubscription)
+    return max(1, min(budget, -(-max(0, size_bytes) // limits.target_bytes)))
+
+
 def chunk_count(size_rows: Column, size_bytes: Column, limits: ChunkLimits = ChunkLimits()) -> Column:
     """Durable chunks. A small table stays whole; a large one gets chunks big enough to be
     worth a connection, small enough to be repeated, and about two per connection."""

@@ -55,7 +55,8 @@ def discover_columns(
         .filter("_rank = 1")
         .select(*place, "index_id", "index_type", "is_unique", "primary_key")
     )
-    described = columns.join(types, "type_id").join(best_index, place, "left")
+    # A type without an entry (a spatial or user type) keeps its column: reading it is refused by name later, not left out.
+    described = columns.join(types, "type_id", "left").join(best_index, place, "left")
     leading_stats = (
         stats.filter(~F.col("filtered"))
         .join(stats_columns.filter("stats_column_id = 1"), ["table", "stats_id"])
@@ -77,7 +78,7 @@ def discover_columns(
         "table",
         "column_id",
         "column",
-        "sql_type",
+        F.coalesce("sql_type", F.concat(F.lit("type "), F.col("type_id").cast("string"))).alias("sql_type"),
         "nullable",
         "precision",
         "scale",

@@ -5,13 +5,13 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from rangehaul.functions.hashing import row_hash, wide_sum
-from rangehaul.functions.sizing import PartitionLimits, partition_count
+from rangehaul.functions.sizing import PartitionLimits, cluster_limits, planned_ranges
 from rangehaul.operators.manifests import select_manifests
 from rangehaul.operators.profile import _FIXED_WIDTHS, column_histogram, key_bounds
 from rangehaul.operators.ranges import assign_ranges, histogram_boundaries, linear_boundaries, range_predicates
@@ -21,6 +21,8 @@ from rangehaul.sources.files import file_inventory
 from rangehaul.sinks import snapshots as sink
 
 CHUNK = "chunk"
+# Strategy of a plan whose chunks are sets of source files.
+FILE_CHUNKS = "file_chunks"
 # Assumed width of text in a size estimate when the caller gives no source size.
 TEXT_WIDTH = 32
 
@@ -31,7 +33,8 @@ class IngestOptions:
 
     ranges: int | None = None
     source_bytes: int | None = None
-    limits: PartitionLimits = field(default_factory=PartitionLimits)
+    # None: as many ranges as the cluster's slots and the bytes call for.
+    limits: PartitionLimits | None = None
     histogram_steps: int = 200
     accuracy: int = 10_000
     compression: str = "zstd"
@@ -45,6 +48,8 @@ class IngestOptions:
     validation: str = "strict"
     require_source_match: bool = True
     profile: str = "default"
+    # Chunks of files that are staged by one job.
+    wave_chunks: int = 64
 
     def __post_init__(self) -> None:
         # Codecs and modes a load knows.
@@ -68,7 +73,7 @@ class RangePlan:
 
     @property
     def ranges(self) -> int:
-        return len(self.boundaries) + 1
+        return len(self.predicates)
 
 
 def _declared_width(schema: T.StructType) -> int:
@@ -78,8 +83,7 @@ def _declared_width(schema: T.StructType) -> int:
 def _requested(spark: SparkSession, source_bytes: int, options: IngestOptions) -> int:
     if options.ranges is not None:
         return max(1, options.ranges)
-    row = spark.range(1).select(partition_count(F.lit(source_bytes).cast("bigint"), options.limits).alias("n"))
-    return row.first()["n"]
+    return planned_ranges(source_bytes, options.limits or cluster_limits(spark.sparkContext.defaultParallelism))
 
 
 def plan_ranges(df: DataFrame, key: str | None, options: IngestOptions = IngestOptions()) -> RangePlan:
@@ -126,7 +130,7 @@ def run_plan(
     if known:
         first = known[0]
         return RangePlan(
-            first["strategy"], first["column"], tuple(r["boundary"] for r in known[1:]),
+            first["strategy"], first["column"], () if first["strategy"] == FILE_CHUNKS else tuple(r["boundary"] for r in known[1:]),
             tuple(r["predicate"] for r in known), first["requested"], first["source_rows"],
         )
     plan = given if given is not None else plan_ranges(df, key, options)
@@ -134,7 +138,7 @@ def run_plan(
         [T.StructField("chunk", T.IntegerType()), T.StructField("low", dtype), T.StructField("high", dtype),
          T.StructField("predicate", T.StringType())]
     )
-    edges = [None, *plan.boundaries, None]
+    edges = [None, *plan.boundaries, *[None] * (plan.ranges - len(plan.boundaries))]
     rows = [(i, edges[i], edges[i + 1], predicate) for i, predicate in enumerate(plan.predicates)]
     constants = {"run_id": run_id, "strategy": plan.strategy, "column": plan.column, "requested": plan.requested,
                  "source_rows": plan.source_rows}
@@ -168,7 +172,9 @@ def ingest(
     """
     spark = source.sparkSession
     ledger = Ledger(spark, f"{root.rstrip('/')}/ledger")
-    request = {"table": table, "key": key, "schema": source.schema.simpleString(), "options": asdict(options)}
+    # How many chunks go in one job may differ between attempts.
+    chosen = {name: value for name, value in asdict(options).items() if name != "wave_chunks"}
+    request = {"table": table, "key": key, "schema": source.schema.simpleString(), "options": chosen}
     ledger.claim(run_id, request)
     finished = ledger.finished(run_id)
     if not finished.isEmpty():
@@ -188,7 +194,7 @@ def ingest(
         mark = lap("planning", mark)
         attempt = _stage(ledger, source, root, run_id, plan, options, read)
         mark = lap("extraction", mark)
-        selected = _selected(ledger, root, run_id, plan.ranges)
+        selected = _selected(ledger, run_id, plan.ranges)
         # Nothing is published before the staged chunks are proven; what fails the proof is staged again by a retry.
         try:
             totals, checksum = _validate(ledger, source, plan, selected, attempt, options)
@@ -219,16 +225,18 @@ class ContentMismatch(RuntimeError):
     """Rows that were staged are not the rows of the source."""
 
 
-def _sound(ledger: Ledger, root: str, run_id: str) -> DataFrame:
+def _sound(ledger: Ledger, run_id: str) -> DataFrame:
     """Manifests of a run that count: not discarded, and their folders hold the files and bytes they promise."""
     manifests = ledger.read("manifests").filter(F.col("run_id") == run_id)
     discards = ledger.read("discards").filter(F.col("run_id") == run_id).select("attempt_id").distinct()
     known = manifests.join(discards, "attempt_id", "left_anti")
     plain = lambda path: F.regexp_replace(path, r"^[a-zA-Z][a-zA-Z0-9+.-]*:/+", "/")
-    staging = f"{root.rstrip('/')}/staging/{run_id}"
-    if not ledger.present(staging):
+    # One folder per attempt, wherever its manifests say that it is.
+    attempts = known.filter("files > 0").select(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).distinct().collect()
+    folders = sorted(r["folder"] for r in attempts if ledger.present(r["folder"]))
+    if not folders:
         return known.filter("files = 0")
-    listed = file_inventory(ledger.spark, staging)
+    listed = file_inventory(ledger.spark, folders)
     folders = listed.groupBy(F.regexp_replace(plain(F.col("path")), "/[^/]*$", "").alias("_folder")).agg(
         F.count(F.lit(1)).alias("_files"), F.sum("size").alias("_bytes")
     )
@@ -243,13 +251,15 @@ def _discard(ledger: Ledger, run_id: str, selected: list[Row]) -> None:
     ledger.append("discards", rows.coalesce(1))
 
 
-def _done(ledger: Ledger, root: str, run_id: str) -> set[int]:
+def _done(ledger: Ledger, run_id: str) -> set[int]:
     """Chunks that have a sound manifest (their number is bounded by the plan)."""
-    return {r["index"] for r in _sound(ledger, root, run_id).select("index").distinct().collect()}
+    return {r["index"] for r in _sound(ledger, run_id).select("index").distinct().collect()}
 
 
 def _pending_rows(source: DataFrame, plan: RangePlan, pending: list[int], options: IngestOptions, read) -> DataFrame:
     """The rows of the pending ranges with their range number, placed for writing."""
+    if plan.strategy == FILE_CHUNKS:
+        return read(pending)
     # The predicates of the pending ranges reach the scan.
     if read is not None:
         kept = read([plan.predicates[i] for i in pending])
@@ -265,12 +275,22 @@ def _pending_rows(source: DataFrame, plan: RangePlan, pending: list[int], option
 
 
 def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: RangePlan, options: IngestOptions, read):
-    """Write the pending chunks and their manifests; returns what was observed while writing."""
-    spark = ledger.spark
-    done = _done(ledger, root, run_id)
+    """Write the pending chunks and their manifests; returns what was observed while writing.
+
+    Chunks of files go in waves, each with manifests of its own: what a failure loses is one wave.
+    """
+    done = _done(ledger, run_id)
     pending = [i for i in range(plan.ranges) if i not in done]
     if not pending:
         return None
+    wave = options.wave_chunks if plan.strategy == FILE_CHUNKS else len(pending)
+    seen = [_stage_wave(ledger, source, root, run_id, plan, pending[at : at + wave], options, read) for at in range(0, len(pending), wave)]
+    checksum = sum(int(c) for _, c in seen) if options.validation == "strict" else None
+    return {"rows": sum(n for n, _ in seen), "checksum": checksum, "whole": not done}
+
+
+def _stage_wave(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: RangePlan, pending: list[int], options: IngestOptions, read) -> tuple:
+    spark = ledger.spark
     placed = _pending_rows(source, plan, pending, options, read)
     attempt_id = uuid.uuid4().hex
     path = f"{root.rstrip('/')}/staging/{run_id}/{attempt_id}"
@@ -283,19 +303,18 @@ def _stage(ledger: Ledger, source: DataFrame, root: str, run_id: str, plan: Rang
     observed = placed.observe(seen, *metrics)
     sink.stage_chunks(observed, path, CHUNK, options.compression, options.rows_per_file, already_split=True)
     counted = seen.get
-    schema = T.StructType([*source.schema.fields, T.StructField(CHUNK, T.IntegerType())])
-    found = sink.chunk_manifests(sink.chunk_files(spark, path, CHUNK, schema), run_id, attempt_id, path, _now())
+    found = sink.chunk_manifests(sink.chunk_files(spark, path, CHUNK), run_id, attempt_id, path, _now())
     # One small row per range. A range without rows leaves no file, yet it is done.
     rows = found.collect()
     empty = set(pending) - {r["index"] for r in rows}
     rows += [Row(run_id, i, attempt_id, None, 0, 0, 0, _now()) for i in sorted(empty)]
     ledger.append("manifests", spark.createDataFrame(rows, found.schema).coalesce(1))
-    return {"rows": counted["rows"], "checksum": counted.get("checksum"), "whole": not done}
+    return counted["rows"], counted.get("checksum")
 
 
-def _selected(ledger: Ledger, root: str, run_id: str, ranges: int) -> list[Row]:
+def _selected(ledger: Ledger, run_id: str, ranges: int) -> list[Row]:
     """The manifest of each chunk, one small row per range of the plan; none may be missing."""
-    selected = select_manifests(_sound(ledger, root, run_id)).collect()
+    selected = select_manifests(_sound(ledger, run_id)).collect()
     missing = sorted(set(range(ranges)) - {r["index"] for r in selected})
     if missing:
         raise RuntimeError(f"no manifest for chunks {missing}")

@@ -16,6 +16,8 @@ SCHEMAS = {
     "requests": "run_id string, request string, request_hash string, requested_at timestamp",
     "plans": "run_id string, chunk int, low string, high string, predicate string, strategy string, `column` string, "
     "requested int, source_rows bigint",
+    "boundaries": "run_id string, kind string, `value` string",
+    "sources": "run_id string, chunk int, path string, size bigint, modified timestamp, rows bigint, bytes bigint",
     "manifests": "run_id string, index int, attempt_id string, path string, rows bigint, bytes bigint, "
     "files bigint, completed_at string",
     "discards": "run_id string, attempt_id string",

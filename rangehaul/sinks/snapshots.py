@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rangehaul.operators.conform import conform, unify_union
 from rangehaul.operators.reconcile import table_checksum
-from rangehaul.sources.files import output_stats
+from rangehaul.sources.files import file_counts, file_inventory, output_stats
 
 MIB = 1 << 20
 TARGET_FILE_BYTES = 128 * MIB
@@ -113,13 +114,31 @@ def stage_chunks(df: DataFrame, path: str, chunk: str = "chunk", compression: st
     the partitions of the read already are the ranges (`already_split`), nothing moves.
     """
     placed = df if already_split else df.hint("rebalance", chunk)
-    (
-        placed.write.option("compression", compression)
-        .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy(chunk)
-        .mode("errorifexists")
-        .parquet(path)
-    )
+    with _unsorted(df.sparkSession, already_split):
+        (
+            placed.write.option("compression", compression)
+            .option("maxRecordsPerFile", rows_per_file)
+            .partitionBy(chunk)
+            .mode("errorifexists")
+            .parquet(path)
+        )
+
+
+# A task may hold two files open at a time; only beyond that are its rows sorted by folder first.
+_TWO_WRITERS = {"spark.sql.optimizer.plannedWrite.enabled": "false", "spark.sql.maxConcurrentOutputFileWriters": "2"}
+
+
+@contextmanager
+def _unsorted(spark: SparkSession, apply: bool) -> Iterator[None]:
+    """Tasks that hold one chunk each (or the end of one and the start of the next) need no sort before they write."""
+    before = {name: spark.conf.get(name) for name in _TWO_WRITERS} if apply else {}
+    try:
+        for name in before:
+            spark.conf.set(name, _TWO_WRITERS[name])
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -132,12 +151,10 @@ def read_chunks(spark: SparkSession, paths: Sequence[str], schema: T.StructType)
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
-def chunk_files(spark: SparkSession, path: str, chunk: str = "chunk", schema: T.StructType | None = None) -> DataFrame:
-    """(chunk, path, size, rows) per staged file; rows come from the footers, no column is read."""
-    staged = read_staged(spark, path, schema)
-    return staged.groupBy(
-        F.col(chunk), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")
-    ).agg(F.count("*").alias("rows"))
+def chunk_files(spark: SparkSession, path: str, chunk: str = "chunk") -> DataFrame:
+    """(chunk, path, size, rows) per staged file; rows come from the footers, so the cost follows the files and not the rows."""
+    counted = file_counts(file_inventory(spark, path), tasks=spark.sparkContext.defaultParallelism)
+    return counted.select(F.regexp_extract("path", f"/{chunk}=([^/]+)/[^/]+$", 1).cast("int").alias(chunk), "path", "size", "rows")
 
 
 def chunk_manifests(files: DataFrame, run_id: str, attempt_id: str, path: str, completed_at: str, chunk: str = "chunk") -> DataFrame:

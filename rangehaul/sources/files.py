@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rangehaul.sources.tasks import read_footers, read_row_groups
+from rangehaul.sources.tasks import counts_reader, read_footers, read_row_groups
 
 
-def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """(path, size, modified) of the data files below a path; contents are not read.
+def file_inventory(spark: SparkSession, path: str | Sequence[str], glob: str = "*.parquet") -> DataFrame:
+    """(path, size, modified) of the data files below one or more paths; contents are not read.
 
     Loader state and transaction log folders do not count.
     """
@@ -18,7 +18,7 @@ def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> D
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
-        .load(path)
+        .load(path if isinstance(path, str) else list(path))
         .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
     )
     return listed.filter(~F.col("path").rlike(r"/(_delta_log|_dlt_[^/]*)/"))
@@ -52,6 +52,16 @@ def row_groups(inventory: DataFrame, tasks: int | None = None) -> DataFrame:
     )
 
 
+def file_counts(inventory: DataFrame, columns: Sequence[str] | None = None, tasks: int | None = None) -> DataFrame:
+    """(path, size, modified, rows, bytes): rows of each file and the decoded bytes of the columns (of all without a choice), from footers.
+
+    The cost follows the number of files; no row and no column is read.
+    """
+    count = tasks or 4 * inventory.sparkSession.sparkContext.defaultParallelism
+    placed = inventory.select("path", "size", "modified").repartition(count, "path")
+    return placed.mapInArrow(counts_reader(list(columns) if columns else None), "path string, size bigint, modified timestamp, rows bigint, bytes bigint")
+
+
 def output_stats(spark: SparkSession, path: str) -> DataFrame:
     """Number of data files and their compressed bytes."""
     return file_inventory(spark, path).agg(

@@ -42,6 +42,23 @@ def read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def counts_reader(columns: list[str] | None):
+    """Adds rows and decoded bytes of the chosen columns to each file."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, sizes = [], []
+            for path in batch.column("path").to_pylist():
+                with open_parquet(path) as parquet:
+                    footer = parquet.metadata
+                    parts = [footer.row_group(i).column(k) for i in range(footer.num_row_groups) for k in range(footer.num_columns)]
+                rows.append(footer.num_rows)
+                sizes.append(sum(p.total_uncompressed_size for p in parts if columns is None or p.path_in_schema.split(".")[0] in columns))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.int64()), pa.array(sizes, pa.int64())], names=[*batch.schema.names, "rows", "bytes"])
+
+    return read
+
+
 def read_row_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per file and row group."""
     for batch in batches:

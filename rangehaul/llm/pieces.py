@@ -31,7 +31,7 @@ from rangehaul.llm.arrays import mix, randoms
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 BLANK = "▁"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 # Lattice arcs that a task keeps; beyond, it starts anew.
 KEEP_ARCS = 8 << 20
 MARKS = ".,;:!?"
@@ -102,9 +102,11 @@ class Lattices:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.nodes = self.arcs = 0
-        self.first = np.zeros(1 << 16, np.int32)  # first arc of each node; the next node's begins behind the last
-        self.piece, self.next = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
-        self.p = np.zeros(1 << 16)
+        # Room for all arcs that are kept: pages are only taken as they fill, and nothing is copied to grow.
+        room = KEEP_ARCS + KEEP_ARCS // 8
+        self.first = np.zeros(room, np.int32)  # first arc of each node; the next node's begins behind the last
+        self.piece, self.next = np.zeros(room, np.int32), np.zeros(room, np.int32)
+        self.p = np.zeros(room)
 
     def add(self, units: list[str]) -> None:
         """Build the lattices of new units, all at once: a node for each character, and chains of byte pieces behind them."""
@@ -177,7 +179,7 @@ class Lattices:
         for name, values, end in (("first", new, self.nodes), ("piece", np.append(piece[order], pieces_), self.arcs), ("next", np.append(next_[order], follow), self.arcs), ("p", np.append(p[order], np.ones(len(pieces_))), self.arcs)):
             old = getattr(self, name)
             if len(old) < end + 1:
-                old = np.concatenate((old, np.zeros(max(len(old), end + 1 - len(old)), old.dtype)))
+                old = np.concatenate((old, np.zeros(end + 1 - len(old) + KEEP_ARCS // 8, old.dtype)))
                 setattr(self, name, old)
             old[end - len(values) : end] = values
         self.first[self.nodes] = self.arcs
@@ -232,8 +234,11 @@ class _Paths:
         p = lattice.p[arcs]
         with np.errstate(divide="ignore"):
             log = np.log(p)
-            self.before = np.cumsum(log) - log
-            self.before -= np.append(self.before, 0)[offsets[:-1]][of]
+            # A sum for each text, so that no text's numbers depend on its neighbours.
+            self.before = np.empty(len(log))
+            for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                np.cumsum(log[low:high], out=self.before[low:high])
+            self.before -= log
             self.log_prob = np.bincount(of, log, len(rows))
             # What a step leaves: the sets of all other arcs. Steps taken over from an earlier path leave nothing.
             left = np.where(np.arange(len(arcs)) >= own[of], self.before + np.log1p(-np.minimum(p, 1)), -np.inf)

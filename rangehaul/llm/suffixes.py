@@ -168,7 +168,7 @@ def _piece_hashes(length: int, known):
                 keep = repeated(keys)
                 starts, strings, keys = starts[keep], strings[keep], keys[keep]
                 hashes = _PIECE.ranges(chunk.data, starts, starts + strings + length - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(hashes.astype(np.uint64).view(np.int64))], names=["key", "hash"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(hashes.astype(np.uint64).view(np.int64)), pa.array(strings, pa.int64())], names=["key", "hash", "strings"])
 
     return run
 
@@ -484,12 +484,15 @@ def remove_repeated_strings(documents: DataFrame, id_column: str = "doc_id", tex
     # One copy per executor; its size is fixed by the sketch, not by the data.
     shared = rows.sparkSession.sparkContext.broadcast(marks)
     slices = max(1, -(-size // SLICE_BYTES))
-    sample = able.where(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_piece_hashes(length, lambda: shared.value), "key long, hash long")
-    often = sample.distinct().groupBy("key").count().where(F.col("count") >= max(1, HEAVY_PIECES // SAMPLE)).select("key").collect()
+    sample = able.where(F.pmod("text_hash", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_piece_hashes(length, lambda: shared.value), "key long, hash long, strings long")
+    # Different pieces of a gram, and all of its strings: the latter size the second sketch.
+    different = sample.groupBy("key", "hash").agg(F.sum("strings").alias("strings")).groupBy("key")
+    often = different.agg(F.count(F.lit(1)).alias("n"), F.sum("strings").alias("strings")).where(F.col("n") >= max(1, HEAVY_PIECES // SAMPLE)).collect()
     heavy = np.array([r.key for r in often], np.uint64)
+    expected = SAMPLE * sum(r.strings for r in often)
     twice = None
     if len(heavy):
-        twice = rows.sparkSession.sparkContext.broadcast(repeated_filter(able.select("text"), _string_keys(length, lambda: shared.value, heavy), size))
+        twice = rows.sparkSession.sparkContext.broadcast(repeated_filter(able.select("text"), _string_keys(length, lambda: shared.value, heavy), min(size, expected)))
     pieces = able.select("doc_id", "text_hash", "text").mapInArrow(_piece_rows(slices, length, lambda: shared.value, heavy, lambda: twice.value if twice else None), "slice int, decided boolean, payload binary")
     lost = pieces.groupBy("slice").applyInArrow(_settled(length, slices), "bucket int, payload binary")
     spans = lost.groupBy("bucket").applyInArrow(_gathered, "doc_id long, text_hash long, spans array<long>")

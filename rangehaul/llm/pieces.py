@@ -31,9 +31,9 @@ from rangehaul.llm.arrays import mix, randoms
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 BLANK = "▁"
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 20
 # Lattice arcs that a task keeps; beyond, it starts anew.
-KEEP_ARCS = 8 << 20
+KEEP_ARCS = 16 << 20
 MARKS = ".,;:!?"
 
 

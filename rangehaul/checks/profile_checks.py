@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rangehaul.checks.registry import check, table
 from rangehaul.operators import profile as P
+from rangehaul.sources.catalog import key_type, typed_steps
 
 _CATALOG_SQL = """
 WITH cols AS (
@@ -293,6 +294,57 @@ def column_histogram_quantiles(spark, sf):
     )
 
 
+_FAR_APART = "SELECT o_custkey % 40 AS t, (o_custkey % 40) * 1000000000 + o_orderkey AS k0, o_orderkey FROM orders"
+
+
+@check(
+    "sketched_histogram",
+    f"""
+    WITH src AS (SELECT t, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE k0 END AS k FROM ({_FAR_APART}))
+    SELECT t AS "table", CAST(count(*) AS DOUBLE) AS rows, CAST(count(*) - count(k) AS DOUBLE) AS null_rows, max(k) AS high, true AS balanced
+    FROM src GROUP BY t
+    """,
+)
+def sketched_histogram(spark, sf):
+    """Forty tables whose keys lie a thousand million apart: totals are exact, and no step of any table is far above its share."""
+    orders = table(spark, sf, "orders").withColumn("table", F.col("o_custkey") % 40)
+    key = F.when(F.col("o_orderkey") % 11 != 0, F.col("table") * 1_000_000_000 + F.col("o_orderkey"))
+    steps = P.sketched_histogram(orders.select("table", key.alias("k")), ["table"], "k", 16)
+    rows = F.col("range_rows") + F.col("equal_rows")
+    keyed = F.when(F.col("high").isNotNull(), rows)
+    return steps.groupBy("table").agg(
+        F.sum(rows).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("high").isNull(), rows)), F.lit(0.0)).alias("null_rows"),
+        F.max("high").alias("high"),
+        (F.max(keyed) <= F.greatest(F.lit(4.0), F.sum(keyed) / 8)).alias("balanced"),
+    )
+
+
+@check(
+    "catalog_histogram",
+    """
+    SELECT 'bigint' AS kind, CAST(o_orderkey * 1000003 AS VARCHAR) AS high, CAST(o_custkey AS DOUBLE) AS range_rows, CAST(1 AS DOUBLE) AS equal_rows FROM orders
+    UNION ALL SELECT 'decimal', CAST(CAST(o_totalprice AS DECIMAL(18,4)) AS VARCHAR), CAST(o_custkey AS DOUBLE), CAST(1 AS DOUBLE) FROM orders
+    UNION ALL SELECT 'datetime2', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), CAST(o_custkey AS DOUBLE), CAST(1 AS DOUBLE) FROM orders
+    UNION ALL SELECT 'date', strftime(o_orderdate, '%Y-%m-%d'), CAST(o_custkey AS DOUBLE), CAST(1 AS DOUBLE) FROM orders
+    """,
+)
+def catalog_histogram(spark, sf):
+    """Steps of a catalog as its views give them, keys as text, read back as typed keys (an order stands for a step)."""
+    orders = table(spark, sf, "orders")
+    texts = {
+        ("bigint", None, None): (F.col("o_orderkey") * 1000003).cast("string"),
+        ("decimal", 18, 4): F.col("o_totalprice").cast("decimal(18,4)").cast("string"),
+        ("datetime2", None, None): F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0'"),
+        ("date", None, None): F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00"),
+    }
+    frames = []
+    for (kind, precision, scale), text in texts.items():
+        steps = orders.select(text.alias("high"), F.col("o_custkey").cast("string").alias("range_rows"), F.lit("1").alias("equal_rows"))
+        frames.append(typed_steps(steps, key_type(kind, precision, scale)).select(F.lit(kind).alias("kind"), F.col("high").cast("string").alias("high"), "range_rows", "equal_rows"))
+    return _union(frames)
+
+
 @check(
     "row_width",
     """

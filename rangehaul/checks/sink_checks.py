@@ -9,6 +9,7 @@ from rangehaul.checks.manifest_checks import k_of
 from rangehaul.checks.range_checks import ASSIGNED_SQL, assigned_lines
 from rangehaul.checks.registry import check, table
 from rangehaul.operators import reconcile as V
+from rangehaul.plans.file_load import ingest_files, pack_files
 from rangehaul.plans.ingest import IngestOptions, ingest, reconcile
 from rangehaul.session import scratch_path
 from rangehaul.sinks import snapshots as S
@@ -103,16 +104,13 @@ def chunk_manifests(spark, sf):
     return manifests.select("run_id", "index", "rows", stored.alias("has_files"))
 
 
-_LINES = "l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_shipdate"
-
-
-@check("publish_zero_copy", f"SELECT {_LINES} FROM lineitem")
+@check("publish_zero_copy", "SELECT * FROM lineitem")
 def publish_zero_copy(spark, sf):
     _, manifests = _staged(spark, sf)
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
     S.publish_by_reference(ledger, "run-1", "lineitem", manifests, 1)
     lines = table(spark, sf, "lineitem").schema
-    return S.read_snapshot(ledger, "run-1", lines).select(*_LINES.split(", "))
+    return S.read_snapshot(ledger, "run-1", lines)
 
 
 @check("publish_rewrite", UNIFIED_SQL)
@@ -253,6 +251,31 @@ def ingest_reconciled(spark, sf):
     )
 
 
+@check(
+    "file_chunks",
+    """
+    WITH f AS (SELECT CAST(o_orderkey AS VARCHAR) AS path, CAST(floor(o_totalprice) AS BIGINT) AS bytes FROM orders),
+    b AS (SELECT *, CAST('0x' || substr(md5(path), 1, 8) AS BIGINT) % 7 AS bucket FROM f),
+    r AS (SELECT *, coalesce(sum(greatest(bytes, 1)) OVER (PARTITION BY bucket ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 2000000 AS part FROM b),
+    n AS (SELECT *, dense_rank() OVER (ORDER BY bucket, part) - 1 AS chunk FROM r)
+    SELECT path, bytes, CAST(chunk AS INTEGER) AS chunk FROM n
+    """,
+)
+def file_chunks(spark, sf):
+    """Files packed into chunks (an order stands for a file, its price for its bytes)."""
+    files = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.floor("o_totalprice").cast("bigint").alias("bytes"))
+    return pack_files(files, 2_000_000, 7)
+
+
+@check("ingest_files", "SELECT * FROM lineitem")
+def ingest_line_files(spark, sf):
+    """Line items as a folder of files, loaded in chunks without a shuffle, and the published rows with all their columns."""
+    source, root = scratch_path(spark, "lines"), scratch_path(spark, "load")
+    S.write_snapshot(table(spark, sf, "lineitem").repartition(16), source)
+    ingest_files(spark, source, root, "lines-1", "lineitem", IngestOptions(wave_chunks=4), target_bytes=200_000)
+    return S.read_snapshot(Ledger(spark, f"{root}/ledger"), "lines-1")
+
+
 @check("ingest_temporal", "SELECT * FROM events")
 def ingest_temporal(spark, sf):
     """Load events by ranges of their time, published by rewriting, and read the snapshot back."""

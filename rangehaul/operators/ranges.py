@@ -197,6 +197,18 @@ def with_range_index(
     return found
 
 
+def with_array_index(df: DataFrame, key: Column, boundaries: Column, most: int, name: str) -> DataFrame:
+    """Add how many of a row's own ascending boundaries (an array of at most `most`) lie strictly below its key; NULL for a NULL key."""
+    half = 1 << max(0, most.bit_length() - 1)
+    found = df.withColumn(name, F.when(key.isNotNull(), F.lit(0)))
+    while half:
+        further = F.col(name) + half
+        # Beyond the end of the array the lookup is NULL, and the position stays.
+        found = found.withColumn(name, F.when(key > F.get(boundaries, further - 1), further).otherwise(F.col(name)))
+        half //= 2
+    return found
+
+
 def assign_ranges(df: DataFrame, column: str, boundaries: Sequence, chunk: str = "chunk") -> DataFrame:
     """Give each row the number of its range; projections only."""
     key = F.col("`" + column.replace("`", "``") + "`")

@@ -91,3 +91,42 @@ def test_discovery_skips_unusable_indexes(spark):
     )
     rows = {r["column"]: (r["index_id"], r["clustered"], r["is_unique"], r["primary_key"], r["stats_id"]) for r in found.collect()}
     assert rows == {"a": (1, True, True, True, 1), "b": (None, False, False, False, None), "c": (5, False, False, False, None)}
+
+
+def test_sketched_histogram(spark):
+    rows = [("near", i) for i in range(1000)] + [("far", 10**15 + 7 * i) for i in range(3000)] + [("far", None)] * 5
+    rows += [("one", 4)] * 50 + [("empty", None)] * 3 + [(None, i % 10) for i in range(100)]
+    frame = spark.createDataFrame(rows, "t string, k bigint").repartition(5)
+    found = P.sketched_histogram(frame, ["t"], "k", 10).collect()
+    for name in ("near", "far", "one", "empty", None):
+        own = sorted((r for r in found if r.t == name), key=lambda r: (r.high is not None, r.high))
+        keys = [k for t, k in rows if t == name]
+        highs = [r.high for r in own if r.high is not None]
+        assert len(highs) <= 11 and highs == sorted(set(highs))
+        below = None
+        for r in own:
+            if r.high is None:
+                assert (r.range_rows, r.equal_rows) == (0, sum(k is None for k in keys))
+                continue
+            inside = [k for k in keys if k is not None and k <= r.high and (below is None or k > below)]
+            assert (r.range_rows, r.equal_rows) == (sum(k < r.high for k in inside), sum(k == r.high for k in inside))
+            below = r.high
+        assert sum(r.range_rows + r.equal_rows for r in own) == len(keys)
+        if name in ("near", "far"):
+            assert max(r.range_rows + r.equal_rows for r in own if r.high is not None) < len(keys) / 7
+    floats = spark.createDataFrame([("a", float(i)) for i in range(20)] + [("a", float("nan")), ("a", None)], "t string, k double")
+    counted = P.sketched_histogram(floats, ["t"], "k", 4).collect()
+    assert sum(r.range_rows + r.equal_rows for r in counted) == 22 and max(r.high for r in counted if r.high is not None) == 19.0
+    dates = floats.select("t", F.date_add(F.lit("2024-01-01").cast("date"), F.when(~F.isnan("k"), F.col("k")).cast("int")).alias("k"))
+    assert {r.high.year for r in P.sketched_histogram(dates, ["t"], "k", 4).collect() if r.high} == {2024}
+
+
+def test_uniqueness_is_sketched_first(spark):
+    frame = spark.range(5000).select(F.col("id").alias("a"), (F.col("id") % 100).alias("b"), F.when(F.col("id") > 0, F.least("id", F.lit(4998))).alias("c"), (F.col("id") / 2).alias("d"))
+    found = {r.column: r for r in P.data_profile({"t": frame}, {"t": ["a", "b", "c", "d"]}).collect()}
+    assert {c for c, r in found.items() if r.is_unique} == {"a", "d"}
+    assert found["c"].nullable and not found["a"].nullable and found["a"].primary_key
+    told = {r.column: r for r in P.data_profile({"t": frame}, {"t": ["c", "b"]}, declared={"t": ["c"]}).collect()}
+    assert told["c"].is_unique and not told["c"].primary_key and told["a"].index_id is None
+    empty = P.data_profile({"t": frame.limit(0)}, {"t": ["a"]}).filter("column = 'a'").first()
+    assert empty.is_unique and not empty.nullable

@@ -31,7 +31,7 @@ from rangehaul.llm.arrays import mix, randoms
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 BLANK = "▁"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 21
 # Lattice arcs that a task keeps; beyond, it starts anew.
 KEEP_ARCS = 16 << 20
 MARKS = ".,;:!?"

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rangehaul.llm.arrays import Polynomial, heads, lists, pack, parts, row_of, text_chunks, unpack
+from rangehaul.llm.arrays import Polynomial, heads, lists, mix, pack, parts, row_of, text_chunks, unpack
 from rangehaul.llm.sketch import repeated_filter
 from rangehaul.llm.store import squeezed, total_bytes, unsqueezed
 
@@ -38,6 +38,8 @@ PLACE_BITS = 20
 SLICE_BYTES = 4 << 20
 FLUSH = 1 << 15
 BLOCK_BYTES = 1 << 15
+# Strings whose hashes are compared at a time.
+TURN = 1 << 19
 CHUNK = 1 << 17
 # A gram of so many different pieces travels as single strings; counted in one of so many texts.
 HEAVY_PIECES = SLICE_BYTES // 320
@@ -204,7 +206,8 @@ def _piece_rows(slices: int, length: int, known, heavy: np.ndarray, twice):
         lost = ids > np.minimum.reduceat(ids, np.flatnonzero(head))[np.cumsum(head) - 1]
         rows = [(k, True, payload) for k, payload in _by_bucket(ids[lost], texts[lost], starts[lost], starts[lost] + sizes[lost], slices)]
         ids, texts, starts, sizes, keys, hashes, at = (x[~lost] for x in (ids, texts, starts, sizes, keys, hashes, at))
-        of = (keys * np.uint64(slices) >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+        # Keys are minima and crowd at the low end: mixed again, they fill all slices alike.
+        of = ((mix(keys) >> np.uint64(32)) * np.uint64(slices) >> np.uint64(32)).astype(np.int64)
         hot = np.isin(keys, heavy)
         of[hot] = (hashes[hot] >> np.uint64(32)).astype(np.int64) % slices
         order = np.argsort(of, kind="stable")
@@ -389,7 +392,11 @@ def _shared(data, begins, sizes, owners, keys, length: int) -> Iterator[tuple[np
     if not len(pieces):
         return
     # Pieces shrink to what may repeat; those that are equal now are settled by grouping as well.
-    pieces, first, last = _worth(data, begins, sizes, owners, pieces, length)
+    # Grams are taken some at a time, so that the work arrays stay small.
+    starts = np.flatnonzero(heads(keys[pieces]))
+    turn = (np.cumsum(sizes[pieces] - length + 1) // TURN)[starts]
+    turns = [_worth(data, begins, sizes, owners, some, length) for some in np.split(pieces, starts[1:][turn[1:] != turn[:-1]])]
+    pieces, first, last = (np.concatenate(x) for x in zip(*turns, strict=True))
     begins, sizes, owners, keys = begins[pieces] + first, last - first + length, owners[pieces], keys[pieces]
     order = np.argsort(begins, kind="stable")
     hashes = np.empty((2, len(pieces)), np.uint64)
@@ -489,7 +496,8 @@ def remove_repeated_strings(documents: DataFrame, id_column: str = "doc_id", tex
     different = sample.groupBy("key", "hash").agg(F.sum("strings").alias("strings")).groupBy("key")
     often = different.agg(F.count(F.lit(1)).alias("n"), F.sum("strings").alias("strings")).where(F.col("n") >= max(1, HEAVY_PIECES // SAMPLE)).collect()
     heavy = np.array([r.key for r in often], np.uint64)
-    expected = SAMPLE * sum(r.strings for r in often)
+    # Eight counters and more for each string: one that occurs once passes in at most 1 of 60 cases.
+    expected = 4 * SAMPLE * sum(r.strings for r in often)
     twice = None
     if len(heavy):
         twice = rows.sparkSession.sparkContext.broadcast(repeated_filter(able.select("text"), _string_keys(length, lambda: shared.value, heavy), min(size, expected)))

@@ -1,13 +1,14 @@
 """Deduplication operators against brute force."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from rangehaul.llm import arrays, neardup, sketch
+from rangehaul.llm import arrays, neardup, sketch, suffixes
 from rangehaul.llm.neardup import near_duplicates
 from rangehaul.llm.substring import remove_repeats
 from rangehaul.llm.suffixes import remove_repeated_strings, suffix_array
@@ -107,10 +108,33 @@ def test_suffix_dedup(spark, monkeypatch):
     assert sorted(got, key=repr) == sorted(expected, key=repr)
 
 
+def test_slices_fill_alike(spark):
+    """Smallest grams crowd at the low end of the hash range; slices must not."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefghij ") for _ in range(4000)) for _ in range(10)]
+    frame = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "doc_id long, text_hash long, text string")
+    every = lambda: lambda keys: np.ones(len(keys), bool)
+    made = frame.coalesce(1).mapInArrow(suffixes._piece_rows(16, 50, every, np.zeros(0, np.uint64), every), "slice int, decided boolean, payload binary").collect()
+    sizes = {r.slice: len(r.payload) for r in made if not r.decided}
+    assert len(sizes) == 16 and max(sizes.values()) < 2 * min(sizes.values())
+
+
+def test_grams_taken_in_turns(monkeypatch):
+    """The strings found do not depend on how many grams are compared at a time."""
+    rng = np.random.default_rng(5)
+    # Equal strings have equal grams: each gram has a text of its own.
+    keys = np.sort(rng.integers(0, 12, 80)).astype(np.uint64)
+    bases = rng.integers(97, 123, (12, 100)).astype(np.uint8)
+    data = np.concatenate([bases[k, a : a + 60] for k, a in zip(keys.astype(int), rng.integers(0, 40, 80))])
+    begins, sizes, owners = np.arange(80) * 60, np.full(80, 60), rng.integers(0, 9, 80)
+    found = lambda: {(int(p), int(o)) for x, y in suffixes._shared(data, begins, sizes, owners, keys, 50) for p, o in zip(x, y)}
+    whole = found()
+    monkeypatch.setattr(suffixes, "TURN", 7)
+    assert found() == whole and whole
+
+
 def test_strings_dealt_over_blocks():
     """A gram with more pieces than a suffix array takes gives the same lost strings."""
-    from rangehaul.llm import suffixes
-
     rng = np.random.default_rng(3)
     base = rng.integers(97, 100, 400).astype(np.uint8)
     begins, sizes, data = [], [], []
@@ -181,8 +205,6 @@ def test_empty_tables(spark, operator):
 def test_heavy_grams_are_spread(spark, monkeypatch):
     import random
 
-    from rangehaul.llm import suffixes
-
     rng = random.Random(11)
     hot = "a very common phrase of the source"
     line = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))

@@ -32,19 +32,57 @@ BUCKETS = 1 << 15
 STRENGTH = 5.0  # pages that a level above counts for
 SMOOTH = 1.0
 
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|template|noscript)\b.*?</\1\s*>|<[^>]*>")
-_LANG = re.compile(r"""(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([a-z]{2,3})(?![a-z])""")
-_META = re.compile(r"""(?is)<meta\b[^>]*content-language[^>]*content\s*=\s*["']?\s*([a-z]{2,3})(?![a-z])""")
+# Elements whose content is not text; attribute values; numbers of characters beyond the last one. All patterns run in linear time.
+_HIDDEN = re.compile(r"(?i)<(script|style|template|noscript)\b")
+_CLOSE = {name: re.compile(rf"(?i)</{name}\s*+>") for name in ("script", "style", "template", "noscript")}
+_VALUE = r"""\s*+=\s*+["']?+\s*+([a-z]{2,3})(?![a-z])"""
+_HTML, _LANG = re.compile(r"(?i)<html\b"), re.compile(r"(?i)\s(?:xml:)?lang" + _VALUE)
+_META, _KIND, _CONTENT = re.compile(r"(?i)<meta\b"), re.compile(r"(?i)content-language"), re.compile(r"(?i)content" + _VALUE)
+_ZEROS, _BEYOND = re.compile(r"&#0++(?=[0-9])"), re.compile(r"&#[1-9][0-9]{7,}+;?")
 
 
 def visible(page: str) -> str:
-    """Text without tags, scripts, styles and comments."""
-    return markup.unescape(_HIDDEN.sub(" ", page))
+    """Text without tags, scripts, styles and comments, in one pass; what is never closed is text, but for the tag that opens it."""
+    kept, done, never = [], 0, set()
+    while (at := page.find("<", done)) >= 0:
+        end = -1
+        if page.startswith("<!--", at) and "--" not in never:
+            end = page.find("-->", at + 4) + 2
+            if end < 2:
+                never.add("--")
+                end = -1
+        elif (opened := _HIDDEN.match(page, at)) and (name := opened[1].lower()) in _CLOSE and name not in never:
+            closed = _CLOSE[name].search(page, opened.end())
+            if closed:
+                end = closed.end() - 1
+            else:
+                never.add(name)
+        if end < 0 and (end := page.find(">", at)) < 0:
+            break
+        kept += (page[done:at], " ")
+        done = end + 1
+    text = "".join(kept) + page[done:]
+    return markup.unescape(_BEYOND.sub("\ufffd", _ZEROS.sub("&#", text)))
+
+
+def _tags(page: str, opening: re.Pattern) -> Iterator[str]:
+    """Tags from their name to the next >, or to the end of the page."""
+    at = 0
+    while found := opening.search(page, at):
+        end = page.find(">", found.end())
+        at = end if end >= 0 else len(page)
+        yield page[found.end() : at]
 
 
 def declared(page: str) -> str | None:
-    found = _LANG.search(page) or _META.search(page)
-    return found[1].lower() if found else None
+    """Language of the first html tag that names one, else of the first meta tag that does (its last content)."""
+    for tag in _tags(page, _HTML):
+        if found := _LANG.search(tag):
+            return found[1].lower()
+    for tag in _tags(page, _META):
+        if (kind := _KIND.search(tag)) and (contents := _CONTENT.findall(tag, kind.end())):
+            return contents[-1].lower()
+    return None
 
 
 def address(url: str | None) -> tuple[str | None, str | None, str | None]:
@@ -118,6 +156,7 @@ def identify(pages: DataFrame, documents: DataFrame, id_column: str = "page_id",
     - a page without text, or null, has even text evidence and lives on the rest; ties go to the first language in order;
     - a null or unreadable address has no suffix evidence and the prior of all pages; an undeclared language has none;
     - equal rows get equal results, null ids stay; without labelled documents `language` is null;
+    - markup that is never closed, of any length, is read in linear time; character numbers of any length are read;
     - an empty table gives an empty result; other columns are ignored.
     """
     langs, logs = fit(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"), rows)

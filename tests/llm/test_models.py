@@ -3,13 +3,15 @@
 import itertools
 import math
 import random
+import time
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from rangehaul.llm import pieces as sp
+from rangehaul.llm import language, pieces as sp
 from rangehaul.llm.language import address, declared, identify, visible
 from rangehaul.llm.toxicity import label_model, toxicity
 from tests.llm.fixtures import awkward, documents
@@ -130,6 +132,50 @@ def test_page_parts():
     assert address("http://10.0.0.1/") == ("10.0.0.1", "0.1", None)
 
 
+def test_broken_markup():
+    """Unclosed markup of a megabyte is read in linear time; what closes is cut as before."""
+    start = time.monotonic()
+    for page in ("<" * 10**6, "<!--" * 250_000, "<script " * 125_000, "<meta content-language " * 45_000, "<html lang= " * 90_000, "<html lang=" + " " * 10**6):
+        assert declared(page) is None and visible(page) == page
+    assert visible("&#" + "1" * 9999 + ";&#" + "0" * 9999 + "65;") == "\ufffdA"
+    assert time.monotonic() - start < 5
+    assert visible("a<!--b<p>c") == "a c"
+    assert visible("a<script>b<p>c</SCRIPT >d<style>e") == "a d e"
+    assert declared("<html <html lang=xxxx lang=it><html lang=fr>") == "it" and declared("<html><meta content=de content-language content=fr content=es-x>") == "es"
+
+
+def test_posterior_by_hand(spark, data):
+    """Every page of the table against the posterior in plain Python."""
+    documents_, pages = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "pages"))
+    langs, logs = language.fit(documents_.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"))
+    rows, k = [], range(len(langs))
+    for r in pages.select("page_id", "url", "html").collect():
+        grams = language.trigrams(visible(r.html or ""))
+        score = [sum(float(logs[x, g]) for g in grams) * min(1, language.EVIDENCE / max(1, len(grams))) for x in k]
+        parts = [math.exp(s - max(score)) for s in score]
+        rows.append((r.page_id, *address(r.url), declared(r.html or ""), [p / sum(parts) for p in parts]))
+    sums = defaultdict(lambda: [0.0] * len(langs))
+    for _, *marks, text in rows:
+        for level, mark in enumerate(marks):
+            for x in k:
+                sums[level, mark][x] += text[x] if mark is not None else 0
+    everything = [sum(row[-1][x] for row in rows) for x in k]
+    want = {}
+    for page, host, domain, suffix, tongue, text in rows:
+        prior = [max(everything[x] - text[x], 0) + language.SMOOTH for x in k]
+        prior = [p / sum(prior) for p in prior]
+        for key in ((1, domain), (0, host)):
+            own = [max(sums[key][x] - text[x], 0) if key[1] else 0.0 for x in k]
+            prior = [(own[x] + language.STRENGTH * prior[x]) / (sum(own) + language.STRENGTH) for x in k]
+        likely = lambda key, x: math.log((sums[key][x] + language.SMOOTH) / (everything[x] + language.SMOOTH * 20)) if key[1] else 0.0
+        log = [math.log(max(text[x], 1e-300)) + math.log(prior[x]) + likely((2, suffix), x) + likely((3, tongue), x) for x in k]
+        want[page] = (langs[log.index(max(log))], 1 / sum(math.exp(v - max(log)) for v in log))
+    found = {r.page_id: r for r in identify(pages, documents_).collect()}
+    assert found.keys() == want.keys() and len(want) > 50
+    for page, (lang, probability) in want.items():
+        assert found[page].language == lang and abs(found[page].probability - probability) < 1e-6, page
+
+
 def test_languages(spark):
     rng = random.Random(5)
     words = {"de": ["schund", "keit", "über", "nicht"], "en": ["thing", "with", "other", "house"]}

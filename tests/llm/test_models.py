@@ -171,7 +171,7 @@ def test_posterior_by_hand(spark, data):
         log = [math.log(max(text[x], 1e-300)) + math.log(prior[x]) + likely((2, suffix), x) + likely((3, tongue), x) for x in k]
         want[page] = (langs[log.index(max(log))], 1 / sum(math.exp(v - max(log)) for v in log))
     found = {r.page_id: r for r in identify(pages, documents_).collect()}
-    assert found.keys() == want.keys() and len(want) > 50
+    assert found.keys() == want.keys() and len(want) == pages.count()
     for page, (lang, probability) in want.items():
         assert found[page].language == lang and abs(found[page].probability - probability) < 1e-6, page
 

@@ -9,6 +9,7 @@ from rangehaul.checks.manifest_checks import k_of
 from rangehaul.checks.range_checks import ASSIGNED_SQL, assigned_lines
 from rangehaul.checks.registry import check, table
 from rangehaul.operators import reconcile as V
+from rangehaul.operators.drilldown import differing_rows
 from rangehaul.plans.file_load import ingest_files, pack_files
 from rangehaul.plans.ingest import IngestOptions, ingest, reconcile
 from rangehaul.session import scratch_path
@@ -217,6 +218,37 @@ def reconcile_ranges(spark, sf):
     return V.reconcile_ranges(source, copy).select("chunk", "source_rows", "target_rows", "status")
 
 
+@check(
+    "differing_rows",
+    """
+    WITH copy AS (
+        SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 400000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM orders
+        WHERE NOT (o_orderpriority = '1-URGENT' AND o_totalprice < 20000)
+        UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_totalprice BETWEEN 100000 AND 101000
+        UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders WHERE o_totalprice BETWEEN 200000 AND 201000
+    ), sides AS (
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, 1 AS source, 0 AS target FROM orders
+        UNION ALL SELECT *, 0, 1 FROM copy
+    ), bags AS (
+        SELECT o_orderkey, sum(source) AS a, sum(target) AS b FROM sides GROUP BY o_orderkey, o_custkey, o_orderstatus, o_orderdate
+    )
+    SELECT o_orderkey, CAST(sum(a) AS BIGINT) AS source_rows, CAST(sum(b) AS BIGINT) AS target_rows,
+           CASE WHEN sum(b) = 0 THEN 'missing' WHEN sum(a) = 0 THEN 'unexpected' WHEN sum(a) <> sum(b) THEN 'count' ELSE 'content' END AS status
+    FROM bags GROUP BY o_orderkey HAVING bool_or(a <> b)
+    """,
+)
+def differing(spark, sf):
+    """A copy with lost, altered, invented and doubled rows: their keys are named, by ranges that are halved while they differ."""
+    source = table(spark, sf, "orders")
+    some = source.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    priced = lambda low, high: source.where(F.col("o_totalprice").between(low, high))
+    altered = F.when(F.col("o_totalprice") > 400000, "X").otherwise(F.col("o_orderstatus"))
+    kept = source.where(~((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") < 20000))).withColumn("o_orderstatus", altered)
+    invented = priced(100000, 101000).withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    copy = kept.unionByName(invented).unionByName(priced(200000, 201000)).select(*some.columns)
+    return differing_rows(some, copy, "o_orderkey", leaf_rows=64)
+
+
 # --- the load job ---
 
 OPTIONS = IngestOptions(ranges=8)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rangehaul.checks.registry import check, table
 from rangehaul.session import scratch_path
+from rangehaul.streaming.live import run_updates
 from rangehaul.streaming.progress import progress_stream, rate_stream, run_available, stream_files
 
 
@@ -33,13 +34,13 @@ def progress(spark, sf):
     """
     SELECT event_type, date_trunc('minute', ts) AS minute, CAST(sum(CAST(round(value, 2) AS DECIMAL(18,2))) AS DOUBLE) AS increase,
            CAST(sum(CAST(round(value, 2) AS DECIMAL(18,2))) AS DOUBLE) / 60.0 AS per_second
-    FROM events
-    GROUP BY ALL HAVING date_trunc('minute', min(ts)) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
+    FROM events GROUP BY ALL
     """,
 )
 def rate(spark, sf):
+    """All minutes, those still open when the stream ends included."""
     samples = _events(spark, sf).withColumn("value", F.round("value", 2).cast("decimal(18,2)"))
     stream = rate_stream(samples, ["event_type"])
     base = scratch_path(spark, "rate")
-    done = run_available(stream, f"{base}/result", "append", f"{base}/checkpoint", base.rsplit("/", 1)[-1])
+    done = run_updates(stream, f"{base}/result", ["event_type", "minute"], f"{base}/checkpoint", base.rsplit("/", 1)[-1])
     return done.withColumn("increase", F.col("increase").cast("double"))

@@ -221,6 +221,10 @@ def ingest(
     return ledger.finished(run_id)
 
 
+# What a published chunk is.
+PARTS = {"index": "int", "path": "string", "rows": "bigint", "bytes": "bigint", "files": "bigint"}
+
+
 class ContentMismatch(RuntimeError):
     """Rows that were staged are not the rows of the source."""
 
@@ -329,13 +333,13 @@ def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table
     ).first()
     if known["mode"] is not None:
         return known["mode"]
-    version = (known["version"] or 0) + 1
+    taken = lambda rows: ledger.commit(table, run_id, rows, known["version"] or 0)
     filled = [r for r in selected if r["files"]]
     final = f"{root.rstrip('/')}/{table}/{run_id}"
     if not filled:
         # An empty table is published as an empty file with its schema.
         sink.write_snapshot(spark.createDataFrame([], schema), final, compression=options.compression)
-        sink.publish_rewrite(ledger, run_id, table, final, version)
+        sink.publish_rewrite(ledger, run_id, table, final, taken([])[0])
         return "rewrite"
     if options.publication == "rewrite":
         staged = spark.read.schema(schema).parquet(*sorted(r["path"] for r in filled))
@@ -344,9 +348,10 @@ def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table
         found = table_checksum(written).first() if checksum is not None else Row(rows=written.count(), checksum=None)
         if (found["rows"], found["checksum"]) != (rows, checksum):
             raise RuntimeError("rewritten files differ from the staged rows")
-        sink.publish_rewrite(ledger, run_id, table, final, version)
+        sink.publish_rewrite(ledger, run_id, table, final, taken([])[0])
         return "rewrite"
-    sink.publish_by_reference(ledger, run_id, table, spark.createDataFrame(filled), version)
+    version, chosen = taken([{name: r[name] for name in PARTS} for r in filled])
+    sink.publish_by_reference(ledger, run_id, table, spark.createDataFrame([tuple(c[name] for name in PARTS) for c in chosen], ", ".join(f"{n} {t}" for n, t in PARTS.items())), version)
     return "zero_copy"
 
 

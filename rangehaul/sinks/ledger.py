@@ -1,16 +1,20 @@
 """The run ledger: small append-only tables that say what was asked, written and published.
 
-One writer per ledger. A reader sees a run only through its ledger rows, which are appended
-after the data is complete.
+A reader sees a run only through its ledger rows, which are appended after the data is complete. Several writers
+may share a ledger: who asks for a run and who publishes a version is settled by documents that are written once.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from rangehaul.sinks.commits import document, documents, put_if_absent
+
 # Tables of the ledger.
 SCHEMAS = {
     "requests": "run_id string, request string, request_hash string, requested_at timestamp",
@@ -28,6 +32,8 @@ SCHEMAS = {
     "source_rows bigint, output_bytes bigint, files bigint, mode string, durations_seconds map<string,double>, "
     "success int",
 }
+# What tells rows of `snapshots` apart.
+PUBLISHED = ["run_id", "table", "version", "index", "path"]
 
 
 class RunConflict(ValueError):
@@ -60,12 +66,20 @@ class Ledger:
         if name not in self._present and not self._exists(name):
             return self.spark.createDataFrame([], schema)
         self._present.add(name)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        # Files of older ledgers lie in the table's folder itself.
+        rows = self.spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(f"{self.root}/{name}")
+        # Writers of one run may both append what its version document names.
+        return rows.dropDuplicates(PUBLISHED) if name == "snapshots" else rows
 
     def append(self, name: str, rows: DataFrame) -> None:
         schema = T.StructType.fromDDL(SCHEMAS[name])
         typed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
-        typed.write.mode("append").parquet(f"{self.root}/{name}")
+        # Writers do not share a folder while they write; a hidden one gets its name when it is whole.
+        part = uuid.uuid4().hex
+        typed.write.parquet(f"{self.root}/{name}/_{part}")
+        hidden, final = (self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/{p}") for p in (f"_{part}", part))
+        if not hidden.getFileSystem(self.spark._jsc.hadoopConfiguration()).rename(hidden, final):
+            raise OSError(f"{hidden} cannot be renamed")
 
     def append_row(self, name: str, **values) -> None:
         schema = T.StructType.fromDDL(SCHEMAS[name])
@@ -81,6 +95,10 @@ class Ledger:
             raise RunConflict(f"run {run_id!r} exists with another request")
         if known:
             return False
+        claim = f"{self.root}/claims/{quote(run_id, safe='')}"
+        first = put_if_absent(self.spark, claim, offered)
+        if not first and document(self.spark, claim) != offered:
+            raise RunConflict(f"run {run_id!r} exists with another request")
         row = self.spark.range(1).select(
             F.lit(run_id).alias("run_id"),
             F.lit(text).alias("request"),
@@ -88,7 +106,28 @@ class Ledger:
             F.current_timestamp().alias("requested_at"),
         )
         self.append("requests", row)
-        return True
+        return first
+
+    def commit(self, table: str, run_id: str, rows: list[dict], after: int = 0) -> tuple[int, list[dict]]:
+        """Take the next version of a table for a run; returns the version and the rows to publish.
+
+        A run has one version: where another writer took it for the same run, that version and its rows are returned.
+        Versions have no gaps, and every one behind the last known is looked at before the next is taken.
+        """
+        folder = f"{self.root}/versions/{quote(table, safe='')}"
+        offered = json.dumps({"run_id": run_id, "rows": rows}, default=str)
+        seen: set[str] = set()
+        while True:
+            names = documents(self.spark, folder)
+            for name in names:
+                if name not in seen:
+                    stored = json.loads(document(self.spark, f"{folder}/{name}"))
+                    if stored["run_id"] == run_id:
+                        return int(name), stored["rows"]
+                    seen.add(name)
+            version = max([after, *(int(n) for n in names[-1:])]) + 1
+            if put_if_absent(self.spark, f"{folder}/{version:020d}", offered):
+                return version, rows
 
     def finished(self, run_id: str) -> DataFrame:
         """The stored result of a run that succeeded, at most one row."""

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rangehaul.checks.registry import check, table
+from rangehaul.operators.profile import column_histogram
+from rangehaul.operators.ranges import boundary_values, histogram_boundaries
 from rangehaul.operators.snapshot import snapshot_as_of
 from rangehaul.session import scratch_path
 from rangehaul.sinks.snapshots import replace_table
 from rangehaul.sources import generated
 from rangehaul.sources.arrow import scan_row_groups
 from rangehaul.sources.files import file_inventory, file_schemas, load_runs, row_groups
+from rangehaul.sources.zones import read_zone_ranges
 
 SCANNED = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate"]
 
@@ -21,6 +24,17 @@ def scan_arrow_ranges(spark, sf):
     return scan_row_groups(controls, table(spark, sf, "lineitem").schema, SCANNED)
 
 
+@check("scan_zone_ranges", "SELECT * FROM lineitem WHERE l_orderkey % 7 <> 3 AND l_shipdate >= DATE '1995-06-01'")
+def scan_zone_ranges(spark, sf):
+    """Line items laid out by their order key in row groups, read by eight ranges that open their own groups; a pushed filter on dates."""
+    lines, path = table(spark, sf, "lineitem"), scratch_path(spark, "zoned")
+    laid = lines.repartitionByRange(16, "l_orderkey").sortWithinPartitions("l_orderkey")
+    laid.write.option("parquet.block.size", 1 << 20).parquet(path)
+    steps = column_histogram(lines, "l_orderkey", 64).withColumns({"table": F.lit("lineitem"), "column": F.lit("l_orderkey")})
+    read = read_zone_ranges(spark, path, lines.schema, "l_orderkey", boundary_values(histogram_boundaries(steps, 8)))
+    return read.filter((F.col("l_orderkey") % 7 != 3) & (F.col("l_shipdate") >= F.lit("1995-06-01").cast(lines.schema["l_shipdate"].dataType)))
+
+
 @check("scan_single", "SELECT * FROM part")
 def scan_single(spark, sf):
     return table(spark, sf, "part")

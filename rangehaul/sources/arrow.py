@@ -10,12 +10,14 @@ from __future__ import annotations
 import importlib
 import json
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, IsNotNull, IsNull, LessThan, LessThanOrEqual,
+)
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from rangehaul.sources.tasks import row_group_reader
@@ -56,20 +58,55 @@ class ArrowRangeReader(DataSourceReader):
     def read(self, partition: RangePartition) -> Iterator[pa.RecordBatch]:
         module, function = self.options["reader"].split(":")
         batches = getattr(importlib.import_module(module), function)
-        for batch in batches(partition.predicate, self.options):
+        yield from self._typed(batches(partition.predicate, self.options))
+
+    def _typed(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(f.name).cast(f.type) for f in self.arrow], schema=self.arrow
             )
 
 
+# Filters whose meaning is plain for a row group's statistics.
+_COMPARED = {EqualTo: "=", LessThan: "<", LessThanOrEqual: "<=", GreaterThan: ">", GreaterThanOrEqual: ">="}
+
+
+class PushedRangeReader(ArrowRangeReader):
+    """Reader of a function (predicate, options, schema, filters) that may skip what no filter lets through.
+
+    Filters (column, operator, value) are hints: Spark applies all of them again to the rows.
+    """
+
+    def __init__(self, options: dict[str, str], schema: T.StructType, batches: Callable):
+        super().__init__(options, schema)
+        self.batches = batches
+        self.filters: list[tuple] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for known in filters:
+            if len(known.attribute if hasattr(known, "attribute") else ()) == 1:
+                column = known.attribute[0]
+                if type(known) in _COMPARED:
+                    self.filters.append((column, _COMPARED[type(known)], known.value))
+                elif isinstance(known, (IsNull, IsNotNull)):
+                    self.filters.append((column, "null" if isinstance(known, IsNull) else "notnull", None))
+            yield known
+
+    def read(self, partition: RangePartition) -> Iterator[pa.RecordBatch]:
+        yield from self._typed(self.batches(partition.predicate, self.options, self.arrow, self.filters))
+
+
 class ArrowRangeSource(DataSource):
     """Data source `arrow_ranges`.
 
     Options: `reader` ("module:function", called inside tasks as function(predicate, options) and
     yielding Arrow record batches), `predicates` (JSON list), `ddl` (schema); all others are
     passed through to the reader. Credentials belong in the executors' environment.
+    A subclass with `batches` set carries its function to the executors by value.
     """
 
+    batches: Callable | None = None
+
     @classmethod
     def name(cls) -> str:
         return "arrow_ranges"
@@ -78,12 +115,22 @@ class ArrowRangeSource(DataSource):
         return self.options["ddl"]
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return ArrowRangeReader(self.options, schema)
+        batches = type(self).batches
+        return ArrowRangeReader(self.options, schema) if batches is None else PushedRangeReader(self.options, schema, batches)
+
 
+def read_arrow_ranges(spark: SparkSession, reader: str | Callable, predicates: Sequence[str], schema: T.StructType, pushdown: bool = False, **options: str) -> DataFrame:
+    """Register the source and read the ranges of a plan.
 
-def read_arrow_ranges(spark: SparkSession, reader: str, predicates: Sequence[str], schema: T.StructType, **options: str) -> DataFrame:
-    """Register the source and read the ranges of a plan."""
-    spark.dataSource.register(ArrowRangeSource)
+    With `pushdown`, `reader` is a function (predicate, options, schema, filters) that travels by value and sees the filters of the query; the
+    session's filter pushdown for Python sources is switched on for it.
+    """
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+        spark.dataSource.register(type("PushedRangeSource", (ArrowRangeSource,), {"batches": staticmethod(reader)}))
+        reader = "pushed"
+    else:
+        spark.dataSource.register(ArrowRangeSource)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     return (
         spark.read.format("arrow_ranges")

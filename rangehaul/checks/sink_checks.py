@@ -69,6 +69,24 @@ def sized_write(spark, sf):
     ).withColumn("files", files)
 
 
+_SIZED = 128 << 10
+
+
+@check(
+    "measured_write",
+    "SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS near_target FROM orders GROUP BY 1",
+)
+def measured_write(spark, sf):
+    """Orders copied into files of a wanted size, by a sample that is encoded first; the mean size is within a factor of two of it."""
+    source, path = scratch_path(spark, "many"), scratch_path(spark, "measured")
+    S.write_snapshot(table(spark, sf, "orders").repartition(24), source, compression="snappy")
+    desired, _ = S.write_sized(spark, path, source, _SIZED)
+    stats = stats_of_path(spark, path)
+    near = stats.select((F.col("bytes").between(F.col("files") * (_SIZED // 2), F.col("files") * _SIZED * 2)) | (F.lit(desired) == 1)).scalar()
+    found = spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("rows"), F.sum("o_orderkey").alias("keys"))
+    return found.withColumn("near_target", near)
+
+
 @check("output_stats")
 def output_stats(spark, sf):
     path = scratch_path(spark, "stats")
@@ -313,5 +331,5 @@ def ingest_temporal(spark, sf):
     """Load events by ranges of their time, published by rewriting, and read the snapshot back."""
     root = scratch_path(spark, "load")
     events = table(spark, sf, "events")
-    ingest(events, root, "events-1", "events", "ts", IngestOptions(ranges=6, publication="rewrite", files=2))
+    ingest(events, root, "events-1", "events", "ts", IngestOptions(ranges=6, publication="rewrite", file_bytes=256 << 10))
     return S.read_snapshot(Ledger(spark, f"{root}/ledger"), "events-1", events.schema)

@@ -44,6 +44,8 @@ class IngestOptions:
     # "auto" publishes staged files by reference, "rewrite" writes sized files.
     publication: str = "auto"
     files: int | None = None
+    # Size of rewritten files; the staged chunks, in the same codec, tell how many that makes.
+    file_bytes: int | None = None
     # "strict": counts and fingerprints, "metadata": counts only.
     validation: str = "strict"
     require_source_match: bool = True
@@ -173,7 +175,7 @@ def ingest(
     spark = source.sparkSession
     ledger = Ledger(spark, f"{root.rstrip('/')}/ledger")
     # How many chunks go in one job may differ between attempts.
-    chosen = {name: value for name, value in asdict(options).items() if name != "wave_chunks"}
+    chosen = {name: value for name, value in asdict(options).items() if name != "wave_chunks" and (name, value) != ("file_bytes", None)}
     request = {"table": table, "key": key, "schema": source.schema.simpleString(), "options": chosen}
     ledger.claim(run_id, request)
     finished = ledger.finished(run_id)
@@ -343,7 +345,10 @@ def _publish(ledger: Ledger, schema: T.StructType, root: str, run_id: str, table
         return "rewrite"
     if options.publication == "rewrite":
         staged = spark.read.schema(schema).parquet(*sorted(r["path"] for r in filled))
-        sink.rewrite(spark, [staged], final, options.files, options.compression)
+        files = options.files
+        if files is None and options.file_bytes is not None:
+            files = sink.desired_files(sum(r["bytes"] for r in filled), target_bytes=options.file_bytes, ratio=1.0)
+        sink.rewrite(spark, [staged], final, files, options.compression)
         written = spark.read.schema(schema).parquet(final)
         found = table_checksum(written).first() if checksum is not None else Row(rows=written.count(), checksum=None)
         if (found["rows"], found["checksum"]) != (rows, checksum):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rangehaul.operators.conform import conform, unify_union
 from rangehaul.operators.reconcile import table_checksum
-from rangehaul.sources.files import file_counts, file_inventory, output_stats
+from rangehaul.sources.files import encoded_width, file_counts, file_inventory, output_stats
 
 MIB = 1 << 20
 TARGET_FILE_BYTES = 128 * MIB
@@ -52,6 +52,20 @@ def sized(df: DataFrame, desired: int | None, current: int | None = None) -> tup
     return df.repartition(desired), "repartition"
 
 
+def write_sized(spark: SparkSession, path: str, source: str | Sequence[str], target_bytes: int = TARGET_FILE_BYTES, compression: str = "zstd", schema: T.StructType | None = None) -> tuple[int, str]:
+    """Copy Parquet files into files of about `target_bytes`; returns the number asked for and how it was reached.
+
+    Rows come from the footers, their width in the wanted columns and codec from a bounded sample that is encoded first.
+    """
+    inventory = file_inventory(spark, source)
+    whole = (spark.read.schema(schema) if schema else spark.read).parquet(*([source] if isinstance(source, str) else source))
+    rows = file_counts(inventory).agg(F.sum("rows")).first()[0] or 0
+    desired = desired_files(round(rows * encoded_width(inventory, whole.schema, compression)), target_bytes=target_bytes, ratio=1.0)
+    output, operation = sized(whole, desired, whole.rdd.getNumPartitions())
+    write_snapshot(output, path, compression=compression)
+    return desired, operation
+
+
 @dataclass(frozen=True)
 class Variant:
     """One way to write the same rows."""
@@ -200,7 +214,7 @@ def rewrite(spark: SparkSession, frames: Sequence[DataFrame], path: str, files:
     `spark.sql.files.maxPartitionBytes`, so each task already writes one file of that order.
     """
     whole = unify_union([conform(f, schema) for f in frames] if schema else frames)
-    write_snapshot(sized(whole, files)[0], path, compression=compression)
+    write_snapshot(sized(whole, files, whole.rdd.getNumPartitions() if files else None)[0], path, compression=compression)
 
 
 def publish_rewrite(ledger, run_id: str, table: str, path: str, version: int) -> None:

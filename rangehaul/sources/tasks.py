@@ -210,3 +210,27 @@ def in_range(values, first, beyond, pc):
         below = pc.and_(below, pc.invert(nan)) if floating else below
         mask = below if mask is None else pc.and_(mask, below)
     return mask
+
+
+def sample_encoder(compression: str, rows: int, arrow: pa.Schema):
+    """Rows of the first row groups of each file, at most so many, and the bytes they take when they are written anew with a codec."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            counts, sizes = [], []
+            for path in batch.column("path").to_pylist():
+                out, taken = pa.BufferOutputStream(), 0
+                with open_parquet(path) as parquet, pq.ParquetWriter(out, arrow, compression=compression, write_statistics=False) as writer:
+                    for piece in parquet.iter_batches(min(rows, 65_536), columns=arrow.names):
+                        piece = piece.slice(0, rows - taken)
+                        writer.write_batch(pa.RecordBatch.from_arrays([piece.column(f.name).cast(f.type) for f in arrow], schema=arrow))
+                        taken += piece.num_rows
+                        if taken >= rows:
+                            break
+                counts.append(taken)
+                sizes.append(len(out.getvalue()))
+            yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())], names=["rows", "bytes"])
+
+    return read

@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from rangehaul.functions import sizing as S
 from rangehaul.plans.load_plan import load_strategy, size_plan
-from rangehaul.sinks.snapshots import desired_files, sized
+from rangehaul.plans.ingest import IngestOptions, ingest
+from rangehaul.sinks.snapshots import desired_files, sized, write_sized
+from rangehaul.sources.files import encoded_width, file_inventory, output_stats
 
 MIB = 1 << 20
 
@@ -117,3 +119,28 @@ def test_limits_are_positive():
     for wrong in ({"compression": "lz77"}, {"publication": "now"}, {"validation": "none"}):
         with pytest.raises(ValueError):
             IngestOptions(**wrong)
+
+
+def test_measured_sizes(spark, scratch):
+    path, out = scratch(), scratch()
+    frame = spark.range(60_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"), (F.col("id") % 7).cast("int").alias("s"))
+    frame.repartition(6).write.option("compression", "none").parquet(path)
+    width = encoded_width(file_inventory(spark, path), frame.schema, "zstd", rows=5000)
+    narrow = encoded_width(file_inventory(spark, path), frame.select("s").schema, "zstd")
+    assert narrow < 2 < 30 < width
+    desired, how = write_sized(spark, out, path, 1 << 20)
+    stats = output_stats(spark, out).first()
+    assert how in ("coalesce", "preserve", "repartition") and stats["files"] == desired > 1
+    assert 0.5 < stats["bytes"] / desired / (1 << 20) < 1.5 and 0.7 < stats["bytes"] / (60_000 * width) < 1.4
+    assert spark.read.parquet(out).exceptAll(frame).isEmpty() and spark.read.parquet(out).count() == 60_000
+    empty = scratch()
+    frame.limit(0).write.parquet(empty)
+    assert encoded_width(file_inventory(spark, empty), frame.schema) == 0.0 and write_sized(spark, scratch(), empty)[0] == 1
+
+
+def test_rewritten_files_follow_staged_bytes(spark, scratch):
+    root = scratch()
+    frame = spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    run = ingest(frame, root, "r", "t", "id", IngestOptions(ranges=4, publication="rewrite", file_bytes=800_000)).first()
+    assert run["mode"] == "rewrite" and run["rows"] == 40_000 and 2 <= run["files"] <= 4
+    assert 400_000 < run["output_bytes"] / run["files"] < 1_200_000

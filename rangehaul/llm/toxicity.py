@@ -1,20 +1,22 @@
 """Toxicity by weak supervision: voters, a generative label model, and a linear classifier on its posterior labels.
 
-1. Lexicon: words and word beginnings that are significantly more frequent in toxic rows of a bounded, hash-ordered
-   sample of labelled rows (`SAMPLE_ROWS`; rows held out are never in it).
-2. Voters: lexicon entries chosen so that together they cover the toxic rows several times, patterns (shouting,
+1. Lexicon: all words and word beginnings that are significantly more frequent in toxic rows of a bounded, hash-ordered
+   sample of labelled rows (`SAMPLE_ROWS`; rows held out are never in it). One grouped aggregation counts each in toxic and
+   clean rows and tests it; no list is cut by frequency or length.
+2. Voters: lexicon entries chosen so that together they cover the toxic rows three times, patterns (shouting,
    exclamation marks, repeated words), and one that votes "clean" where no entry occurs.
 3. Label model: expectation maximisation for the voters' accuracies in each class, started from the vote, not from
    labels; correlations of voters inside the classes then discount voters that say the same thing.
 4. Classifier: logistic regression over all lexicon entries and patterns, fitted to the posterior labels; its scale is
    set on the sample's labels. It scores every whole text in one pass, without a shuffle.
 
-Only the sample's entry numbers, packed, and its counts come to the driver; both are bounded by the sample.
+Only the lexicon and the sample's entry numbers, packed, come to the driver; both are bounded by the sample.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from heapq import heapify, heappop, heappush
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +28,8 @@ from rangehaul.llm.arrays import LOWER, Chunk, Polynomial, heads, mix, same_row,
 from rangehaul.llm.store import written
 
 SAMPLE_ROWS = 20_000
-CANDIDATES, ENTRIES, VOTERS = 20_000, 4096, 64
 SUPPORT = 3  # toxic rows that an entry needs
+PURITY = 0.7  # share of toxic rows among those with an entry
 BEGINNINGS = (4, 5, 6)  # bytes
 THRESHOLD = 0.7
 PATTERNS = 3
@@ -125,13 +127,33 @@ def _with_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("toxic"), batch.column("text"), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64))], names=["toxic", "text", "key"])
 
 
-def _toxic_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _row_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each hash of a row once, with the row's label."""
     for batch in batches:
+        toxic = np.asarray(batch.column("toxic"))
         for chunk in text_chunks(batch.column("text")):
             row, hashes, _ = _features(chunk)
             order = np.lexsort((hashes, row))
             row, hashes = row[order], hashes[order]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes[heads(row, hashes)].view(np.int64))], names=["hash"])
+            first = heads(row, hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[first].view(np.int64)), pa.array(toxic[chunk.low + row[first]].astype(np.int32))], names=["hash", "toxic"])
+
+
+def _lexicon(sample: DataFrame) -> np.ndarray:
+    """Hashes that tell toxic rows, surest first, ties by hash: tested where they are counted, so that only what passes leaves the tasks."""
+    size = sample.agg(F.count(F.lit(1)).alias("rows"), F.sum("toxic").alias("toxic")).first()
+    if not size["toxic"] or size["toxic"] == size["rows"]:
+        return np.zeros(0, np.uint64)
+    share = size["toxic"] / size["rows"]
+    counted = sample.mapInArrow(_row_hashes, "hash long, toxic int").groupBy("hash").agg(F.count(F.lit(1)).alias("hits"), F.sum("toxic").alias("bad"))
+    counted = written(counted.where("bad > 0"), "toxic-hashes")
+    tried = counted.count()
+    # Log likelihood ratio against the sample's share; over log(number of hashes tried) less than one entry is there by chance.
+    p = F.col("bad") / F.col("hits")
+    good = F.col("hits") - F.col("bad")
+    ratio = F.col("bad") * F.log(p / share) + F.when(good > 0, good * F.log((1 - p) / (1 - share))).otherwise(0.0)
+    able = counted.withColumn("ratio", F.round(ratio, 9)).where((F.col("bad") >= SUPPORT) & (F.col("ratio") > float(np.log(max(2, tried)))) & (p > PURITY))
+    return np.array([r["hash"] for r in able.orderBy(F.desc("ratio"), "hash").select("hash").collect()], np.int64).view(np.uint64)
 
 
 def _hit_lists(lookup: Lookup):
@@ -158,25 +180,31 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
     posterior = np.clip(0.5 + 0.4 * np.sign(votes.sum(1)), prior, 0.9)
     weight = np.ones(votes.shape[1])
     rates = np.zeros((2, votes.shape[1]))
+    # Some rows at a time are made numbers: a vote is one byte.
+    blocks = [slice(at, at + 1024) for at in range(0, len(votes), 1024)]
     for turn in range(rounds):
         total = np.array([posterior.sum(), (1 - posterior).sum()])
-        rates[0] = (posterior @ cast + 0.5) / (total[0] + 1)
-        rates[1] = ((1 - posterior) @ cast + 0.5) / (total[1] + 1)
+        both = sum(np.stack((posterior[b], 1 - posterior[b])) @ cast[b].astype(np.float64) for b in blocks)
+        rates = (both + 0.5) / (total[:, None] + 1)
         # No voter may turn to the other side: better than chance is all that is assumed.
         wrong = np.where(side > 0, rates[0] < rates[1], rates[0] > rates[1])
         rates[:, wrong] = rates[:, wrong].mean(0)
         if turn == 5:
             # Correlation inside the classes, of what the rates do not explain.
-            rest = cast - (posterior[:, None] * rates[0] + (1 - posterior[:, None]) * rates[1])
-            spread = np.sqrt((rest**2).mean(0)) + 1e-9
-            tied = np.abs(rest.T @ rest / len(rest) / np.outer(spread, spread))
+            products = np.zeros((votes.shape[1], votes.shape[1]))
+            for b in blocks:
+                rest = cast[b] - (posterior[b, None] * rates[0] + (1 - posterior[b, None]) * rates[1])
+                products += rest.T @ rest
+            spread = np.sqrt(np.diag(products) / len(votes)) + 1e-9
+            tied = np.abs(products / len(votes) / np.outer(spread, spread))
             tied = np.round(tied, 6)
             tied[tied < 0.1] = 0
             np.fill_diagonal(tied, 1)
             weight = 1 / tied.sum(0)
         told = weight * (np.log(rates[0]) - np.log(rates[1]))
         silent = weight * (np.log1p(-rates[0]) - np.log1p(-rates[1]))
-        z = np.log(prior / (1 - prior)) + cast @ told + ~cast @ silent
+        # A silent voter adds `silent`, one that votes the difference to `told`.
+        z = np.log(prior / (1 - prior)) + silent.sum() + np.concatenate([cast[b].astype(np.float64) @ (told - silent) for b in blocks])
         # Rounded, so that the order of sums inside matrix products does not show in the model.
         new = np.round(1 / (1 + np.exp(-np.clip(z, -30, 30))), 9)
         if np.abs(new - posterior).max() < 1e-6:
@@ -205,10 +233,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
     # One of each group of copies, so that words of a copied text do not pass for a lexicon.
     keyed = _sample(documents, labels, rows).mapInArrow(_with_key, "toxic int, text string, key long")
     sample = written(keyed.groupBy("toxic", "key").agg(F.min("text").alias("text")), "toxic-sample")
-    found = sample.where("toxic = 1").mapInArrow(_toxic_hashes, "hash long").groupBy("hash").count()
-    tried = found.count()
-    candidates = np.array([r["hash"] for r in found.where(F.col("count") >= SUPPORT).orderBy(F.desc("count"), "hash").limit(CANDIDATES).collect()], np.int64).view(np.uint64)
-    got = sample.mapInArrow(_hit_lists(Lookup(candidates)), "toxic int, hits binary, patterns binary").collect()
+    lexicon = _lexicon(sample)
+    got = sample.mapInArrow(_hit_lists(Lookup(lexicon)), "toxic int, hits binary, patterns binary").collect()
     got = sorted(got)  # the same rows in any order fit the same model
     toxic = np.array([r["toxic"] for r in got], bool)
     lists = [np.frombuffer(r["hits"], np.int32) for r in got]
@@ -220,20 +246,9 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
         prior = (toxic.sum() + 1) / (len(toxic) + 2) if len(toxic) else 0.01
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(PATTERNS), float(np.log(prior / (1 - prior))), [])
 
-    hits, bad = np.bincount(number, minlength=len(candidates)), np.bincount(number[toxic[row]], minlength=len(candidates))
-    # Log likelihood ratio against the sample's share; over log(number of hashes tried) less than one entry is there by chance.
-    p = bad / np.maximum(1, hits)
-    ratio = bad * np.log(np.maximum(p, 1e-9) / share) + (hits - bad) * np.log(np.maximum(1 - p, 1e-9) / (1 - share))
-    able = np.flatnonzero((ratio > np.log(max(2, tried))) & (p > 0.7))
-    entries = able[np.argsort(-ratio[able], kind="stable")][:ENTRIES]
-    renamed = np.full(len(candidates), -1)
-    renamed[entries] = np.arange(len(entries))
-    keep = renamed[number] >= 0
-    row, number = row[keep], renamed[number[keep]]
-
-    chosen = _covering(row, number, toxic, len(entries))
+    chosen = _covering(row, number, toxic, len(lexicon))
     votes = np.zeros((len(toxic), len(chosen) + PATTERNS + 1), np.int8)
-    place = np.full(len(entries), -1)
+    place = np.full(len(lexicon), -1)
     place[chosen] = np.arange(len(chosen))
     use = place[number] >= 0
     votes[row[use], place[number[use]]] = 1
@@ -242,11 +257,11 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
     votes[np.bincount(row, minlength=len(toxic)) == 0, -1] = -1
     posterior, in_toxic, in_clean, discount = label_model(votes, float(np.clip(share, 0.01, 0.99)))
 
-    weights, pattern_weights, bias = _logistic(row, number, patterns, posterior, len(entries))
+    weights, pattern_weights, bias = _logistic(row, number, patterns, posterior, len(lexicon))
     margin = bias + patterns @ pattern_weights + np.bincount(row, weights[number], len(toxic))
     scale, shift = _scaled(margin, toxic)
     voters = [{"toxic_rate": float(a), "clean_rate": float(b), "discount": float(d)} for a, b, d in zip(in_toxic, in_clean, discount, strict=True)]
-    return Model(candidates[entries], np.round(weights * scale, 6), np.round(pattern_weights * scale, 6), round(bias * scale + shift, 6), voters)
+    return Model(lexicon, np.round(weights * scale, 6), np.round(pattern_weights * scale, 6), round(bias * scale + shift, 6), voters)
 
 
 def _scaled(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -262,16 +277,24 @@ def _scaled(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def _covering(row: np.ndarray, number: np.ndarray, toxic: np.ndarray, entries: int) -> np.ndarray:
-    """Entries that together cover toxic rows up to three times, best first."""
-    rows = [row[number == e] for e in range(entries)] if entries <= 256 else np.split(row[np.argsort(number, kind="stable")], np.cumsum(np.bincount(number, minlength=entries))[:-1])
+    """Entries that together cover toxic rows up to three times, best first, until none covers more than it costs.
+
+    What an entry still adds only falls as others are chosen, so an old value bounds it and most entries are not looked at again.
+    """
+    rows = np.split(row[np.argsort(number, kind="stable")], np.cumsum(np.bincount(number, minlength=entries))[:-1]) if entries else []
     need = np.where(toxic, 3, 0)
+    gain = lambda e: int((need[rows[e]] > 0).sum() - 2 * (~toxic[rows[e]]).sum())
+    waiting = [(-gain(e), e) for e in range(entries)]
+    heapify(waiting)
     chosen: list[int] = []
-    gain = np.array([(need[r] > 0).sum() - 2 * (~toxic[r]).sum() for r in rows])
-    while len(chosen) < VOTERS and len(gain) and (best := int(gain.argmax())) >= 0 and gain[best] > 0:
+    while waiting and waiting[0][0] < 0:
+        bound, best = heappop(waiting)
+        now = -gain(best)
+        if now > bound:
+            heappush(waiting, (now, best))
+            continue
         chosen.append(best)
         need[rows[best]] = np.maximum(0, need[rows[best]] - 1)
-        gain = np.array([(need[r] > 0).sum() - 2 * (~toxic[r]).sum() for r in rows])
-        gain[chosen] = 0
     return np.array(chosen, np.int64)
 
 

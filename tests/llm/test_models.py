@@ -8,12 +8,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from rangehaul.llm import language, pieces as sp
+from rangehaul.llm.arrays import text_chunks
 from rangehaul.llm.language import address, declared, identify, visible
-from rangehaul.llm.toxicity import label_model, toxicity
+from rangehaul.llm.toxicity import _features, fit, label_model, toxicity
 from tests.llm.fixtures import awkward, documents
 
 
@@ -54,6 +56,54 @@ def test_toxicity_without_labels(spark):
     assert toxicity(docs.limit(0), none).collect() == []
 
 
+def parts_of(text):
+    """Words of a text and their beginnings of 4, 5 and 6 letters."""
+    words = {w for w in "".join(c.lower() if c.isalnum() else " " for c in text or "").split()}
+    return {(w, 0) for w in words} | {(w[:n], n) for w in words for n in (4, 5, 6) if len(w) > n}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_lexicon_and_scores_by_brute_force(spark, seed):
+    rows, labels = labelled(spark, 600, seed)
+    rows += [(10_000 + k, t) for k, t in enumerate(("", "WRETCHPIG !!! WRETCHPIG", "vileness", "wort1 wort1 wort1", "ü vileness ü"))]
+    docs, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model, truth = fit(docs, marks), {i: t for i, _, t in labels}
+    sample = [(parts_of(t), truth[i]) for i, t in rows if i in truth and zlib.crc32(str(i).encode()) % 3 != 1]
+    hits, bad = Counter(p for parts, _ in sample for p in parts), Counter(p for parts, toxic in sample if toxic for p in parts)
+    share = sum(t for _, t in sample) / len(sample)
+    told = lambda p: bad[p] * math.log(bad[p] / hits[p] / share) + ((hits[p] - bad[p]) * math.log((1 - bad[p] / hits[p]) / (1 - share)) if hits[p] > bad[p] else 0)
+    expected = {p for p in bad if bad[p] >= 3 and bad[p] / hits[p] > 0.7 and told(p) > math.log(len(bad))}
+    assert len(model.hashes) == len(expected) == len(model.weights) and {w for w, n in expected if not n} >= {"vileness", "wretchpig", "wretchfool", "scumbag"}
+    # The weight of an entry is what a text of the entry alone shows; scores are then sums over a text's entries and its patterns.
+    weights = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+    own = {}
+    for word in {w for t in (t for _, t in rows) for w, n in parts_of(t) if not n}:
+        chunk = next(iter(text_chunks(pa.array([word]))))
+        own[word] = {int(h) for h in _features(chunk)[1]}
+    for r in toxicity(docs, marks).collect():
+        text = r.text or ""
+        plain = "".join(c.lower() if c.isalnum() else " " for c in text).split()
+        size = max(1, len(text.encode()))
+        patterns = [sum("A" <= c <= "Z" for c in text) / size, text.count("!") / size, sum(a == b for a, b in itertools.pairwise(plain)) / max(1, len(plain))]
+        z = model.bias + sum(a * b for a, b in zip(patterns, model.pattern_weights, strict=True)) + sum(weights.get(h, 0) for h in set().union(*(own[w] for w in plain)))
+        assert abs(r.score - 1 / (1 + math.exp(-max(-40, min(40, z))))) < 1e-9
+    out = [(r.predicted, truth[r.doc_id]) for r in toxicity(docs, marks).where("held_out").collect() if r.doc_id in truth]
+    assert sum(p for p, t in out if t) / sum(t for _, t in out) > 0.9 and sum(p for p, t in out if not t) <= 0.02 * len(out)
+
+
+def test_rare_toxic_words_among_many_common_ones(spark):
+    """Over 20,000 common words and beginnings, each in more toxic rows than the word that tells them."""
+    rng = random.Random(8)
+    common = [f"{rng.choice('bcdfgh')}{rng.choice('aeiou')}{k}word" for k in range(9000)]
+    rows = [(i, " ".join(rng.sample(common, len(common)) + (["vexkrull"] if i % 2 == 0 and i < 80 else []))) for i in range(0, 160)]
+    docs = documents(spark, [*rows, (900, "vexkrull"), (901, "harmless")])
+    marks = spark.createDataFrame([(i, 1, int(i % 2 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    model = fit(docs, marks)
+    assert 1 <= len(model.hashes) <= 4
+    score = {r.doc_id: r.score for r in toxicity(docs, marks).where("doc_id >= 900").collect()}
+    assert score[900] > score[901]
+
+
 def test_label_model_finds_accuracies():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.2

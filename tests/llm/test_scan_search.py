@@ -4,6 +4,7 @@ import random
 import re
 from functools import lru_cache
 
+import numpy as np
 import pytest
 
 from rangehaul.llm import topk, warc
@@ -68,6 +69,33 @@ def test_top_k(spark, monkeypatch, blocks):
     assert sorted(tuple(r) for r in got) == sorted(expected)
 
 
+def test_top_k_prunes_clusters(spark):
+    """Well-clustered vectors: exact, with under a third of the pairs scored."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 4
+    centres *= (6 / np.linalg.norm(centres, axis=1))[:, None]
+    x = np.repeat(centres, 50, axis=0) + rng.normal(size=(2000, 16)) * 0.05
+    vectors = topk.quantized(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), "vec_id", "embedding")
+    scored = []
+    got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), scored=scored).collect()
+    v = np.floor(x * 256).astype(np.int64)
+    expected = []
+    for q in range(0, 2000, 50):
+        scores = v @ v[q]
+        best = sorted((-int(scores[i]), i) for i in range(2000) if i != q)[:5]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in got) == expected
+    assert sum(scored) / (40 * 2000) < 0.3 and len(scored) > 2
+
+
+def test_top_k_of_long_products(spark):
+    wide = lambda *rows: spark.createDataFrame(list(rows), "vec_id long, v array<long>")
+    exact = topk.top_k(wide((1, [2**31, 2**30]), (2, [2**31, -(2**30)]), (3, [1, 2])), wide((1, [2**31, 2**30]))).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in exact] == [(1, 2, 2**62 - 2**60), (2, 3, 2**31 + 2**31)]
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        topk.top_k(wide((1, [2**40, 2**40]), (2, [2**40, 2**40])), wide((1, [2**40, 2**40]))).collect()
+
+
 def test_top_k_of_nothing(spark):
     vectors = topk.quantized(spark.createDataFrame([], "vec_id long, embedding array<float>"), "vec_id", "embedding")
     assert topk.top_k(vectors, vectors).collect() == []

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rangehaul.llm.store import written
 
 K = 5
-# Pivots are the root of the number of rows within these limits; queries are grouped by the fewest.
+# Within these limits of pivots there are as many rings as the root of the number of rows; queries are grouped by the fewest pivots.
 PIVOTS, MOST_PIVOTS, RINGS, SAMPLE = 16, 512, 4, 4096
 # Rings a block of queries meets in the first round, and how much wider each next round is.
 FIRST, WIDER = 1, 4
@@ -248,7 +248,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scored: list | Non
     `scored` receives, per round, how many pairs of query and row were scored.
     """
     spark = vectors.sparkSession
-    pivots = max(PIVOTS, min(MOST_PIVOTS, math.isqrt(vectors.count())))
+    pivots = max(PIVOTS, min(MOST_PIVOTS, math.isqrt(vectors.count()) // RINGS))
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     fitted = _fit([(r["vec_id"], r["v"]) for r in sample], pivots)
     keyed = lambda frame: frame.mapInArrow(_keyed(fitted), "vec_id long, dim int, pivot int, ring int, distance double, row binary")
@@ -280,8 +280,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scored: list | Non
     while first < most:
         # Each block is a row of its own size, so that they spread over tasks by number.
         spread = state.repartition(max(1, min(state.count(), 4 * spark.sparkContext.defaultParallelism)), "block")
+        # Queries grow when they are dealt to index blocks, which Spark's estimate does not see: sorted, never broadcast.
         visits = spread.mapInArrow(_visits(k, fitted, rings, first, first + width), "block long, dim int, pivot int, ring int, salt int, query_ids binary, query_rows binary, floors binary, query_distances binary")
-        found = written(visits.join(index, ["dim", "pivot", "ring", "salt"]).mapInArrow(_searched(k), "block long, query_id long, vec_id long, score long, mark boolean"), "found")
+        found = written(visits.join(index.hint("merge"), ["dim", "pivot", "ring", "salt"]).mapInArrow(_searched(k), "block long, query_id long, vec_id long, score long, mark boolean"), "found")
         if scored is not None:
             scored.append(found.where("mark").agg(F.coalesce(F.sum("score"), F.lit(0))).first()[0])
         rank = F.row_number().over(Window.partitionBy("block", "query_id").orderBy(F.desc("score"), "vec_id"))

@@ -61,8 +61,7 @@ def write_snapshot(spark, sf):
 )
 def sized_write(spark, sf):
     path = scratch_path(spark, "sized")
-    output, _ = S.sized(table(spark, sf, "lineitem"), S.desired_files(0, files=3))
-    S.write_snapshot(output, path)
+    S.write_files(table(spark, sf, "lineitem"), path, S.desired_files(0, files=3))
     files = stats_of_path(spark, path).select(F.col("files").cast("int")).scalar()
     return spark.read.parquet(path).groupBy("l_returnflag").agg(
         F.count("*").alias("rows"), F.sum("l_orderkey").alias("keys")

@@ -54,6 +54,12 @@ def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of parts that only its writer knows; one that is not there is no error."""
+    target, fs = _path(spark, path)
+    fs.delete(target, True)
+
+
 def document(spark: SparkSession, path: str) -> str | None:
     """The text of a document; None if there is none."""
     target, fs = _path(spark, path)

@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
+from heapq import heappop, heappush
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from rangehaul.operators.conform import conform, unify_union
 from rangehaul.operators.reconcile import table_checksum
+from rangehaul.sinks.commits import remove_folder
 from rangehaul.sources.files import encoded_width, file_counts, file_inventory, output_stats
 
 MIB = 1 << 20
 TARGET_FILE_BYTES = 128 * MIB
 COMPRESSION_RATIO = 0.33
+# Rows of a part that is encoded before few files are made of the parts.
+PART_ROWS = 1 << 20
+# With more files than this a file's share of the rows is small, and rows move to it by a plain shuffle.
+PACKED_FILES = 64
+# Fixed value: a union of one-partition frames keeps a partition for each instead of merging them into one.
+_UNION_APART = {"spark.sql.unionOutputPartitioning": "false"}
 
 
 def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet", compression: str = "zstd", **options) -> None:
@@ -52,6 +62,42 @@ def sized(df: DataFrame, desired: int | None, current: int | None = None) -> tup
     return df.repartition(desired), "repartition"
 
 
+def write_files(df: DataFrame, path: str, desired: int | None, current: int | None = None, fmt: str = "parquet", compression: str = "zstd") -> str:
+    """Write a frame as the wanted number of files, and say how (the names of `sized`).
+
+    A file is written by one task. Where few files take the rows of many partitions, the partitions are first encoded where
+    they are, by as many tasks, and each file's task reads its parts back: encoded columns, about as many bytes as
+    the file will have, instead of shuffled rows. The parts are deleted afterwards.
+    """
+    output, operation = sized(df, desired, current)
+    if operation != "repartition" or desired > PACKED_FILES or (current is not None and current < desired) or fmt not in ("parquet", "orc", "delta"):
+        write_snapshot(output, path, fmt, compression)
+        return operation
+    spark, parts = df.sparkSession, f"{path.rstrip('/')}-parts-{uuid.uuid4().hex}"
+    try:
+        write_snapshot(df, parts, maxRecordsPerFile=PART_ROWS)
+        with _conf(spark, _UNION_APART):
+            write_snapshot(_packed(spark, parts, df.schema, desired), path, fmt, compression)
+    finally:
+        remove_folder(spark, parts)
+    return operation
+
+
+def _packed(spark: SparkSession, parts: str, schema: T.StructType, files: int) -> DataFrame:
+    """The rows of all parts in `files` partitions of about as many rows; fewer parts than files are spread by rows."""
+    found = file_counts(file_inventory(spark, parts), tasks=spark.sparkContext.defaultParallelism).where("rows > 0")
+    listed = found.select("path", "rows").orderBy(F.desc("rows"), "path").collect()
+    if len(listed) < files:
+        return spark.read.schema(schema).parquet(parts).repartition(files)
+    shares = [(0, i) for i in range(files)]
+    paths: list[list[str]] = [[] for _ in shares]
+    for part in listed:
+        rows, i = heappop(shares)
+        paths[i].append(part["path"])
+        heappush(shares, (rows + part["rows"], i))
+    return reduce(DataFrame.union, [spark.read.schema(schema).parquet(*own).coalesce(1) for own in paths])
+
+
 def write_sized(spark: SparkSession, path: str, source: str | Sequence[str], target_bytes: int = TARGET_FILE_BYTES, compression: str = "zstd", schema: T.StructType | None = None) -> tuple[int, str]:
     """Copy Parquet files into files of about `target_bytes`; returns the number asked for and how it was reached.
 
@@ -145,10 +191,17 @@ _TWO_WRITERS = {"spark.sql.optimizer.plannedWrite.enabled": "false", "spark.sql.
 @contextmanager
 def _unsorted(spark: SparkSession, apply: bool) -> Iterator[None]:
     """Tasks that hold one chunk each (or the end of one and the start of the next) need no sort before they write."""
-    before = {name: spark.conf.get(name) for name in _TWO_WRITERS} if apply else {}
+    with _conf(spark, _TWO_WRITERS if apply else {}):
+        yield
+
+
+@contextmanager
+def _conf(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for a while."""
+    before = {name: spark.conf.get(name) for name in wanted}
     try:
-        for name in before:
-            spark.conf.set(name, _TWO_WRITERS[name])
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from rangehaul.functions import sizing as S
 from rangehaul.plans.load_plan import load_strategy, size_plan
 from rangehaul.plans.ingest import IngestOptions, ingest
-from rangehaul.sinks.snapshots import desired_files, sized, write_sized
+from rangehaul.sinks import snapshots
+from rangehaul.sinks.snapshots import desired_files, sized, write_files, write_sized
 from rangehaul.sources.files import encoded_width, file_inventory, output_stats
 
 MIB = 1 << 20
@@ -144,3 +145,30 @@ def test_rewritten_files_follow_staged_bytes(spark, scratch):
     run = ingest(frame, root, "r", "t", "id", IngestOptions(ranges=4, publication="rewrite", file_bytes=800_000)).first()
     assert run["mode"] == "rewrite" and run["rows"] == 40_000 and 2 <= run["files"] <= 4
     assert 400_000 < run["output_bytes"] / run["files"] < 1_200_000
+
+
+def test_few_files_take_encoded_parts(spark, scratch, monkeypatch):
+    """Tasks that write few files read encoded parts; no shuffled row reaches them."""
+    plans, real = [], snapshots.write_snapshot
+
+    def spied(df, path, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(snapshots, "write_snapshot", spied)
+    frame = spark.range(0, 50_000, 1, 40).select("id", (F.col("id") % 1000).cast("string").alias("t"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("n"))
+    for files in (1, 3):
+        path = scratch()
+        assert write_files(frame, path, files) == "repartition"
+        assert sorted(r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect())[0] >= 50_000 // files - 1250
+        assert output_stats(spark, path).first()["files"] == files
+        assert spark.read.parquet(path).exceptAll(frame).isEmpty() and spark.read.parquet(path).count() == 50_000
+    assert plans and not any("Exchange" in plan for plan in plans)
+
+
+def test_few_files_of_small_frames(spark, scratch):
+    for rows, parts, files in ((7, 1, 3), (0, 4, 2), (30, 12, 3)):
+        path = scratch()
+        write_files(spark.range(0, rows, 1, parts), path, files)
+        assert spark.read.parquet(path).count() == rows
+        assert output_stats(spark, path).first()["files"] == (files if rows else 1)

@@ -136,10 +136,9 @@ def writer_matrix(df: DataFrame, base: str, variants: Sequence[Variant], current
     results = []
     try:
         for variant in variants:
-            output, operation = sized(frame, variant.partitions, current)
             path = f"{base.rstrip('/')}/{variant.name}"
             started = time.perf_counter()
-            write_snapshot(output, path, variant.fmt, variant.compression)
+            operation = write_files(frame, path, variant.partitions, current, variant.fmt, variant.compression)
             write_seconds = time.perf_counter() - started
             started = time.perf_counter()
             check = table_checksum(spark.read.format(variant.fmt).load(path)).first()
@@ -267,7 +266,7 @@ def rewrite(spark: SparkSession, frames: Sequence[DataFrame], path: str, files:
     `spark.sql.files.maxPartitionBytes`, so each task already writes one file of that order.
     """
     whole = unify_union([conform(f, schema) for f in frames] if schema else frames)
-    write_snapshot(sized(whole, files, whole.rdd.getNumPartitions() if files else None)[0], path, compression=compression)
+    write_files(whole, path, files, whole.rdd.getNumPartitions() if files else None, compression=compression)
 
 
 def publish_rewrite(ledger, run_id: str, table: str, path: str, version: int) -> None:

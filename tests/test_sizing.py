@@ -5,7 +5,7 @@ from rangehaul.functions import sizing as S
 from rangehaul.plans.load_plan import load_strategy, size_plan
 from rangehaul.plans.ingest import IngestOptions, ingest
 from rangehaul.sinks import snapshots
-from rangehaul.sinks.snapshots import desired_files, sized, write_files, write_sized
+from rangehaul.sinks.snapshots import Variant, desired_files, rewrite, sized, write_files, write_sized, writer_matrix
 from rangehaul.sources.files import encoded_width, file_inventory, output_stats
 
 MIB = 1 << 20
@@ -163,7 +163,13 @@ def test_few_files_take_encoded_parts(spark, scratch, monkeypatch):
         assert sorted(r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect())[0] >= 50_000 // files - 1250
         assert output_stats(spark, path).first()["files"] == files
         assert spark.read.parquet(path).exceptAll(frame).isEmpty() and spark.read.parquet(path).count() == 50_000
+    base, whole = scratch(), scratch()
+    assert writer_matrix(frame, base, [Variant("many"), Variant("one", partitions=1)]).where("name = 'one'").first()["files"] == 1
+    rewrite(spark, [frame], whole, files=2)
+    assert output_stats(spark, whole).first()["files"] == 2
     assert plans and not any("Exchange" in plan for plan in plans)
+    # Nothing but the files is left beside them.
+    assert file_inventory(spark, base).where(F.col("path").contains("-parts-")).isEmpty()
 
 
 def test_few_files_of_small_frames(spark, scratch):

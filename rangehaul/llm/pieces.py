@@ -17,8 +17,10 @@ Piece probabilities: a model of merges ranks its pieces, so a piece of rank r ge
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ BLANK = "▁"
 CHUNK_BYTES = 1 << 20
 # Lattice arcs that a task keeps; beyond, it starts anew.
 KEEP_ARCS = 16 << 20
+# Freed memory that a task's allocator may keep is about twice this.
+KEEP_BYTES = 30 << 20
 MARKS = ".,;:!?"
 
 
@@ -76,15 +80,23 @@ class Pieces:
         # A line break; a mark behind a letter with what follows it; blanks with the word behind them, up to such a mark.
         before = rf"(?<=[a-zA-Z])[{marks}][^ {broken}]*|" if marks else ""
         inner = rf"|(?<![a-zA-Z])[{marks}]" if marks else ""
-        self.unit = re.compile(rf"{broken}|{before} *(?:[^ {broken}{marks}]+{inner})+| +")
+        # First the most frequent unit, a word up to a blank or a line break; it is one without the other cases, too.
+        plain = rf" *+[^ {broken}{marks}]++(?=[ {broken}])|"
+        self.unit = re.compile(rf"{plain}{broken}|{before} *(?:[^ {broken}{marks}]+{inner})+| +")
         lengths = np.array([len(b) for b in self.bytes])
         self.flat, self.begin, self.length = np.frombuffer(b"".join(self.bytes), np.uint8), np.cumsum(lengths) - lengths, lengths
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Text of ids: bytes of the pieces without the blank put in front."""
+        return self.decode_all(ids, np.array([0, len(ids)]))[0]
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Text of each run of ids between two offsets."""
         sizes = self.length[ids]
-        at = np.repeat(self.begin[ids] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-        return self.flat[at].tobytes()[1:]
+        ends = np.append(0, np.cumsum(sizes))
+        at = np.repeat(self.begin[ids] - ends[:-1], sizes) + np.arange(ends[-1])
+        data, cuts = self.flat[at].tobytes(), ends[offsets].tolist()
+        return [data[low + 1 : high] for low, high in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -92,6 +104,22 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def _by_node(own: np.ndarray, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Order of arcs by node, then falling probability; each node's arcs lie together. Nodes with as many arcs are sorted as rows of a matrix."""
+    heads = np.flatnonzero(np.diff(own, prepend=-1))
+    begin = np.zeros(len(counts), np.int64)
+    begin[own[heads]] = heads
+    place = np.cumsum(counts) - counts
+    order = np.empty(len(own), np.int64)
+    for count in np.unique(counts[own[heads]]).tolist():
+        nodes, across = np.flatnonzero(counts == count), np.arange(count)
+        arcs = begin[nodes][:, None] + across
+        if count > 1:
+            arcs = np.take_along_axis(arcs, np.argsort(-p[arcs], axis=1, kind="stable"), 1)
+        order[place[nodes][:, None] + across] = arcs
+    return order
+
+
 class Lattices:
     """Lattices of units, as nodes with arcs sorted by probability. Node -1 is a unit's end."""
 
@@ -108,6 +136,15 @@ class Lattices:
         self.piece, self.next = np.zeros(room, np.int32), np.zeros(room, np.int32)
         self.p = np.zeros(room)
 
+    def starts(self, units: list[str]) -> np.ndarray:
+        """First nodes of units; those not known are built."""
+        found = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        if len(fresh := np.flatnonzero(found < 0)):
+            named = [units[i] for i in fresh.tolist()]
+            self.add(list(dict.fromkeys(named)))
+            found[fresh] = [self.known[x] for x in named]
+        return found
+
     def add(self, units: list[str]) -> None:
         """Build the lattices of new units, all at once: a node for each character, and chains of byte pieces behind them."""
         v = self.vocabulary
@@ -153,7 +190,9 @@ class Lattices:
         back = np.zeros(n + 1)
         closing = to == ends[own]
         far = (ends - at)[own]
-        order = np.lexsort((own, far))
+        # Of a node's arcs, shorter pieces first and a spelled character last: keys are unique, so any sort gives this order.
+        size = np.append((to - own)[: len(own) - len(bare)], np.full(len(bare), v.longest + 1))
+        order = np.argsort((far * n + own) * (v.longest + 2) + size)
         own, to, piece, log, next_, closing, far = (x[order] for x in (own, to, piece, log, next_, closing, far))
         p = np.empty(len(own))
         bounds = np.flatnonzero(np.diff(far, prepend=-1))
@@ -167,8 +206,9 @@ class Lattices:
             total = np.add.reduceat(weight, first)
             back[node[first]] = top + np.log(total)
             p[low:high] = weight / total[run]
-        order = np.lexsort((-p, own))
-        counts = np.append(np.bincount(own, minlength=n), np.ones(int(chain_sizes.sum()), np.int64))
+        counts = np.bincount(own, minlength=n)
+        order = _by_node(own, p, counts)
+        counts = np.append(counts, np.ones(int(chain_sizes.sum()), np.int64))
         pieces_ = [v.byte[x] for b in spelled for x in b[1:]]
         follow = np.arange(n + 1, n + 1 + len(pieces_)) + self.nodes
         follow[(chain_at + chain_sizes - 1)[chain_sizes > 0] - n] = chain_next[chain_sizes > 0]
@@ -186,20 +226,28 @@ class Lattices:
         self.known.update(zip(units, (begin + np.cumsum(sizes) - sizes).tolist(), strict=True))
 
 
-def _uniform(*keys: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) that depend on the keys only."""
-    state = np.zeros(1, np.uint64)
+def _seeds(*keys: np.ndarray, after: np.ndarray | None = None) -> np.ndarray:
+    """What `_uniform` starts from: keys that many numbers share are mixed once, `after` others."""
+    state = np.zeros(1, np.uint64) if after is None else after
     for key in keys:
-        state = mix(state + np.asarray(key).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    return ((state >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
+        state = state + np.asarray(key).astype(np.uint64, copy=False)
+        state += np.uint64(0x9E3779B97F4A7C15)
+        state = mix(state)
+    return state
+
+
+def _uniform(*keys: np.ndarray, after: np.ndarray | None = None) -> np.ndarray:
+    """Numbers in (0, 1) that depend on the keys only."""
+    return ((_seeds(*keys, after=after) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
 def _walk(lattice: Lattices, node: np.ndarray, key: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Draw from each node to its unit's end. Returns the arcs taken, the nodes they left, and offsets by start."""
     steps, alive, at, turn = [], np.flatnonzero(node >= 0), node[node >= 0], 0
     counts = np.zeros(len(node), np.int64)
+    seeds = _seeds(key[alive], sample)
     while len(alive):
-        u = _uniform(key[alive], sample, turn)
+        u = _uniform(turn, after=seeds)
         arc, last = lattice.first[at].copy(), lattice.first[at + 1] - 1
         rest = np.arange(len(at))
         u = u - lattice.p[arc]
@@ -209,7 +257,8 @@ def _walk(lattice: Lattices, node: np.ndarray, key: np.ndarray, sample: int) ->
         steps.append((alive, arc, at))
         counts[alive] += 1
         to = lattice.next[arc]
-        alive, at, turn = alive[to >= 0], to[to >= 0], turn + 1
+        on = to >= 0
+        alive, at, seeds, turn = alive[on], to[on], seeds[on], turn + 1
     offsets = np.append(0, np.cumsum(counts))
     arcs, nodes = np.zeros(offsets[-1], np.int64), np.zeros(offsets[-1], np.int64)
     for turn, (alive, arc, at) in enumerate(steps):
@@ -242,9 +291,13 @@ class _Paths:
             self.log_prob = np.bincount(of, log, len(rows))
             # What a step leaves: the sets of all other arcs. Steps taken over from an earlier path leave nothing.
             left = np.where(np.arange(len(arcs)) >= own[of], self.before + np.log1p(-np.minimum(p, 1)), -np.inf)
-        left[np.diff(lattice.first)[nodes] < 2] = -np.inf
-        self.taken = np.uint64(1) << (arcs - lattice.first[nodes]).astype(np.uint64)
-        self.agenda = _cut_gumbel(left, value[of], _uniform(key[rows][of], sample, np.arange(len(arcs)) - offsets[:-1][of], 7))
+        first = lattice.first[nodes]
+        left[lattice.first[nodes + 1] - first < 2] = -np.inf
+        self.taken = np.uint64(1) << (arcs - first).astype(np.uint64)
+        some = np.flatnonzero(left > -np.inf)
+        text = of[some]
+        self.agenda = np.full(len(arcs), -np.inf)
+        self.agenda[some] = _cut_gumbel(left[some], value[text], _uniform(some - offsets[text], 7, after=_seeds(key[rows], sample)[text]))
 
 
 def sampled(lattice: Lattices, starts: np.ndarray, offsets: np.ndarray, keys: np.ndarray, samples: int) -> list[tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
@@ -258,14 +311,15 @@ def sampled(lattice: Lattices, starts: np.ndarray, offsets: np.ndarray, keys: np
     value = -np.log(-np.log(_uniform(keys, 0, 3)))
     rounds = [_Paths(lattice, rows, arcs, nodes, units, bounds[offsets], value, np.append(bounds, 0)[offsets[:-1]], keys, 0)]
     for sample in range(1, samples + 1):
-        best, which, where = np.full(count, -np.inf), np.zeros(count, np.int64), np.zeros(count, np.int64)
+        best, which, where, head = np.full(count, -np.inf), np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count, np.int64)
         for r, paths in enumerate(rounds):
-            for i, row in enumerate(paths.rows):
-                low, high = paths.offsets[i], paths.offsets[i + 1]
-                if high > low:
-                    at = low + int(paths.agenda[low:high].argmax())
-                    if paths.agenda[at] > best[row]:
-                        best[row], which[row], where[row] = paths.agenda[at], r, at
+            held = np.flatnonzero(np.diff(paths.offsets))
+            low, high = paths.offsets[held], paths.offsets[held + 1]
+            at = low + np.array([paths.agenda[a:b].argmax() for a, b in zip(low.tolist(), high.tolist(), strict=True)], np.int64)
+            row = paths.rows[held]
+            more = paths.agenda[at] > best[row]
+            row, at = row[more], at[more]
+            best[row], which[row], where[row], head[row] = paths.agenda[at], r, at, low[more]
         threshold = best
         if sample == samples:
             break
@@ -273,28 +327,31 @@ def sampled(lattice: Lattices, starts: np.ndarray, offsets: np.ndarray, keys: np
         if not len(rows):
             break
         # Open the best set of each row: another arc at that step, then new draws to the end of the text.
-        branch, follow, follow_key, follow_bounds, heads_, own = [], [], [], [0], [], []
-        draw = _uniform(keys[rows], sample, 5)
-        for k, row in enumerate(rows):
-            paths, at = rounds[which[row]], where[row]
-            first, last = lattice.first[paths.nodes[at]], lattice.first[paths.nodes[at] + 1]
-            free = [a for a in range(first, last) if not int(paths.taken[at]) >> (a - first) & 1]
-            weights = np.cumsum(lattice.p[free])
-            arc = free[int(np.searchsorted(weights, draw[k] * weights[-1]).clip(0, len(free) - 1))]
-            paths.taken[at] |= np.uint64(1) << np.uint64(arc - first)
-            left = weights[-1] - lattice.p[arc]
-            location = paths.before[at] + np.log(left) if left > 0 and len(free) > 1 else -np.inf
-            paths.agenda[at] = _cut_gumbel(np.array([location]), best[row : row + 1], _uniform(keys[row : row + 1], sample, 11))[0]
-            i = int(np.searchsorted(paths.rows, row))
-            heads_.append((paths, int(paths.offsets[i]), at))
-            own.append(at - paths.offsets[i] + 1)
+        branch, follow, follow_key, follow_bounds, heads_, own, locations = [], [], [], [0], [], [], []
+        draw = _uniform(keys[rows], sample, 5).tolist()
+        for k, row in enumerate(rows.tolist()):
+            paths, at = rounds[which[row]], int(where[row])
+            first, last = lattice.first[paths.nodes[at] : paths.nodes[at] + 2].tolist()
+            taken, p = int(paths.taken[at]), lattice.p[first:last].tolist()
+            free = [a for a in range(last - first) if not taken >> a & 1]
+            weights = list(accumulate(p[a] for a in free))
+            arc = free[min(bisect_left(weights, draw[k] * weights[-1]), len(free) - 1)]
+            paths.taken[at] |= np.uint64(1 << arc)
+            left = weights[-1] - p[arc]
+            arc += first
+            locations.append(paths.before[at] + np.log(left) if left > 0 and len(free) > 1 else -np.inf)
+            heads_.append((paths, int(head[row]), at))
+            own.append(at - int(head[row]) + 1)
             branch.append((arc, paths.nodes[at], paths.units[at]))
-            unit = paths.units[at]
-            later = np.arange(unit + 1, offsets[row + 1])
-            follow.append(np.append(lattice.next[arc], starts[later]))
-            follow_key.append(mix(np.append(unit_key[unit], unit_key[later]) + np.uint64(sample)))
-            follow_bounds.append(follow_bounds[-1] + len(later) + 1)
-        arcs, nodes, bounds = _walk(lattice, np.concatenate(follow), np.concatenate(follow_key), sample)
+            unit, end = paths.units[at], offsets[row + 1]
+            follow.append(starts[unit:end].copy())
+            follow[-1][0] = lattice.next[arc]
+            follow_key.append(unit_key[unit:end])
+            follow_bounds.append(follow_bounds[-1] + end - unit)
+        values = _cut_gumbel(np.array(locations), best[rows], _uniform(keys[rows], sample, 11))
+        for (paths, _, at), value in zip(heads_, values, strict=True):
+            paths.agenda[at] = value
+        arcs, nodes, bounds = _walk(lattice, np.concatenate(follow), mix(np.concatenate(follow_key) + np.uint64(sample)), sample)
         parts, sizes = ([], [], []), []
         for k, row in enumerate(rows):
             paths, low, at = heads_[k]
@@ -319,25 +376,29 @@ def _encoded(model: str, samples: int, seed: int, verify: bool, schema: pa.Schem
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model)
         lattice = Lattices(vocabulary)
+        # A block of this size, taken and given back, lets the allocator keep the pages of a chunk's arrays for the next chunk.
+        np.empty(KEEP_BYTES, np.uint8)
 
         def out(batch: pa.RecordBatch, low: int, texts: list[str], keys: np.ndarray) -> pa.RecordBatch:
             units = [vocabulary.unit.findall(" " + text) if text else [] for text in texts]
             offsets = np.append(0, np.cumsum([len(u) for u in units]))
-            if new := {x for u in units for x in u} - lattice.known.keys():
-                lattice.add(sorted(new))
-            starts = [lattice.known[x] for u in units for x in u]
-            found = sampled(lattice, np.array(starts, np.int64), offsets, keys, samples)
+            found = sampled(lattice, lattice.starts(list(chain.from_iterable(units))), offsets, keys, samples)
             rows = np.concatenate([f[0] for f in found])
             ids = [x for f in found for x in f[2]]
+            bounds = np.append(0, np.cumsum([len(x) for x in ids]))
             own = {
                 "sample": pa.array(np.repeat(np.arange(1, len(found) + 1), [len(f[0]) for f in found]), pa.int32()),
-                "ids": pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(x) for x in ids])), pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())),
+                "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())),
                 "log_prob": pa.array(np.concatenate([f[3] for f in found])),
                 "perturbed": pa.array(np.concatenate([f[1] for f in found])),
                 "inclusion": pa.array(np.concatenate([f[4] for f in found])),
             }
             if verify:
-                own["exact"] = pa.array([vocabulary.decode(x) == texts[r].encode() for x, r in zip(ids, rows, strict=True)])
+                encoded = [text.encode() for text in texts]
+                # One round at a time: its texts are as long as the chunk's.
+                cuts = np.append(0, np.cumsum([len(f[0]) for f in found])).tolist()
+                spelled = (x for low, high in zip(cuts, cuts[1:], strict=False) if high > low for x in vocabulary.decode_all(np.concatenate(ids[low:high]), bounds[low : high + 1] - bounds[low]))
+                own["exact"] = pa.array([x == encoded[r] for x, r in zip(spelled, rows.tolist(), strict=True)], pa.bool_())
             part = batch.select([f.name for f in schema if f.name not in own]).slice(low, len(texts)).take(pa.array(rows))
             if lattice.arcs > KEEP_ARCS:
                 lattice.clear()

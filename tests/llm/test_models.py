@@ -137,6 +137,16 @@ def enumerated(lattice, text):
     return starts, {tuple(itertools.chain(*[c[0] for c in combo])): sum(c[1] for c in combo) for combo in itertools.product(*[list(paths(s)) for s in starts])}
 
 
+def test_new_units_are_built_once(lattice):
+    units = [" first", "  built", " first", "Ωx", " again", "Ωx"]
+    starts = lattice.starts(units)
+    arcs = lattice.arcs
+    assert starts.tolist() == [lattice.known[u] for u in units] and starts.min() >= 0
+    assert lattice.starts(units[::-1]).tolist() == starts[::-1].tolist() and lattice.arcs == arcs
+    for node in starts.tolist():
+        assert (np.diff(lattice.p[lattice.first[node] : lattice.first[node + 1]]) <= 0).all()
+
+
 @pytest.mark.parametrize("text", ["the cat", "Ωx", "é鿿", "a  b"])
 def test_samples_follow_the_lattice(lattice, text):
     starts, every = enumerated(lattice, text)

@@ -8,7 +8,7 @@ Gumbel value cut off at it. The first k paths completed are k samples without re
 threshold for their inclusion scores, 1 - exp(-exp(log p - threshold)).
 
 No piece crosses a blank, a line break, or the end of a letter run before a mark that no piece continues with, so texts
-part into units; the lattice of a unit is built once per task and kept for its next places. All random numbers are hashes of
+part into units; the lattice of a unit is kept for its next places in the task, as long as it comes again. All random numbers are hashes of
 row key, sample, unit and step: a repeated task draws the same samples.
 
 Piece probabilities: a model of merges ranks its pieces, so a piece of rank r gets weight 1 / (r + 2).
@@ -20,7 +20,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate, chain, repeat
+from itertools import accumulate, chain, compress, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +33,13 @@ from rangehaul.llm.arrays import mix, randoms
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 BLANK = "▁"
-CHUNK_BYTES = 1 << 20
-# Lattice arcs that a task keeps; beyond, it starts anew.
-KEEP_ARCS = 16 << 20
+CHUNK_BYTES = 1 << 18
+# Characters of new units whose lattices are built at a time.
+BUILD_CHARS = 1 << 16
+# Lattice arcs that a task keeps, some 24 bytes each with nodes and names; beyond, it forgets units that did not come again.
+KEEP_ARCS = 3 << 20
 # Freed memory that a task's allocator may keep is about twice this.
-KEEP_BYTES = 30 << 20
+KEEP_BYTES = 16 << 20
 MARKS = ".,;:!?"
 
 
@@ -131,17 +133,53 @@ class Lattices:
         self.known: dict[str, int] = {}
         self.nodes = self.arcs = 0
         # Room for all arcs that are kept: pages are only taken as they fill, and nothing is copied to grow.
-        room = KEEP_ARCS + KEEP_ARCS // 8
-        self.first = np.zeros(room, np.int32)  # first arc of each node; the next node's begins behind the last
-        self.piece, self.next = np.zeros(room, np.int32), np.zeros(room, np.int32)
+        room = KEEP_ARCS + KEEP_ARCS // 2
+        # One block, as large ones go back to the system when the task ends. `first`: first arc of each node; the next node's begins behind the last.
+        self.first, self.piece, self.next = np.zeros((3, room), np.int32)
         self.p = np.zeros(room)
+        self.again = np.zeros(room, bool)  # first nodes of units that came again
+
+    def forget(self) -> None:
+        """Keep the units that came again since the last time; if these are most, none is kept."""
+        starts = np.fromiter(self.known.values(), np.int64, len(self.known))
+        again = self.again[starts]
+        units, starts = list(compress(self.known, again)), starts[again]
+        # Nodes of these units, and the chains that their arcs lead to.
+        edge = np.zeros(self.nodes + 1, np.int8)
+        edge[starts] += 1
+        edge[starts + np.array([len(u) for u in units], np.int64)] -= 1
+        held = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        counts = np.diff(self.first[: self.nodes + 1])
+        while True:
+            arcs = np.repeat(held, counts)
+            to = self.next[: self.arcs][arcs]
+            to = to[to >= 0]
+            if held[to].all():
+                break
+            held[to] = True
+        left = np.count_nonzero(arcs)
+        if left > KEEP_ARCS * 3 // 4:
+            return self.clear()
+        place = np.cumsum(held, dtype=np.int32) - 1
+        to = self.next[: self.arcs][arcs]
+        self.next[:left] = np.where(to < 0, -1, place[to])
+        for values in (self.piece, self.p):
+            values[:left] = values[: self.arcs][arcs]
+        self.nodes, self.arcs = np.count_nonzero(held), left
+        self.first[1 : self.nodes + 1] = np.cumsum(counts[held])
+        self.known = dict(zip(units, place[starts].tolist(), strict=True))
+        self.again[:] = False
 
     def starts(self, units: list[str]) -> np.ndarray:
         """First nodes of units; those not known are built."""
         found = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        self.again[found[found >= 0]] = True
         if len(fresh := np.flatnonzero(found < 0)):
             named = [units[i] for i in fresh.tolist()]
-            self.add(list(dict.fromkeys(named)))
+            new = list(dict.fromkeys(named))
+            part = np.cumsum([len(u) for u in new]) // BUILD_CHARS
+            for low, high in pairwise([0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(new)]):
+                self.add(new[low:high])
             found[fresh] = [self.known[x] for x in named]
         return found
 
@@ -216,7 +254,7 @@ class Lattices:
         begin = self.nodes
         self.nodes += len(counts)
         self.arcs += int(counts.sum())
-        for name, values, end in (("first", new, self.nodes), ("piece", np.append(piece[order], pieces_), self.arcs), ("next", np.append(next_[order], follow), self.arcs), ("p", np.append(p[order], np.ones(len(pieces_))), self.arcs)):
+        for name, values, end in (("again", np.zeros(len(new), bool), self.nodes), ("first", new, self.nodes), ("piece", np.append(piece[order], pieces_), self.arcs), ("next", np.append(next_[order], follow), self.arcs), ("p", np.append(p[order], np.ones(len(pieces_))), self.arcs)):
             old = getattr(self, name)
             if len(old) < end + 1:
                 old = np.concatenate((old, np.zeros(end + 1 - len(old) + KEEP_ARCS // 8, old.dtype)))
@@ -401,7 +439,7 @@ def _encoded(model: str, samples: int, seed: int, verify: bool, schema: pa.Schem
                 own["exact"] = pa.array([x == encoded[r] for x, r in zip(spelled, rows.tolist(), strict=True)], pa.bool_())
             part = batch.select([f.name for f in schema if f.name not in own]).slice(low, len(texts)).take(pa.array(rows))
             if lattice.arcs > KEEP_ARCS:
-                lattice.clear()
+                lattice.forget()
             return pa.RecordBatch.from_arrays([own[f.name] if f.name in own else part.column(f.name).cast(f.type) for f in schema], schema=schema)
 
         for batch in batches:

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -147,6 +148,52 @@ def test_new_units_are_built_once(lattice):
         assert (np.diff(lattice.p[lattice.first[node] : lattice.first[node + 1]]) <= 0).all()
 
 
+def test_units_that_do_not_come_again_are_forgotten():
+    lattice, fresh = sp.Lattices(sp.pieces(sp.MODEL)), sp.Lattices(sp.pieces(sp.MODEL))
+    common, rare = [" the", " cat", " Ωx", "é鿿", " 𝕏▁"], [f" w{i}é鿿" for i in range(200)]
+    lattice.starts(rare[:100] + common + rare[100:])
+    lattice.starts(common)
+    lattice.forget()
+    assert list(lattice.known) == common
+    fresh.starts(common)
+    assert (lattice.nodes, lattice.arcs) == (fresh.nodes, fresh.arcs) and not lattice.again.any()
+    units, keys = common * 40, sp.mix(np.arange(40, dtype=np.uint64))
+    # What was kept and what is built behind it give the samples of lattices that forgot nothing.
+    for units in (common * 40, (common + rare[:5]) * 40):
+        offsets = np.arange(41) * (len(units) // 40)
+        for a, b in zip(*(sp.sampled(x, x.starts(units), offsets, keys, 2) for x in (lattice, fresh)), strict=True):
+            assert all(np.array_equal(x, y) for x, y in zip(a[2], b[2], strict=True)) and all(np.array_equal(a[k], b[k]) for k in (0, 1, 3, 4))
+    lattice.forget()
+    lattice.forget()
+    assert not lattice.known and lattice.nodes == lattice.arcs == 0
+
+
+def test_encoding_takes_little_memory(monkeypatch):
+    """The table of lattices stays small however many units there are, and so do the arrays of a chunk; samples do not depend on either."""
+    rng = random.Random(8)
+    texts = [" ".join("the" if rng.random() < 0.3 else f"{rng.getrandbits(40):x}" for _ in range(200)) for _ in range(600)]
+    batch = pa.record_batch({"doc_id": list(range(600)), "text": texts, "key": list(range(600))})
+    schema = pa.schema([("doc_id", pa.int64()), ("sample", pa.int32()), ("ids", pa.list_(pa.int32())), ("perturbed", pa.float64())])
+    held = []
+    forget = sp.Lattices.forget
+    monkeypatch.setattr(sp.Lattices, "forget", lambda lattice: (held.append(lattice.arcs), forget(lattice)))
+    run = lambda: {(i, s): (tuple(x), p) for b in sp._encoded(sp.MODEL, 2, 0, False, schema)([batch]) for i, s, x, p in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    want = run()
+    assert len(want) == 1200
+    monkeypatch.setattr(sp, "KEEP_ARCS", 1 << 18)
+    monkeypatch.setattr(sp, "CHUNK_BYTES", 1 << 16)
+    held.clear()
+    assert run() == want and len(held) > 2 and max(held) < 1 << 20
+    monkeypatch.undo()
+    sp.pieces(sp.MODEL)
+    tracemalloc.start()
+    for _ in sp._encoded(sp.MODEL, 2, 0, False, schema)([batch]):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+
+
 @pytest.mark.parametrize("text", ["the cat", "Ωx", "é鿿", "a  b"])
 def test_samples_follow_the_lattice(lattice, text):
     starts, every = enumerated(lattice, text)
